@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming operator (no watermark, window, state or
+late-data rule); every run is a full batch rebuild of staging and marts. Its
+marts are plain aggregates, so a streaming caller can apply any of them to a
+micro-batch with `DataFrame.writeStream.foreachBatch`; nothing here adds to that.
+"""
