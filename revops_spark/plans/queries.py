@@ -22,10 +22,14 @@ from ..sources import testdata as td
 Query = Callable[[SparkSession, str], DataFrame]
 
 STAT_DIGITS = 10
+SAMPLE_SIZE_DIGITS = 4  # sample sizes grow as 1/h^2; 10 decimals would exceed double precision
 
 
-def report(df: DataFrame, round_doubles: bool = False) -> DataFrame:
-    """Dates -> 'yyyy-MM-dd' text, decimals -> double; optionally round doubles."""
+def report(df: DataFrame, round_doubles: bool = False,
+           digits: dict[str, int] | None = None) -> DataFrame:
+    """Dates -> 'yyyy-MM-dd' text, decimals -> double; optionally round doubles
+    (to STAT_DIGITS, or to `digits[name]` for the named columns)."""
+    digits = digits or {}
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
@@ -34,7 +38,7 @@ def report(df: DataFrame, round_doubles: bool = False) -> DataFrame:
         elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif round_doubles and isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, STAT_DIGITS)
+            c = F.round(c, digits.get(f.name, STAT_DIGITS))
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -100,7 +104,8 @@ def ab_significance(spark, d):
 
 
 def ab_power(spark, d):
-    return report(ex.ab_power(_ab_mart(spark, d)), round_doubles=True)
+    return report(ex.ab_power(_ab_mart(spark, d)), round_doubles=True,
+                  digits={"required_n_per_group": SAMPLE_SIZE_DIGITS})
 
 
 def experiment_outcomes(spark, d):
