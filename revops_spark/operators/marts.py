@@ -1,6 +1,9 @@
 """Mart layer (MRT1-MRT9): the metric models.
 
-Every mart is one aggregate over one staging relation. Group keys are
+Every mart is one aggregate over one staging relation. The two marts whose
+model ends in ORDER BY take `sort`: the order only matters where a result is
+presented, so the build (tables keep no order) and the A/B statistics (which
+re-aggregate) skip that range exchange. Group keys are
 low-cardinality (segment, source, month, variant x tier), so Spark's partial
 aggregation collapses each input partition to a handful of rows before the
 shuffle: a hot key costs nothing, and the exchange carries only partials.
@@ -85,7 +88,7 @@ def win_rate(opps: DataFrame) -> DataFrame:
     ).withColumn("win_rate_pct", pct("won_deals", "closed_deals"))
 
 
-def fct_mrr_waterfall(events: DataFrame) -> DataFrame:
+def fct_mrr_waterfall(events: DataFrame, sort: bool = True) -> DataFrame:
     """MRT4: event_month, new_mrr, expansion_mrr, churned_mrr, net_mrr_change.
 
     The reference sums per (month, type) and then pivots with conditional sums;
@@ -104,14 +107,14 @@ def fct_mrr_waterfall(events: DataFrame) -> DataFrame:
         by_type(EVENT_CHURN).alias("churned_mrr"),
     )
     net = (F.col("new_mrr") + F.col("expansion_mrr") + F.col("churned_mrr")).cast("decimal(38,2)")
-    return (monthly.withColumn("net_mrr_change", net)
-            .orderBy(F.col("event_month").asc_nulls_last()))
+    out = monthly.withColumn("net_mrr_change", net)
+    return out.orderBy(F.col("event_month").asc_nulls_last()) if sort else out
 
 
-def fct_churn_ab_test_results(experiments: DataFrame) -> DataFrame:
+def fct_churn_ab_test_results(experiments: DataFrame, sort: bool = True) -> DataFrame:
     """MRT5: one row per variant x risk tier; total_accounts counts experiment rows."""
     outcome = F.col("outcome")
-    return (
+    out = (
         experiments.groupBy("variant", "risk_tier_at_assignment").agg(
             F.count(F.lit(1)).alias("total_accounts"),
             count_where(outcome == "churned").alias("churned_count"),
@@ -123,9 +126,11 @@ def fct_churn_ab_test_results(experiments: DataFrame) -> DataFrame:
         .select("variant", "risk_tier_at_assignment", "total_accounts", "churned_count",
                 "renewed_count", "churn_rate_pct", "total_pre_experiment_mrr",
                 "total_retained_mrr")
-        .orderBy(F.col("risk_tier_at_assignment").asc_nulls_last(),
-                 F.col("variant").asc_nulls_last())
     )
+    if not sort:
+        return out
+    return out.orderBy(F.col("risk_tier_at_assignment").asc_nulls_last(),
+                       F.col("variant").asc_nulls_last())
 
 
 def audit(df: DataFrame, checks: dict[str, Column], total_name: str = "total_rows") -> DataFrame:

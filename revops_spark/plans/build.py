@@ -23,8 +23,10 @@ MARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "fct_leads_funnel": ("stg_leads", m.fct_leads_funnel),
     "agg_conversion_rates": ("stg_leads", m.agg_conversion_rates),
     "agg_sales_cycle": ("stg_opportunities", m.agg_sales_cycle),
-    "fct_mrr_waterfall": ("stg_revenue_events", m.fct_mrr_waterfall),
-    "fct_churn_ab_test_results": ("stg_retention_experiments", m.fct_churn_ab_test_results),
+    # a table keeps no row order, so the models' ORDER BY is not executed on write
+    "fct_mrr_waterfall": ("stg_revenue_events", lambda df: m.fct_mrr_waterfall(df, sort=False)),
+    "fct_churn_ab_test_results": ("stg_retention_experiments",
+                                  lambda df: m.fct_churn_ab_test_results(df, sort=False)),
     "audit_data_quality_summary": ("stg_leads", m.audit_data_quality_summary),
 }
 

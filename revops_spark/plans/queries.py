@@ -90,13 +90,13 @@ def mrr_waterfall(spark, d):
 
 
 # --- experiment -----------------------------------------------------------------
-def _ab_mart(spark, d):
+def _ab_mart(spark, d, sort=False):
     return m.fct_churn_ab_test_results(
-        stg.stg_retention_experiments(td.retention_experiments(spark, d)))
+        stg.stg_retention_experiments(td.retention_experiments(spark, d)), sort=sort)
 
 
 def churn_ab_results(spark, d):
-    return report(_ab_mart(spark, d))
+    return report(_ab_mart(spark, d, sort=True))
 
 
 def ab_significance(spark, d):
