@@ -27,34 +27,37 @@ def is_blank(c: ColumnOrName) -> Column:
     return c.isNull() | (c == F.lit(""))
 
 
-def _div_exact(x: Column, y: Column) -> Column:
-    """Integer quotient of two non-negative integral Columns, exactly.
-
-    `x - x % y` is a multiple of y, so the decimal division has no remainder
-    and no rounding, whatever the magnitude.
-    """
-    q = (x - x % y).cast("decimal(38,0)") / y.cast("decimal(38,0)")
-    return q.cast("bigint")
+def sql_arg(e: str | Column) -> str:
+    """A column name or Spark SQL expression (text), parenthesised."""
+    if not isinstance(e, str):
+        raise TypeError("pass a column name or a Spark SQL expression as text")
+    return f"({e})"
 
 
-def round_ratio(num: ColumnOrName, den: ColumnOrName, scale: int = 2,
-                factor: int = 1) -> Column:
+def round_ratio_sql(num: str, den: str, scale: int = 2, factor: int = 1) -> str:
     """`round(num * factor / nullif(den, 0), scale)` for integral num and den.
 
     Rounds the exact rational HALF_UP (away from zero), like decimal
     arithmetic with unlimited scale, so ties never depend on floating point or
     on an intermediate decimal scale. NULL when den is 0 or NULL (SC2, SC4).
-    Returns a double holding the nearest binary value of the rounded decimal.
+    The integer quotient is taken as (x - x % y) / y in decimal(38,0): exact at
+    any magnitude. The result is the double nearest the rounded decimal.
     """
-    num, den = col(num).cast("bigint"), F.nullif(col(den).cast("bigint"), F.lit(0))
     m = (10 ** scale) * factor
-    a, b = F.abs(num), F.abs(den)
-    q = _div_exact(a * F.lit(2 * m) + b, b * F.lit(2))
-    signed = F.when((num < 0) != (den < 0), -q).otherwise(q)
-    return signed.cast("double") / F.lit(float(10 ** scale))
+    n = f"CAST({sql_arg(num)} AS BIGINT)"
+    dn = f"NULLIF(CAST({sql_arg(den)} AS BIGINT), 0)"
+    x = f"(abs({n}) * {2 * m} + abs({dn}))"
+    y = f"(abs({dn}) * 2)"
+    q = f"CAST(CAST({x} - {x} % {y} AS DECIMAL(38,0)) / CAST({y} AS DECIMAL(38,0)) AS BIGINT)"
+    signed = f"CASE WHEN ({n} < 0) <> ({dn} < 0) THEN -{q} ELSE {q} END"
+    return f"(CAST({signed} AS DOUBLE) / {10 ** scale}.0D)"
+
 
+def round_ratio(num: str, den: str, scale: int = 2, factor: int = 1) -> Column:
+    return F.expr(round_ratio_sql(num, den, scale, factor))
 
-def pct(num: ColumnOrName, den: ColumnOrName, scale: int = 2) -> Column:
+
+def pct(num: str, den: str, scale: int = 2) -> Column:
     """`round(num * 100.0 / nullif(den, 0), scale)` on counts (SC3)."""
     return round_ratio(num, den, scale, factor=100)
 
@@ -69,12 +72,17 @@ def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return F.date_diff(col(end).cast("date"), col(start).cast("date")).cast("bigint")
 
 
-def lookup(c: ColumnOrName, mapping: dict) -> Column:
-    """Keyed constant lookup; unknown keys give NULL (SC10)."""
-    pairs = []
-    for k, v in mapping.items():
-        pairs += [F.lit(k), F.lit(v)]
-    return F.try_element_at(F.create_map(*pairs), col(c))
+def sql_literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
+def lookup(key: str, mapping: dict) -> Column:
+    """Keyed constant lookup on a column name or SQL expression; unknown keys
+    give NULL (SC10). One literal map, built in a single JVM call."""
+    pairs = ", ".join(f"{sql_literal(k)}, {sql_literal(v)}" for k, v in mapping.items())
+    return F.expr(f"try_element_at(map({pairs}), {sql_arg(key)})")
 
 
 def money(c: ColumnOrName) -> Column:

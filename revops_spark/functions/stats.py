@@ -4,6 +4,12 @@ Spark has no erf / erfc / normal CDF, so the two-sided p-value is built from
 W. J. Cody's rational Chebyshev approximations of erfc (Math. Comp. 23, 1969).
 Normal quantiles depend only on constants (alpha, power), so they are computed
 once on the driver with the standard library and embedded as literals.
+
+The expressions are written as Spark SQL text and handed to the JVM in one
+`F.expr` call each: the same built-in expressions as the Column API, without
+one driver round trip per operator. Arguments are column names or Spark SQL
+expressions (text); every `*_sql` function returns text, its plain-named twin
+a Column.
 """
 
 from __future__ import annotations
@@ -14,8 +20,6 @@ from statistics import NormalDist
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .exprs import ColumnOrName, col
-
 # --- fixed values: erfc coefficients (Cody 1969), each list in order -------
 # y <= 0.46875: erfc(y) = 1 - y * R(y^2)
 ERF_SMALL_A = [3.16112374387056560, 113.864154151050156, 377.485237685302021,
@@ -42,32 +46,49 @@ ERFC_TAIL_K = 0.0163153871373020978
 _INV_SQRT_PI = 1.0 / math.sqrt(math.pi)
 
 
-def _rational(x: Column, a: list[float], b: list[float], k: float) -> Column:
+def d(x: float) -> str:
+    """A double literal that round-trips exactly."""
+    return f"{x!r}D"
+
+
+def _arg(e: str | Column) -> str:
+    if not isinstance(e, str):
+        raise TypeError("pass a column name or a Spark SQL expression as text")
+    return f"({e})"
+
+
+def _rational(x: str, a: list[float], b: list[float], k: float) -> str:
     """(k x^n + a0 x^(n-1) + ... + a_last) / (x^n + b0 x^(n-1) + ... + b_last), Horner form."""
-    num = F.lit(k) * x
-    den = x
+    num, den = f"({d(k)} * {x})", x
     for ai, bi in zip(a[:-1], b[:-1]):
-        num = (num + F.lit(ai)) * x
-        den = (den + F.lit(bi)) * x
-    return (num + F.lit(a[-1])) / (den + F.lit(b[-1]))
+        num = f"(({num} + {d(ai)}) * {x})"
+        den = f"(({den} + {d(bi)}) * {x})"
+    return f"(({num} + {d(a[-1])}) / ({den} + {d(b[-1])}))"
 
 
-def erfc(y: ColumnOrName) -> Column:
+def erfc_sql(y: str) -> str:
     """Complementary error function for y >= 0 (NULL in, NULL out)."""
-    y = col(y).cast("double")
-    y2 = y * y
-    small = F.lit(1.0) - y * _rational(y2, ERF_SMALL_A, ERF_SMALL_B, ERF_SMALL_K)
-    mid = F.exp(-y2) * _rational(y, ERFC_MID_A, ERFC_MID_B, ERFC_MID_K)
-    x = F.lit(1.0) / F.greatest(y2, F.lit(1.0))  # the guard only matters off-branch
-    tail = F.exp(-y2) / y * (F.lit(_INV_SQRT_PI) - x * _rational(x, ERFC_TAIL_A, ERFC_TAIL_B, ERFC_TAIL_K))
-    return (F.when(y <= 0.46875, small)
-             .when(y <= 4.0, mid)
-             .otherwise(tail))
-
-
-def two_sided_p(z: ColumnOrName) -> Column:
+    y = f"CAST({_arg(y)} AS DOUBLE)"
+    y2 = f"({y} * {y})"
+    small = f"(1.0D - {y} * {_rational(y2, ERF_SMALL_A, ERF_SMALL_B, ERF_SMALL_K)})"
+    mid = f"(exp(-{y2}) * {_rational(y, ERFC_MID_A, ERFC_MID_B, ERFC_MID_K)})"
+    x = f"(1.0D / greatest({y2}, 1.0D))"  # the guard only matters off-branch
+    tail = (f"(exp(-{y2}) / {y} * ({d(_INV_SQRT_PI)} - {x} * "
+            f"{_rational(x, ERFC_TAIL_A, ERFC_TAIL_B, ERFC_TAIL_K)}))")
+    return f"(CASE WHEN {y} <= 0.46875D THEN {small} WHEN {y} <= 4.0D THEN {mid} ELSE {tail} END)"
+
+
+def erfc(y: str) -> Column:
+    return F.expr(erfc_sql(y))
+
+
+def two_sided_p_sql(z: str) -> str:
     """P(|Z| >= |z|) for a standard normal Z: erfc(|z| / sqrt 2)."""
-    return erfc(F.abs(col(z)) / F.lit(math.sqrt(2.0)))
+    return erfc_sql(f"abs({_arg(z)}) / {d(math.sqrt(2.0))}")
+
+
+def two_sided_p(z: str) -> Column:
+    return F.expr(two_sided_p_sql(z))
 
 
 def z_crit(alpha: float = 0.05) -> float:
@@ -79,57 +100,88 @@ def z_power(power: float = 0.80) -> float:
     return NormalDist().inv_cdf(power)
 
 
-def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
+def _dbl(e: str) -> str:
+    return f"CAST({_arg(e)} AS DOUBLE)"
+
+
+def ratio_sql(num: str, den: str) -> str:
     """num / den as double; NULL when den is 0 (ANSI mode would raise)."""
-    return col(num).cast("double") / F.nullif(col(den).cast("double"), F.lit(0.0))
+    return f"({_dbl(num)} / NULLIF({_dbl(den)}, 0.0D))"
+
 
+def ratio(num: str, den: str) -> Column:
+    return F.expr(ratio_sql(num, den))
 
-def pooled_z(c1: ColumnOrName, n1: ColumnOrName, c2: ColumnOrName, n2: ColumnOrName) -> Column:
+
+def pooled_z_sql(c1: str, n1: str, c2: str, n2: str) -> str:
     """Two-proportion z statistic with the pooled proportion (ST1).
 
     z = (p1 - p2) / sqrt(p (1 - p) (1/n1 + 1/n2)), p = (c1 + c2) / (n1 + n2).
     NULL when an arm is empty or the pooled proportion is 0 or 1.
     """
-    c1, n1, c2, n2 = (col(v).cast("double") for v in (c1, n1, c2, n2))
-    p1, p2 = ratio(c1, n1), ratio(c2, n2)
-    p = ratio(c1 + c2, n1 + n2)
-    var = p * (F.lit(1.0) - p) * (F.lit(1.0) / n1 + F.lit(1.0) / n2)
-    return (p1 - p2) / F.sqrt(F.nullif(var, F.lit(0.0)))
+    c1, n1, c2, n2 = (_dbl(v) for v in (c1, n1, c2, n2))
+    p1, p2 = ratio_sql(c1, n1), ratio_sql(c2, n2)
+    p = ratio_sql(f"{c1} + {c2}", f"{n1} + {n2}")
+    var = f"({p} * (1.0D - {p}) * (1.0D / {n1} + 1.0D / {n2}))"
+    return f"(({p1} - {p2}) / sqrt(NULLIF({var}, 0.0D)))"
+
+
+def pooled_z(c1: str, n1: str, c2: str, n2: str) -> Column:
+    return F.expr(pooled_z_sql(c1, n1, c2, n2))
 
 
-def wilson_bounds(c: ColumnOrName, n: ColumnOrName, alpha: float = 0.05) -> tuple[Column, Column]:
-    """Wilson score interval for one proportion (ST3)."""
+def wilson_sql(c: str, n: str, alpha: float = 0.05) -> tuple[str, str]:
+    """Wilson score interval for one proportion (ST3): (low, high)."""
     zc = z_crit(alpha)
-    n = col(n).cast("double")
-    q = ratio(c, n)
-    crit2 = F.lit(zc * zc)
-    denom = F.lit(1.0) + crit2 / n
-    center = (q + crit2 / (F.lit(2.0) * n)) / denom
-    dist = F.lit(zc) * F.sqrt(q * (F.lit(1.0) - q) / n + crit2 / (F.lit(4.0) * n * n)) / denom
-    return center - dist, center + dist
-
-
-def newcombe_bounds(c1, n1, c2, n2, alpha: float = 0.05) -> tuple[Column, Column]:
-    """Interval for p1 - p2 from the two Wilson intervals (Newcombe 1998, method 10) (ST8)."""
-    p1, p2 = ratio(c1, n1), ratio(c2, n2)
-    l1, u1 = wilson_bounds(c1, n1, alpha)
-    l2, u2 = wilson_bounds(c2, n2, alpha)
-    d = p1 - p2
-    low = d - F.sqrt((p1 - l1) * (p1 - l1) + (u2 - p2) * (u2 - p2))
-    high = d + F.sqrt((u1 - p1) * (u1 - p1) + (p2 - l2) * (p2 - l2))
+    n = _dbl(n)
+    q = ratio_sql(c, n)
+    crit2 = d(zc * zc)
+    denom = f"(1.0D + {crit2} / {n})"
+    center = f"(({q} + {crit2} / (2.0D * {n})) / {denom})"
+    dist = f"({d(zc)} * sqrt({q} * (1.0D - {q}) / {n} + {crit2} / (4.0D * {n} * {n})) / {denom})"
+    return f"({center} - {dist})", f"({center} + {dist})"
+
+
+def wilson_bounds(c: str, n: str, alpha: float = 0.05) -> tuple[Column, Column]:
+    low, high = wilson_sql(c, n, alpha)
+    return F.expr(low), F.expr(high)
+
+
+def newcombe_sql(p1: str, l1: str, u1: str, p2: str, l2: str, u2: str) -> tuple[str, str]:
+    """Interval for p1 - p2 from the two Wilson intervals (Newcombe 1998,
+    method 10) (ST8), given each rate and its Wilson bounds."""
+    p1, l1, u1, p2, l2, u2 = (_arg(v) for v in (p1, l1, u1, p2, l2, u2))
+    diff = f"({p1} - {p2})"
+    low = f"({diff} - sqrt(({p1} - {l1}) * ({p1} - {l1}) + ({u2} - {p2}) * ({u2} - {p2})))"
+    high = f"({diff} + sqrt(({u1} - {p1}) * ({u1} - {p1}) + ({p2} - {l2}) * ({p2} - {l2})))"
     return low, high
 
 
-def cohens_h(p1: ColumnOrName, p2: ColumnOrName) -> Column:
+def newcombe_bounds(c1: str, n1: str, c2: str, n2: str,
+                    alpha: float = 0.05) -> tuple[Column, Column]:
+    l1, u1 = wilson_sql(c1, n1, alpha)
+    l2, u2 = wilson_sql(c2, n2, alpha)
+    low, high = newcombe_sql(ratio_sql(c1, n1), l1, u1, ratio_sql(c2, n2), l2, u2)
+    return F.expr(low), F.expr(high)
+
+
+def cohens_h_sql(p1: str, p2: str) -> str:
     """Effect size 2 asin(sqrt p1) - 2 asin(sqrt p2) (ST5)."""
-    return (F.lit(2.0) * F.asin(F.sqrt(col(p1))) - F.lit(2.0) * F.asin(F.sqrt(col(p2))))
+    return f"(2.0D * asin(sqrt({_arg(p1)})) - 2.0D * asin(sqrt({_arg(p2)})))"
+
 
+def cohens_h(p1: str, p2: str) -> Column:
+    return F.expr(cohens_h_sql(p1, p2))
 
-def n_per_group(h: ColumnOrName, alpha: float = 0.05, power: float = 0.80) -> Column:
+
+def n_per_group_sql(h: str, alpha: float = 0.05, power: float = 0.80) -> str:
     """Sample size per arm for a two-sided normal test, equal arms (ST6).
 
     Closed form 2 ((z_(1-alpha/2) + z_power) / |h|)^2; NULL when h is 0.
     """
-    zsum = z_crit(alpha) + z_power(power)
-    r = F.lit(zsum) / F.nullif(F.abs(col(h)), F.lit(0.0))
-    return F.lit(2.0) * (r * r)
+    r = f"({d(z_crit(alpha) + z_power(power))} / NULLIF(abs({_arg(h)}), 0.0D))"
+    return f"(2.0D * ({r} * {r}))"
+
+
+def n_per_group(h: str, alpha: float = 0.05, power: float = 0.80) -> Column:
+    return F.expr(n_per_group_sql(h, alpha, power))

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ColumnOrName, col
-from ..functions.stats import (cohens_h, n_per_group, newcombe_bounds, pooled_z, ratio,
-                               two_sided_p, wilson_bounds)
+from ..functions.stats import (cohens_h_sql, n_per_group_sql, newcombe_sql, pooled_z_sql,
+                               ratio_sql, two_sided_p_sql, wilson_sql)
 
 # --- fixed values: eligible tiers, variants, treatments --------------------
 ELIGIBLE_TIERS = ["high_risk", "watch"]
@@ -86,10 +86,8 @@ def _arms(mart: DataFrame) -> DataFrame:
     `grouping_id` tells the overall row apart from a real NULL tier. A missing
     arm leaves its columns NULL, and so every statistic that needs it.
     """
-    v = F.col("variant")
-
     def arm(name: str, column: str) -> Column:
-        return F.sum(F.when(v == name, F.col(column)))
+        return F.expr(f"sum(CASE WHEN variant = '{name}' THEN {column} END)")
 
     rolled = mart.rollup("risk_tier_at_assignment").agg(
         arm(CONTROL, "churned_count").alias("control_churned"),
@@ -98,17 +96,20 @@ def _arms(mart: DataFrame) -> DataFrame:
         arm(TREATMENT, "total_accounts").alias("treatment_total"),
         F.grouping_id().alias("_level"),
     )
-    is_overall = F.col("_level") == 1
-    return rolled.select(
-        F.when(is_overall, F.lit("overall")).otherwise(F.col("risk_tier_at_assignment"))
-        .alias("stratum"),
-        is_overall.alias("is_overall"),
+    return rolled.selectExpr(
+        "CASE WHEN _level = 1 THEN 'overall' ELSE risk_tier_at_assignment END AS stratum",
+        "_level = 1 AS is_overall",
         "control_churned", "control_total", "treatment_churned", "treatment_total",
-        ratio("control_churned", "control_total").alias("control_churn_rate"),
-        ratio("treatment_churned", "treatment_total").alias("treatment_churn_rate"),
+        f"{ratio_sql('control_churned', 'control_total')} AS control_churn_rate",
+        f"{ratio_sql('treatment_churned', 'treatment_total')} AS treatment_churn_rate",
     )
 
 
+def _presentation_order(df: DataFrame) -> DataFrame:
+    """Tiers first, the overall row last."""
+    return df.orderBy("is_overall", F.col("stratum").asc_nulls_last())
+
+
 def ab_significance(mart: DataFrame, alpha: float = 0.05) -> DataFrame:
     """ST1-ST4, ST7, ST8, MRT10 over the churn A/B mart (MRT5).
 
@@ -118,38 +119,34 @@ def ab_significance(mart: DataFrame, alpha: float = 0.05) -> DataFrame:
     and a Newcombe interval for the difference.
     """
     cc, nc, ct, nt = "control_churned", "control_total", "treatment_churned", "treatment_total"
-    z = pooled_z(cc, nc, ct, nt)
-    lo_c, hi_c = wilson_bounds(cc, nc, alpha)
-    lo_t, hi_t = wilson_bounds(ct, nt, alpha)
-    lo_d, hi_d = newcombe_bounds(cc, nc, ct, nt, alpha)
-    out = _arms(mart).select(
+    lo_c, hi_c = wilson_sql(cc, nc, alpha)
+    lo_t, hi_t = wilson_sql(ct, nt, alpha)
+    tested = _arms(mart).selectExpr(
         "*",
-        (F.col("control_churn_rate") - F.col("treatment_churn_rate")).alias("rate_difference"),
-        z.alias("z_stat"),
-        lo_c.alias("control_ci_low"), hi_c.alias("control_ci_high"),
-        lo_t.alias("treatment_ci_low"), hi_t.alias("treatment_ci_high"),
-        lo_d.alias("diff_ci_low"), hi_d.alias("diff_ci_high"),
+        "control_churn_rate - treatment_churn_rate AS rate_difference",
+        f"{pooled_z_sql(cc, nc, ct, nt)} AS z_stat",
+        f"{lo_c} AS control_ci_low", f"{hi_c} AS control_ci_high",
+        f"{lo_t} AS treatment_ci_low", f"{hi_t} AS treatment_ci_high",
     )
-    p = two_sided_p("z_stat")
-    return (out.withColumn("p_value", p)
-            .withColumn("significant", F.col("p_value") < F.lit(alpha))
-            .orderBy("is_overall", F.col("stratum").asc_nulls_last()))
+    lo_d, hi_d = newcombe_sql("control_churn_rate", "control_ci_low", "control_ci_high",
+                              "treatment_churn_rate", "treatment_ci_low", "treatment_ci_high")
+    out = tested.selectExpr("*", f"{lo_d} AS diff_ci_low", f"{hi_d} AS diff_ci_high",
+                            f"{two_sided_p_sql('z_stat')} AS p_value")
+    return _presentation_order(out.selectExpr("*", f"p_value < {alpha!r}D AS significant"))
 
 
 def ab_power(mart: DataFrame, alpha: float = 0.05, power: float = 0.80) -> DataFrame:
     """ST5 + ST6 per stratum: Cohen's h of the observed rates and the sample
     size per group needed for `power` at two-sided `alpha`, next to the actual
     arm sizes."""
-    h = cohens_h("control_churn_rate", "treatment_churn_rate")
-    out = _arms(mart).withColumn("cohens_h", h)
-    need = n_per_group("cohens_h", alpha, power)
-    return (out.withColumn("required_n_per_group", need)
-            .withColumn("adequately_powered",
-                        F.least("control_total", "treatment_total") >= F.col("required_n_per_group"))
-            .select("stratum", "is_overall", "control_total", "treatment_total",
-                    "control_churn_rate", "treatment_churn_rate", "cohens_h",
-                    "required_n_per_group", "adequately_powered")
-            .orderBy("is_overall", F.col("stratum").asc_nulls_last()))
+    h = _arms(mart).selectExpr(
+        "stratum", "is_overall", "control_total", "treatment_total", "control_churn_rate",
+        "treatment_churn_rate",
+        f"{cohens_h_sql('control_churn_rate', 'treatment_churn_rate')} AS cohens_h")
+    need = h.selectExpr("*", f"{n_per_group_sql('cohens_h', alpha, power)} AS required_n_per_group")
+    out = need.selectExpr(
+        "*", "least(control_total, treatment_total) >= required_n_per_group AS adequately_powered")
+    return _presentation_order(out)
 
 
 def build_experiments(eligible: DataFrame, key: ColumnOrName, salt: str,

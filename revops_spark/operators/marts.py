@@ -72,7 +72,7 @@ def agg_sales_cycle(opps: DataFrame) -> DataFrame:
     deals = closed_deals(opps).select("segment", days.alias("sales_cycle_days"))
     return deals.groupBy("segment").agg(
         F.count(F.lit(1)).alias("total_closed_deals"),
-        round_ratio(F.sum("sales_cycle_days"), F.count("sales_cycle_days"), 1)
+        round_ratio("sum(sales_cycle_days)", "count(sales_cycle_days)", 1)
         .alias("avg_sales_cycle_days"),
         F.min("sales_cycle_days").alias("min_sales_cycle_days"),
         F.max("sales_cycle_days").alias("max_sales_cycle_days"),
@@ -139,19 +139,22 @@ def audit(df: DataFrame, checks: dict[str, Column], total_name: str = "total_row
     issue_rate_pct = issues / (rows x checks), data_quality_score_pct =
     100 - that rate, each rounded on its own; NULL rates for an empty input.
     """
-    n_checks = len(checks)
     counts = df.agg(F.count(F.lit(1)).alias(total_name),
                     *[count_where(pred).alias(name) for name, pred in checks.items()])
-    issues = sum((F.col(name) for name in checks), F.lit(0))
-    cells = F.col(total_name) * F.lit(n_checks)
+    issues, cells = _issues_and_cells(checks, total_name)
     return counts.select(
         total_name, *checks,
-        issues.alias("total_issues"),
+        F.expr(issues).alias("total_issues"),
         pct(issues, cells).alias("issue_rate_pct"),
-        pct(cells - issues, cells).alias("data_quality_score_pct"),
+        pct(f"{cells} - ({issues})", cells).alias("data_quality_score_pct"),
     )
 
 
+def _issues_and_cells(checks: dict[str, Column], total_name: str) -> tuple[str, str]:
+    """SQL text: the sum of the failed-check counts, and rows x checks."""
+    return " + ".join(checks), f"{total_name} * {len(checks)}"
+
+
 def lead_quality_checks() -> dict[str, Column]:
     return {
         "missing_lead_source_count": is_blank("lead_source"),
@@ -177,11 +180,10 @@ def kpi_scorecard(leads: DataFrame) -> DataFrame:
         count_where(F.col("status") == OPPORTUNITY).alias("opportunity_count"),
         *[count_where(pred).alias(name) for name, pred in checks.items()],
     )
-    issues = sum((F.col(name) for name in checks), F.lit(0))
-    cells = F.col("total_leads") * F.lit(len(checks))
+    issues, cells = _issues_and_cells(checks, "total_leads")
     return counts.select(
         "total_leads", "opportunity_count",
-        pct(cells - issues, cells).alias("data_quality_score"),
+        pct(f"{cells} - ({issues})", cells).alias("data_quality_score"),
         "missing_lead_source_count",
     )
 

@@ -67,12 +67,12 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     cust = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
-    k = F.get_json_object("props", "$.k").try_cast("int")
+    k = "try_cast(get_json_object(props, '$.k') AS INT)"
     sources = dict(enumerate(LEAD_SOURCES)) | {len(LEAD_SOURCES): ""}
     return ev.join(cust, "user_id", "left").select(
         F.col("event_id").cast("string").alias("lead_id"),
         "segment",
-        lookup(k % F.lit(9), sources).alias("lead_source"),
+        lookup(f"{k} % 9", sources).alias("lead_source"),
         lookup("event_type", EVENT_TO_STATUS).alias("status"),
         F.col("ts").cast("date").alias("created_at"),
     )
