@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import experiments as ex
@@ -27,20 +26,21 @@ SAMPLE_SIZE_DIGITS = 4  # sample sizes grow as 1/h^2; 10 decimals would exceed d
 
 def report(df: DataFrame, round_doubles: bool = False,
            digits: dict[str, int] | None = None) -> DataFrame:
-    """Dates -> 'yyyy-MM-dd' text, decimals -> double; optionally round doubles
+    """Dates -> ISO 'yyyy-MM-dd' text, decimals -> double; optionally round doubles
     (to STAT_DIGITS, or to `digits[name]` for the named columns)."""
     digits = digits or {}
-    cols = []
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f.name)
+        name = f"`{f.name}`"
+        e = name
         if isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            e = f"CAST({name} AS STRING)"  # ISO yyyy-MM-dd
         elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
+            e = f"CAST({name} AS DOUBLE)"
         elif round_doubles and isinstance(f.dataType, T.DoubleType):
-            c = F.round(c, digits.get(f.name, STAT_DIGITS))
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"round({name}, {digits.get(f.name, STAT_DIGITS)})"
+        exprs.append(f"{e} AS {name}")
+    return df.selectExpr(*exprs)
 
 
 # --- leads --------------------------------------------------------------------
