@@ -27,27 +27,44 @@ EVENT_NEW, EVENT_EXPANSION, EVENT_CHURN = "new", "expansion", "churn"
 # ---------------------------------------------------------------------------
 
 
-def _funnel_counts(status: Column) -> list[Column]:
+def tally(predicate: Column | None = None, weight: str | None = None) -> Column:
+    """`count(*)` or `count(case when p then 1 end)`; with `weight`, the same
+    counts over pre-aggregated rows, each standing for `weight` rows. 0, never
+    NULL, either way."""
+    if weight is None:
+        return F.count(F.lit(1)) if predicate is None else count_where(predicate)
+    w = F.col(weight)
+    total = F.sum(w) if predicate is None else F.sum(F.when(predicate, w))
+    return F.coalesce(total, F.lit(0)).cast("bigint")
+
+
+def _funnel_counts(status: Column, weight: str | None = None) -> list[Column]:
     """Cumulative funnel: an MQL count includes leads that went further."""
     return [
-        F.count(F.lit(1)).alias("total_leads"),
-        count_where(status.isin(MQL_OR_LATER)).alias("mql_count"),
-        count_where(status.isin(SQL_OR_LATER)).alias("sql_count"),
-        count_where(status == OPPORTUNITY).alias("opportunity_count"),
+        tally(None, weight).alias("total_leads"),
+        tally(status.isin(MQL_OR_LATER), weight).alias("mql_count"),
+        tally(status.isin(SQL_OR_LATER), weight).alias("sql_count"),
+        tally(status == OPPORTUNITY, weight).alias("opportunity_count"),
     ]
 
 
-def fct_leads_funnel(leads: DataFrame) -> DataFrame:
+# The lead marts accept `weight`: the name of a count column when the leads
+# arrive pre-aggregated (one row per distinct attribute combination). Rolling a
+# fact table up before it is joined to a dimension shrinks that join's shuffle
+# from one row per lead to one row per combination.
+
+def fct_leads_funnel(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT1: segment, total_leads, mql_count, sql_count, opportunity_count."""
-    return leads.groupBy("segment").agg(*_funnel_counts(F.col("status")))
+    return leads.groupBy("segment").agg(*_funnel_counts(F.col("status"), weight))
 
 
-def agg_conversion_rates(leads: DataFrame) -> DataFrame:
+def agg_conversion_rates(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT2: the funnel by segment and source, with step rates over the previous stage.
 
     A NULL and an empty-string lead_source are two different groups.
     """
-    counts = leads.groupBy("segment", "lead_source").agg(*_funnel_counts(F.col("status")))
+    counts = leads.groupBy("segment", "lead_source").agg(
+        *_funnel_counts(F.col("status"), weight))
     return counts.select(
         "segment", "lead_source", "total_leads", "mql_count", "sql_count", "opportunity_count",
         pct("mql_count", "total_leads").alias("lead_to_mql_pct"),
@@ -133,14 +150,15 @@ def fct_churn_ab_test_results(experiments: DataFrame, sort: bool = True) -> Data
                        F.col("variant").asc_nulls_last())
 
 
-def audit(df: DataFrame, checks: dict[str, Column], total_name: str = "total_rows") -> DataFrame:
+def audit(df: DataFrame, checks: dict[str, Column], total_name: str = "total_rows",
+          weight: str | None = None) -> DataFrame:
     """Generalised data-quality audit: one row, a count per failed check.
 
     issue_rate_pct = issues / (rows x checks), data_quality_score_pct =
     100 - that rate, each rounded on its own; NULL rates for an empty input.
     """
-    counts = df.agg(F.count(F.lit(1)).alias(total_name),
-                    *[count_where(pred).alias(name) for name, pred in checks.items()])
+    counts = df.agg(tally(None, weight).alias(total_name),
+                    *[tally(pred, weight).alias(name) for name, pred in checks.items()])
     issues, cells = _issues_and_cells(checks, total_name)
     return counts.select(
         total_name, *checks,
@@ -163,12 +181,12 @@ def lead_quality_checks() -> dict[str, Column]:
     }
 
 
-def audit_data_quality_summary(leads: DataFrame) -> DataFrame:
+def audit_data_quality_summary(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT6: total_leads, 3 missing counts, total_issues, issue_rate_pct, data_quality_score_pct."""
-    return audit(leads, lead_quality_checks(), total_name="total_leads")
+    return audit(leads, lead_quality_checks(), total_name="total_leads", weight=weight)
 
 
-def kpi_scorecard(leads: DataFrame) -> DataFrame:
+def kpi_scorecard(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT7: total_leads, opportunity_count, data_quality_score, missing_lead_source_count.
 
     One global aggregate over the leads (no join of one-row frames).
@@ -176,9 +194,9 @@ def kpi_scorecard(leads: DataFrame) -> DataFrame:
     """
     checks = lead_quality_checks()
     counts = leads.agg(
-        F.count(F.lit(1)).alias("total_leads"),
-        count_where(F.col("status") == OPPORTUNITY).alias("opportunity_count"),
-        *[count_where(pred).alias(name) for name, pred in checks.items()],
+        tally(None, weight).alias("total_leads"),
+        tally(F.col("status") == OPPORTUNITY, weight).alias("opportunity_count"),
+        *[tally(pred, weight).alias(name) for name, pred in checks.items()],
     )
     issues, cells = _issues_and_cells(checks, "total_leads")
     return counts.select(
@@ -192,9 +210,9 @@ FUNNEL_STAGES = [("Lead", "total_leads"), ("MQL", "mql_count"), ("SQL", "sql_cou
                  ("Opportunity", "opportunity_count")]
 
 
-def funnel_long(leads: DataFrame) -> DataFrame:
+def funnel_long(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT8: the lead-to-opportunity funnel in long form: stage_order, stage, n."""
-    totals = leads.agg(*_funnel_counts(F.col("status")))
+    totals = leads.agg(*_funnel_counts(F.col("status"), weight))
     stages = F.array(*[
         F.struct(F.lit(i + 1).alias("stage_order"), F.lit(label).alias("stage"),
                  F.col(column).alias("n"))

@@ -48,12 +48,17 @@ def _leads(spark, d):
     return stg.stg_leads(td.leads(spark, d))
 
 
+def _tallies(spark, d):
+    """Leads pre-aggregated before the customer join; the marts take weight="n"."""
+    return td.lead_tallies(spark, d)
+
+
 def leads_funnel(spark, d):
-    return report(m.fct_leads_funnel(_leads(spark, d)))
+    return report(m.fct_leads_funnel(_tallies(spark, d), weight="n"))
 
 
 def conversion_rates(spark, d):
-    return report(m.agg_conversion_rates(_leads(spark, d)))
+    return report(m.agg_conversion_rates(_tallies(spark, d), weight="n"))
 
 
 def qualified_leads(spark, d):
@@ -61,15 +66,15 @@ def qualified_leads(spark, d):
 
 
 def data_quality(spark, d):
-    return report(m.audit_data_quality_summary(_leads(spark, d)))
+    return report(m.audit_data_quality_summary(_tallies(spark, d), weight="n"))
 
 
 def kpi_scorecard(spark, d):
-    return report(m.kpi_scorecard(_leads(spark, d)))
+    return report(m.kpi_scorecard(_tallies(spark, d), weight="n"))
 
 
 def funnel_long(spark, d):
-    return report(m.funnel_long(_leads(spark, d)))
+    return report(m.funnel_long(_tallies(spark, d), weight="n"))
 
 
 # --- opportunities and revenue ----------------------------------------------------

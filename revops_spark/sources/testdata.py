@@ -78,6 +78,31 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lead_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leads adapter rolled up: segment, lead_source, status, created_at
+    and `n`, the number of leads with exactly those values.
+
+    Events are counted per (user, event type, source index, day) before the
+    customer join. Partial aggregation collapses a hot user inside each scan
+    task, and only these tallies, not every event row, are shuffled into the
+    join that supplies the segment.
+    """
+    ev = table(spark, sf_dir, "events").selectExpr(
+        "user_id", "event_type",
+        "try_cast(get_json_object(props, '$.k') AS INT) % 9 AS source_index",
+        "CAST(ts AS DATE) AS created_at")
+    per_user = ev.groupBy("user_id", "event_type", "source_index", "created_at").agg(
+        F.count(F.lit(1)).alias("n"))
+    cust = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+    sources = dict(enumerate(LEAD_SOURCES)) | {len(LEAD_SOURCES): ""}
+    return per_user.join(cust, "user_id", "left").select(
+        "segment",
+        lookup("source_index", sources).alias("lead_source"),
+        lookup("event_type", EVENT_TO_STATUS).alias("status"),
+        "created_at", "n")
+
+
 def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One opportunity per order; it closes at its last shipment."""
     orders = table(spark, sf_dir, "orders").select(
