@@ -53,32 +53,48 @@ def derive_subscriptions(opps: DataFrame, as_of: DateLike,
     )
 
 
-def derive_revenue_events(subs: DataFrame, expansions: DataFrame, as_of: DateLike) -> DataFrame:
-    """BR3: revenue events of each subscription.
-
-    `new` (+mrr) at the start; `churn` (-mrr) at the end of a churned one, both
-    from one pass over the subscriptions; each `expansion` row (sub_id,
-    expansion_date, amount) of an active subscription dated before as-of.
+def derive_revenue_events(subs: DataFrame, as_of: DateLike,
+                          expansion_date: ColumnOrName | None = None,
+                          expansion_amount: ColumnOrName | None = None,
+                          expansions: DataFrame | None = None) -> DataFrame:
+    """BR3: the revenue events of each subscription.
+
+    `new` (+mrr) at the start; `churn` (-mrr) at the end of a churned one; an
+    `expansion` for an active subscription whose expansion falls before as-of.
+
+    As in the reference, a subscription expands at most once, so its expansion
+    can be two columns of the subscription row (`expansion_date`,
+    `expansion_amount`, NULL for none): then every event comes from one pass
+    over the subscriptions (an array of candidate events, NULLs filtered,
+    exploded) with no join and no second scan. A separate `expansions` table
+    (sub_id, expansion_date, amount; any number per subscription) is joined to
+    the active subscriptions instead.
     """
-    churned = F.col("status") == "churned"
-    lifecycle = F.array(
+    churned, active = F.col("status") == "churned", F.col("status") == "active"
+    events = [
         F.struct(F.lit("new").alias("type"), F.col("mrr").alias("amount"),
                  F.col("start_date").alias("event_date")),
         F.when(churned, F.struct(F.lit("churn").alias("type"), (-F.col("mrr")).alias("amount"),
                                  F.col("end_date").alias("event_date"))),
-    )
-    base = subs.select("account_id", "sub_id",
-                       F.inline(F.filter(lifecycle, lambda e: e.isNotNull())))
-    active = subs.filter(F.col("status") == "active").select("sub_id", "account_id")
-    grown = (expansions.filter(F.col("expansion_date") < _date(as_of))
-             .join(active, "sub_id", "inner")
-             .select("account_id", "sub_id", F.lit("expansion").alias("type"),
-                     F.col("amount").cast("decimal(18,2)").alias("amount"),
-                     F.col("expansion_date").alias("event_date")))
-    events = base.unionByName(grown)
+    ]
+    if expansion_date is not None:
+        grows = active & (col(expansion_date) < _date(as_of))
+        events.append(F.when(grows, F.struct(
+            F.lit("expansion").alias("type"),
+            col(expansion_amount).cast("decimal(18,2)").alias("amount"),
+            col(expansion_date).cast("date").alias("event_date"))))
+    out = subs.select("account_id", "sub_id",
+                      F.inline(F.filter(F.array(*events), lambda e: e.isNotNull())))
+    if expansions is not None:
+        grown = (expansions.filter(F.col("expansion_date") < _date(as_of))
+                 .join(subs.filter(active).select("sub_id", "account_id"), "sub_id", "inner")
+                 .select("account_id", "sub_id", F.lit("expansion").alias("type"),
+                         F.col("amount").cast("decimal(18,2)").alias("amount"),
+                         F.col("expansion_date").alias("event_date")))
+        out = out.unionByName(grown)
     event_id = F.concat_ws("-", "sub_id", "type", F.date_format("event_date", "yyyyMMdd"))
-    return events.select(event_id.alias("event_id"), "account_id", "sub_id", "type",
-                         "amount", "event_date")
+    return out.select(event_id.alias("event_id"), "account_id", "sub_id", "type",
+                      "amount", "event_date")
 
 
 def health_score(usage: ColumnOrName, logins: ColumnOrName, tickets: ColumnOrName) -> Column:

@@ -203,19 +203,20 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive_subscriptions(opportunities(spark, sf_dir), AS_OF, end)
 
 
-def expansions(subs: DataFrame) -> DataFrame:
-    """18 % of subscriptions expand by 20 % of mrr, 60 + key % 341 days after the start."""
+def expansion_columns() -> tuple:
+    """The expansion drawn for a subscription (NULL for none): 18 % of them
+    expand by 20 % of mrr, 60 + key % 341 days after the start."""
     key = _num_key("sub_id")
-    return subs.filter(key % 100 >= 82).select(
-        "sub_id",
-        F.date_add("start_date", (F.lit(60) + key % 341).cast("int")).alias("expansion_date"),
-        F.round(F.col("mrr") * F.lit(0.20), 2).cast("decimal(18,2)").alias("amount"))
+    drawn = key % 100 >= 82
+    date = F.when(drawn, F.date_add("start_date", (F.lit(60) + key % 341).cast("int")))
+    amount = F.when(drawn, F.round(F.col("mrr") * F.lit(0.20), 2).cast("decimal(18,2)"))
+    return date, amount
 
 
 def lifecycle_revenue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BR3 over the subscriptions adapter."""
-    subs = subscriptions(spark, sf_dir)
-    return derive_revenue_events(subs, expansions(subs), AS_OF)
+    """BR3 over the subscriptions adapter, in one pass over the subscriptions."""
+    date, amount = expansion_columns()
+    return derive_revenue_events(subscriptions(spark, sf_dir), AS_OF, date, amount)
 
 
 def snapshot_offset():

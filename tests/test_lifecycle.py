@@ -62,7 +62,12 @@ def test_revenue_events(spark):
         ("s3", dt.date(2026, 8, 1), Decimal("1.00")),     # after as-of -> dropped
     ], "sub_id string, expansion_date date, amount decimal(18,2)")
     ev = sorted((r.sub_id, r.type, r.amount, r.event_date)
-                for r in lc.derive_revenue_events(subs, exps, AS_OF).collect())
+                for r in lc.derive_revenue_events(subs, AS_OF, expansions=exps).collect())
+    # the same expansions as columns of the subscription rows: one pass, same events
+    as_cols = subs.join(exps.withColumnRenamed("amount", "x_amount"), "sub_id", "left")
+    one_pass = sorted((r.sub_id, r.type, r.amount, r.event_date) for r in lc.derive_revenue_events(
+        as_cols, AS_OF, "expansion_date", "x_amount").collect())
+    assert one_pass == ev
     assert ev == [
         ("s1", "churn", Decimal("-100.00"), dt.date(2025, 6, 1)),
         ("s1", "new", Decimal("100.00"), dt.date(2025, 1, 1)),
