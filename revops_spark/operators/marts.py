@@ -51,7 +51,18 @@ def _funnel_counts(status: Column, weight: str | None = None) -> list[Column]:
 # The lead marts accept `weight`: the name of a count column when the leads
 # arrive pre-aggregated (one row per distinct attribute combination). Rolling a
 # fact table up before it is joined to a dimension shrinks that join's shuffle
-# from one row per lead to one row per combination.
+# from one row per lead to one row per combination, and one roll-up can feed
+# every lead mart.
+
+LEAD_ATTRIBUTES = ["segment", "lead_source", "status", "created_at"]
+
+
+def lead_tallies(leads: DataFrame, weight_name: str = "n") -> DataFrame:
+    """Leads rolled up to their distinct (segment, lead_source, status,
+    created_at) combinations with the number of leads in each; every lead mart
+    gives the same result on this with `weight=weight_name`."""
+    return leads.groupBy(*LEAD_ATTRIBUTES).agg(F.count(F.lit(1)).alias(weight_name))
+
 
 def fct_leads_funnel(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT1: segment, total_leads, mql_count, sql_count, opportunity_count."""

@@ -4,6 +4,11 @@ The reference's model graph has depth 2: every mart reads exactly one staging
 model. Staging models are views (lazy projections, so a mart's scan is pruned
 to the columns it uses); marts are written as Parquet tables, which also cuts
 the lineage for everything that reads them afterwards (the A/B statistics).
+
+Three marts read the leads. Instead of three scans, the leads are rolled up
+once to their distinct attribute combinations (a small result: segments x
+sources x statuses x days), checkpointed to the cluster's checkpoint folder,
+and the three marts are computed from that with weights.
 """
 
 from __future__ import annotations
@@ -15,19 +20,25 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import experiments as ex
 from ..operators import marts as m
 from ..operators.staging import STAGING
+from ..session import checkpoint_dir
 from ..sources.files import (ensure_schema, fetch_ab_test_data, layer_schema, raw_table,
                              write_table, write_view)
 
+# marts computed from the leads roll-up, with weight="n"
+LEAD_MARTS: dict[str, Callable[..., DataFrame]] = {
+    "fct_leads_funnel": m.fct_leads_funnel,
+    "agg_conversion_rates": m.agg_conversion_rates,
+    "audit_data_quality_summary": m.audit_data_quality_summary,
+}
+
 # mart name -> (staging model it reads, transform)
 MARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
-    "fct_leads_funnel": ("stg_leads", m.fct_leads_funnel),
-    "agg_conversion_rates": ("stg_leads", m.agg_conversion_rates),
+    **{name: ("stg_leads", f) for name, f in LEAD_MARTS.items()},
     "agg_sales_cycle": ("stg_opportunities", m.agg_sales_cycle),
     # a table keeps no row order, so the models' ORDER BY is not executed on write
     "fct_mrr_waterfall": ("stg_revenue_events", lambda df: m.fct_mrr_waterfall(df, sort=False)),
     "fct_churn_ab_test_results": ("stg_retention_experiments",
                                   lambda df: m.fct_churn_ab_test_results(df, sort=False)),
-    "audit_data_quality_summary": ("stg_leads", m.audit_data_quality_summary),
 }
 
 
@@ -50,11 +61,20 @@ def build_marts(spark: SparkSession, staging: dict[str, DataFrame],
                 mode: str = "overwrite", only: list[str] | None = None) -> DataFrame:
     """Write each mart whose staging input is present; returns (mart, rows)."""
     schema = ensure_schema(spark, layer_schema(custom_schema, default_schema))
+    wanted = [n for n, (source, _) in MARTS.items()
+              if (not only or n in only) and source in staging]
+    tallies = None
+    if any(n in LEAD_MARTS for n in wanted):
+        checkpoint_dir(spark)
+        tallies = m.lead_tallies(staging["stg_leads"]).checkpoint(eager=True)
     report = []
-    for name, (source, transform) in MARTS.items():
-        if (only and name not in only) or source not in staging:
-            continue
-        report.append((name, write_table(transform(staging[source]), schema, name, mode)))
+    for name in wanted:
+        source, transform = MARTS[name]
+        if name in LEAD_MARTS:
+            df = LEAD_MARTS[name](tallies, weight="n")
+        else:
+            df = transform(staging[source])
+        report.append((name, write_table(df, schema, name, mode)))
     return spark.createDataFrame(report, "mart string, rows long")
 
 
