@@ -37,7 +37,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in `spark.checkpoint.dir`.
 
-    Only when it is unset (local tests) do we pick a fresh folder of our own.
+    Only a local-mode session (tests, the bench) without that setting gets a
+    fresh folder of its own; on a cluster a machine-local folder would not
+    survive the loss of an executor, so the setting is required there.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -47,6 +49,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     local = tempfile.mkdtemp(prefix="revops-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
