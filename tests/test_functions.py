@@ -2,7 +2,6 @@ import math
 from fractions import Fraction
 
 import pytest
-from pyspark.sql import functions as F
 
 from revops_spark.functions import (days_between, erfc, is_blank, lookup, month_of, pct,
                                     round_ratio, two_sided_p)
@@ -70,3 +69,19 @@ def test_lookup_unknown_is_null(spark):
     df = spark.createDataFrame([("a",), ("zz",), (None,)], "k string")
     got = [r.v for r in df.select(lookup("k", {"a": "A"}).alias("v")).collect()]
     assert got == ["A", None, None]
+
+
+from hypothesis import given, settings, strategies as st
+
+_pairs = st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(-10**9, 10**9)),
+                  min_size=1, max_size=200)
+
+
+@settings(max_examples=15, deadline=None)
+@given(_pairs, st.integers(0, 3))
+def test_round_ratio_property(spark, pairs, scale):
+    """Exact HALF_UP (away from zero) of num / den at any magnitude and sign."""
+    df = spark.createDataFrame(pairs, "c long, n long")
+    for row in df.select("c", "n", round_ratio("c", "n", scale).alias("r")).collect():
+        want = half_up(row.c, row.n, scale)
+        assert row.r == (None if want is None else float(want)), row
