@@ -137,7 +137,7 @@ def health_scores(spark, d):
 
 def experiment_assignment(spark, d):
     subs = td.subscriptions(spark, d)
-    health = stg.stg_customer_health_scores(td.health(spark, d))
+    health = stg.stg_customer_health_scores(td.health(spark, d, subs))
     eligible = ex.eligible_for_experiment(health, stg.stg_subscriptions(subs))
     return report(ex.build_experiments(eligible, "sub_id", td.EXPERIMENT_SALT))
 

@@ -224,10 +224,11 @@ def snapshot_offset():
     return F.lit(30) + _num_key("sub_id") % 271
 
 
-def health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer_health_scores: one snapshot per subscription with account activity."""
-    return customer_health_scores(subscriptions(spark, sf_dir), account_activity(spark, sf_dir),
-                                  AS_OF, snapshot_offset())
+def health(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None) -> DataFrame:
+    """customer_health_scores: one snapshot per subscription with account activity
+    (over `subs` when the caller already holds the subscriptions plan)."""
+    subs = subs if subs is not None else subscriptions(spark, sf_dir)
+    return customer_health_scores(subs, account_activity(spark, sf_dir), AS_OF, snapshot_offset())
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
