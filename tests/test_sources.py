@@ -102,3 +102,17 @@ def test_export_csv(spark, tmp_dir):
     assert back[0].lead_id == "L1" and back[0].lead_source is None
     amounts = spark.createDataFrame([("a", Decimal("1.50"))], "k string, v decimal(18,2)")
     assert files.export_csv(amounts, os.path.join(tmp_dir, "m"))
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from revops_spark.__main__ import main
+    _sample_csvs(tmp_dir)
+    main(["load", "--csv-dir", tmp_dir, "--schema", "cli_raw"])
+    main(["build", "--raw-schema", "cli_raw", "--mart-schema", "cli_mart"])
+    main(["ab-test", "--mart-schema", "cli_mart"])
+    out = os.path.join(tmp_dir, "funnel_csv")
+    main(["export", "--table", "cli_mart.fct_leads_funnel", "--out", out])
+    printed = capsys.readouterr().out
+    assert "retention_experiments" in printed and "overall" in printed
+    back = spark.read.option("header", True).csv(out).collect()
+    assert back[0].segment == "SMB" and back[0].total_leads == "2"
