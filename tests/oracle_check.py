@@ -9,11 +9,12 @@ import duckdb
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
+# exact type pairs: Spark type -> DuckDB type name
 _FAMILY = {
-    "StringType": "str", "VARCHAR": "str",
-    "LongType": "int", "BIGINT": "int", "IntegerType": "int", "INTEGER": "int",
-    "DoubleType": "float", "DOUBLE": "float",
-    "BooleanType": "bool", "BOOLEAN": "bool",
+    "StringType": "VARCHAR", "VARCHAR": "VARCHAR",
+    "LongType": "BIGINT", "BIGINT": "BIGINT", "IntegerType": "INTEGER", "INTEGER": "INTEGER",
+    "DoubleType": "DOUBLE", "DOUBLE": "DOUBLE",
+    "BooleanType": "BOOLEAN", "BOOLEAN": "BOOLEAN",
 }
 
 
