@@ -47,8 +47,14 @@ def main() -> None:
         return time.perf_counter() - t0
 
     names = [n for n in QUERIES if not only or n in only]
-    run(names[0])  # warm-up: JVM JIT, file listing
-    times = {n: min(run(n) for _ in range(repeat)) for n in names}
+    times, errors = {}, {}
+    for i, n in enumerate(names):
+        try:
+            if i == 0:
+                run(n)  # warm-up: JVM JIT, file listing
+            times[n] = min(run(n) for _ in range(repeat))
+        except Exception as exc:  # keep benchmarking the others; report the failure
+            errors[n] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_query_seconds",
@@ -58,6 +64,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
