@@ -46,3 +46,9 @@ def test_lead_marts_count_before_the_customer_join(spark):
     # the partial count over events sits below the join
     join_at = plan.index("Join")
     assert plan.find("partial_count", join_at) > join_at
+
+
+def test_unused_customer_lookup_is_dropped(spark):
+    """Subscriptions never use the segment: the unique-key lookup join is removed."""
+    text = formatted(spark, "subscriptions_from_wins")
+    assert "customer.parquet" not in text and "orders.parquet" in text
