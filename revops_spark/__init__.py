@@ -9,7 +9,7 @@ from .operators.lifecycle import (customer_health_scores, derive_revenue_events,
 from .operators.marts import (agg_conversion_rates, agg_sales_cycle, audit,
                               audit_data_quality_summary, fct_churn_ab_test_results,
                               fct_leads_funnel, fct_mrr_waterfall, funnel_long, kpi_scorecard,
-                              qualified_leads, win_rate)
+                              lead_tallies, qualified_leads, tally, win_rate)
 from .operators.staging import STAGING
 
 __all__ = [
@@ -18,6 +18,6 @@ __all__ = [
     "derive_revenue_events", "derive_subscriptions", "health_score", "health_snapshots",
     "risk_tier", "score_accounts", "subscription_status", "agg_conversion_rates",
     "agg_sales_cycle", "audit", "audit_data_quality_summary", "fct_churn_ab_test_results",
-    "fct_leads_funnel", "fct_mrr_waterfall", "funnel_long", "kpi_scorecard", "qualified_leads",
-    "win_rate", "STAGING",
+    "fct_leads_funnel", "fct_mrr_waterfall", "funnel_long", "kpi_scorecard", "lead_tallies",
+    "qualified_leads", "tally", "win_rate", "STAGING",
 ]

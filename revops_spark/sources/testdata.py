@@ -244,6 +244,8 @@ def health(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None) -> D
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One account per customer: industry from the nation, region from the
+    region table (both tiny dimensions), arr from the balance."""
     cust = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey")
@@ -261,6 +263,8 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One sales rep per supplier: region through the nation, quota from the
+    balance (floored), hire date spread over four years by key."""
     supp = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
