@@ -1,7 +1,10 @@
 """Scalar Column helpers shared by the marts (SC1-SC12).
 
 All of them are built-in Spark expressions: they stay inside whole-stage
-codegen and never leave the JVM.
+codegen and never leave the JVM. Helpers whose arguments are text (column
+names or Spark SQL expressions: `round_ratio`, `pct`, `lookup`) build their
+expression as SQL and hand it over in one `F.expr` call, rather than one JVM
+round trip per operator.
 """
 
 from __future__ import annotations
