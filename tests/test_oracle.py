@@ -36,7 +36,7 @@ def test_entry_smoke(spark):
 
 
 def test_adapter_mix_at_sf001(spark):
-    """The experiment mix recorded in FIXTURES.md at sf 0.01."""
+    """The adapter mixes recorded in FIXTURES.md at sf 0.01."""
     from pyspark.sql import functions as F
     from revops_spark.sources import testdata as td
     exp = td.retention_experiments(spark, SF_ORACLE)
@@ -47,3 +47,15 @@ def test_adapter_mix_at_sf001(spark):
     leads = td.leads(spark, SF_ORACLE)
     assert leads.count() == 10000
     assert leads.filter(F.col("lead_source") == "").count() == 1125
+    from revops_spark.operators import lifecycle as lc
+    from revops_spark.operators import marts as m
+    tiers = {r.risk_tier: r["count"] for r in
+             lc.score_accounts(td.account_activity(spark, SF_ORACLE)).groupBy("risk_tier").count().collect()}
+    assert tiers == {"high_risk": 33, "watch": 99, "healthy": 18}
+    cycles = m.agg_sales_cycle(td.opportunities(spark, SF_ORACLE)).agg(
+        F.sum("total_closed_deals").alias("n"), F.min("min_sales_cycle_days").alias("lo"),
+        F.max("max_sales_cycle_days").alias("hi")).first()
+    assert (cycles.n, cycles.lo, cycles.hi) == (9912, 0, 2478)
+    events = td.revenue_events(spark, SF_ORACLE)
+    assert events.count() == 60000
+    assert m.fct_mrr_waterfall(events.withColumnRenamed("type", "event_type")).count() == 83
