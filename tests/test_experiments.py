@@ -137,3 +137,16 @@ def test_renewal_mrr(spark):
                                "outcome string, pre_experiment_mrr decimal(18,2)")
     got = [r.v for r in df.select(ex.renewal_mrr("outcome", "pre_experiment_mrr").alias("v")).collect()]
     assert got == [Decimal("0.00"), Decimal("5.00"), Decimal("2.00")]
+
+
+def test_invariants_on_adapter_data(spark):
+    """Overall equals the sum of the tiers; churned + renewed = total."""
+    from conftest import SF_SMALL
+    from revops_spark.sources import testdata as td
+    mart = m.fct_churn_ab_test_results(td.retention_experiments(spark, SF_SMALL), sort=False)
+    rows = mart.collect()
+    assert all(r.churned_count + r.renewed_count == r.total_accounts for r in rows)
+    sig = {r.stratum: r for r in ex.ab_significance(mart).collect()}
+    tiers = [r for s, r in sig.items() if s != "overall"]
+    for c in ("control_churned", "control_total", "treatment_churned", "treatment_total"):
+        assert getattr(sig["overall"], c) == sum(getattr(r, c) for r in tiers)
