@@ -86,7 +86,7 @@ def lookup(key: str, mapping: dict) -> Column:
     give NULL (SC10). A simple CASE, so the optimizer can fold a predicate on
     the result back onto the key (and from there into the scan)."""
     arms = " ".join(f"WHEN {sql_literal(k)} THEN {sql_literal(v)}" for k, v in mapping.items())
-    return F.expr(f"CASE {sql_arg(key)} {arms} END")
+    return F.expr(f"CASE {sql_arg(key)} {arms} END" if arms else "NULL")
 
 
 def money(c: ColumnOrName) -> Column:

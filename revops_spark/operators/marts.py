@@ -181,7 +181,7 @@ def audit(df: DataFrame, checks: dict[str, Column], total_name: str = "total_row
 
 def _issues_and_cells(checks: dict[str, Column], total_name: str) -> tuple[str, str]:
     """SQL text: the sum of the failed-check counts, and rows x checks."""
-    return " + ".join(checks), f"{total_name} * {len(checks)}"
+    return " + ".join(checks) or "CAST(0 AS BIGINT)", f"{total_name} * {len(checks)}"
 
 
 def lead_quality_checks() -> dict[str, Column]:

@@ -69,6 +69,9 @@ def test_lookup_unknown_is_null(spark):
     df = spark.createDataFrame([("a",), ("zz",), (None,)], "k string")
     got = [r.v for r in df.select(lookup("k", {"a": "A"}).alias("v")).collect()]
     assert got == ["A", None, None]
+    assert [r.v for r in df.select(lookup("k", {}).alias("v")).collect()] == [None] * 3
+    quoted = [r.v for r in df.select(lookup("k", {"a": "it's"}).alias("v")).collect()]
+    assert quoted == ["it's", None, None]
 
 
 from hypothesis import given, settings, strategies as st

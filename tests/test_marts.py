@@ -171,3 +171,11 @@ def test_weighted_empty_input_counts_zero(spark):
     assert r.total_leads == 0 and r.missing_segment_count == 0 and r.issue_rate_pct is None
     k = m.kpi_scorecard(empty, weight="n").first()
     assert (k.total_leads, k.opportunity_count) == (0, 0)
+
+
+def test_audit_with_no_checks_and_custom_checks(spark):
+    df = spark.createDataFrame([(1, None), (2, "x"), (3, "")], "id int, v string")
+    none = m.audit(df, {}).first()
+    assert none.total_rows == 3 and none.total_issues == 0 and none.issue_rate_pct is None
+    r = m.audit(df, {"blank_v": F.col("v").isNull() | (F.col("v") == "")}).first()
+    assert (r.total_rows, r.blank_v, r.issue_rate_pct, r.data_quality_score_pct) == (3, 2, 66.67, 33.33)
