@@ -7,7 +7,9 @@ waterfall, the per-stage CASE counts) rather than our Spark formulation, and
 the p-value is a Simpson integration of the normal density instead of the
 erfc approximation used in Spark. Output types follow `report` in
 revops_spark/plans/queries.py: dates as ISO text, money as double,
-statistics rounded to 10 decimals.
+statistics rounded to 10 decimals (sample sizes to 4). Shared helpers such as
+`half_up` (exact HALF_UP rounding in integers) keep percentages independent of
+either engine's floating-point rounding.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from revops_spark.operators.experiments import RETENTION_TREATMENTS
 
 AS_OF = "DATE '2001-12-31'"
 DIGITS = 10
+SAMPLE_DIGITS = 4
 
 
 def _case(expr: str, mapping: dict) -> str:
@@ -422,7 +425,7 @@ need AS (
 SELECT stratum, is_overall, control_total, treatment_total,
        round(p1, {DIGITS}) AS control_churn_rate, round(p2, {DIGITS}) AS treatment_churn_rate,
        round(cohens_h, {DIGITS}) AS cohens_h,
-       round(required_n_per_group, 4) AS required_n_per_group,
+       round(required_n_per_group, {SAMPLE_DIGITS}) AS required_n_per_group,
        least(control_total, treatment_total) >= required_n_per_group AS adequately_powered
 FROM need"""
 

@@ -2,7 +2,8 @@
 
 Each takes (spark, sf_dir) and returns a lazy DataFrame over the whole input
 tables. `report` fixes the presentation types (dates as ISO text, money as
-double, statistics to 10 decimals) so results compare across engines.
+double, statistics to 10 decimals, sample sizes to 4) so results compare
+exactly across engines.
 """
 
 from __future__ import annotations
