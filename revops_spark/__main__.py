@@ -1,6 +1,6 @@
 """Command line: the reference's three steps, plus export.
 
-    python -m revops_spark load    --csv-dir DIR [--schema raw] [--mode overwrite|append]
+    python -m revops_spark load    --csv-dir DIR [--schema raw] [--mode overwrite|append] [--buckets N]
     python -m revops_spark build   [--raw-schema raw] [--mart-schema mart]
     python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8]
     python -m revops_spark export  --table mart.fct_mrr_waterfall --out DIR
@@ -28,6 +28,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--csv-dir", required=True)
     p.add_argument("--schema", default="raw")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--buckets", type=int, default=None,
+                   help="bucket the joined tables by their join key (co-located join)")
     p = sub.add_parser("build", help="staging views and the mart tables")
     p.add_argument("--raw-schema", default="raw")
     p.add_argument("--mart-schema", default="mart")
@@ -42,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = configure(SparkSession.builder.appName("revops_spark").getOrCreate())
     if args.command == "load":
-        load_all(spark, args.csv_dir, args.schema, args.mode).show(truncate=False)
+        load_all(spark, args.csv_dir, args.schema, args.mode, args.buckets).show(truncate=False)
     elif args.command == "build":
         run_build(spark, raw_schema=args.raw_schema, mart_schema=args.mart_schema).show(truncate=False)
     elif args.command == "ab-test":

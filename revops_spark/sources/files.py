@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .schemas import LOAD_ORDER, RAW_TABLES
+from .schemas import JOIN_KEYS, LOAD_ORDER, RAW_TABLES
 
 log = logging.getLogger(__name__)
 
@@ -57,28 +57,39 @@ def write_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_table(df: DataFrame, schema: str, name: str, mode: str = "overwrite") -> int:
+def write_table(df: DataFrame, schema: str, name: str, mode: str = "overwrite",
+                bucket_by: tuple[str, int] | None = None) -> int:
     """SNK2 / SNK6: materialise as a Parquet table `schema.name`; returns its row
-    count, read back from the written table (Parquet footers, no recompute).
+    count, read back from the written table (no recompute of its lineage).
 
     The reference appends, so a re-run duplicates rows; `mode` defaults to
-    overwrite and "append" keeps the reference's behaviour.
+    overwrite and "append" keeps the reference's behaviour. `bucket_by=(key, n)`
+    writes n buckets sorted by key, so later joins on key need no shuffle.
     """
     spark = df.sparkSession
     ensure_schema(spark, schema)
     full = f"`{schema}`.`{name}`"
-    df.write.mode(mode).format("parquet").saveAsTable(full)
+    writer = df.write.mode(mode).format("parquet")
+    if bucket_by is not None:
+        key, n = bucket_by
+        writer = writer.bucketBy(n, key).sortBy(key)
+    writer.saveAsTable(full)
     return spark.table(full).count()
 
 
 def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
-             mode: str = "overwrite") -> DataFrame:
+             mode: str = "overwrite", buckets: int | None = None) -> DataFrame:
     """SNK3: load every registry table from `<in_dir>/<table>.csv` in
-    dependency order; returns a report of (table_name, rows_loaded)."""
+    dependency order; returns a report of (table_name, rows_loaded).
+
+    With `buckets`, the tables the library joins (JOIN_KEYS) are bucketed by
+    their join key into that many buckets, co-locating both sides of the join.
+    """
     report = []
     for table in LOAD_ORDER:
         path = os.path.join(in_dir, f"{table}.csv")
-        rows = write_table(read_csv_table(spark, path, table), schema, table, mode)
+        bucket_by = (JOIN_KEYS[table], buckets) if buckets and table in JOIN_KEYS else None
+        rows = write_table(read_csv_table(spark, path, table), schema, table, mode, bucket_by)
         log.info("loaded %d rows -> %s", rows, table)
         report.append((table, rows))
     return spark.createDataFrame(report, "table_name string, rows_loaded long")

@@ -72,3 +72,11 @@ RAW_TABLES: dict[str, T.StructType] = {
 }
 
 LOAD_ORDER = list(RAW_TABLES)
+
+# Raw tables joined on a key by the library (JN1: health snapshot -> its
+# subscription). Bucketing both by that key, with the same bucket count,
+# lets the join run as a sort-merge join without a shuffle on either side.
+JOIN_KEYS: dict[str, str] = {
+    "subscriptions": "sub_id",
+    "customer_health_scores": "sub_id",
+}

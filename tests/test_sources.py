@@ -116,3 +116,21 @@ def test_command_line(spark, tmp_dir, capsys):
     assert "retention_experiments" in printed and "overall" in printed
     back = spark.read.option("header", True).csv(out).collect()
     assert back[0].segment == "SMB" and back[0].total_leads == "2"
+
+
+def test_bucketed_load_co_locates_the_health_join(spark, tmp_dir):
+    """Subscriptions and health snapshots bucketed by sub_id: JN1 needs no shuffle."""
+    from revops_spark.operators import experiments as ex
+    _sample_csvs(tmp_dir)
+    files.load_all(spark, tmp_dir, "raw_b", buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        eligible = ex.eligible_for_experiment(spark.table("raw_b.customer_health_scores"),
+                                              spark.table("raw_b.subscriptions"))
+        plan = eligible._jdf.queryExecution().executedPlan().toString()
+        rows = eligible.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+    assert [(r.sub_id, r.pre_experiment_mrr) for r in rows] == [("S1", Decimal("100.00"))]
