@@ -185,3 +185,28 @@ def n_per_group_sql(h: str, alpha: float = 0.05, power: float = 0.80) -> str:
 
 def n_per_group(h: str, alpha: float = 0.05, power: float = 0.80) -> Column:
     return F.expr(n_per_group_sql(h, alpha, power))
+
+
+def upper_tail_sql(x: str) -> str:
+    """P(Z >= x) for a standard normal Z, any sign of x."""
+    x = _arg(x)
+    pos = f"(0.5D * {erfc_sql(f'{x} / {d(math.sqrt(2.0))}')})"
+    neg = f"(1.0D - 0.5D * {erfc_sql(f'-{x} / {d(math.sqrt(2.0))}')})"
+    return f"(CASE WHEN {x} >= 0.0D THEN {pos} ELSE {neg} END)"
+
+
+def density_sql(x: str) -> str:
+    x = _arg(x)
+    return f"(exp(-0.5D * {x} * {x}) / {d(math.sqrt(2.0 * math.pi))})"
+
+
+def newton_step_sql(n: str, h: str, alpha: float = 0.05, power: float = 0.80) -> str:
+    """One Newton step towards the n per group at which a two-sided normal test
+    with equal arms reaches `power`, counting both tails:
+    power(n) = P(Z >= c - |h| s) + P(Z >= c + |h| s), s = sqrt(n / 2)."""
+    c, a = d(z_crit(alpha)), f"abs({_arg(h)})"
+    s = f"sqrt({_arg(n)} / 2.0D)"
+    lo, hi = f"({c} - {a} * {s})", f"({c} + {a} * {s})"
+    g = f"({upper_tail_sql(lo)} + {upper_tail_sql(hi)} - {d(power)})"
+    slope = f"({a} * ({density_sql(lo)} - {density_sql(hi)}) / (4.0D * {s}))"
+    return f"({_arg(n)} - {g} / NULLIF({slope}, 0.0D))"

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ColumnOrName, col
-from ..functions.stats import (cohens_h_sql, n_per_group_sql, newcombe_sql, pooled_z_sql,
-                               ratio_sql, two_sided_p_sql, wilson_sql)
+from ..functions.stats import (cohens_h_sql, n_per_group_sql, newcombe_sql, newton_step_sql,
+                               pooled_z_sql, ratio_sql, two_sided_p_sql, wilson_sql)
 
 # --- fixed values: eligible tiers, variants, treatments --------------------
 ELIGIBLE_TIERS = ["high_risk", "watch"]
@@ -135,15 +135,25 @@ def ab_significance(mart: DataFrame, alpha: float = 0.05) -> DataFrame:
     return _presentation_order(out.selectExpr("*", f"p_value < {alpha!r}D AS significant"))
 
 
-def ab_power(mart: DataFrame, alpha: float = 0.05, power: float = 0.80) -> DataFrame:
+def ab_power(mart: DataFrame, alpha: float = 0.05, power: float = 0.80,
+             exact: bool = False) -> DataFrame:
     """ST5 + ST6 per stratum: Cohen's h of the observed rates and the sample
     size per group needed for `power` at two-sided `alpha`, next to the actual
-    arm sizes."""
+    arm sizes.
+
+    By default the closed form 2((z_(1-alpha/2) + z_power)/|h|)^2, which
+    ignores the power contributed by the opposite tail. `exact=True` refines
+    it with two Newton steps on the full two-sided power function, matching an
+    iterative solver (the two differ by about 0.0024 at n ~ 1015).
+    """
     h = _arms(mart).selectExpr(
         "stratum", "is_overall", "control_total", "treatment_total", "control_churn_rate",
         "treatment_churn_rate",
         f"{cohens_h_sql('control_churn_rate', 'treatment_churn_rate')} AS cohens_h")
     need = h.selectExpr("*", f"{n_per_group_sql('cohens_h', alpha, power)} AS required_n_per_group")
+    for _ in range(2 if exact else 0):
+        step = newton_step_sql("required_n_per_group", "cohens_h", alpha, power)
+        need = need.withColumn("required_n_per_group", F.expr(step))
     out = need.selectExpr(
         "*", "least(control_total, treatment_total) >= required_n_per_group AS adequately_powered")
     return _presentation_order(out)

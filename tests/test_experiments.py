@@ -150,3 +150,26 @@ def test_invariants_on_adapter_data(spark):
     tiers = [r for s, r in sig.items() if s != "overall"]
     for c in ("control_churned", "control_total", "treatment_churned", "treatment_total"):
         assert getattr(sig["overall"], c) == sum(getattr(r, c) for r in tiers)
+
+
+def test_exact_power_matches_iterative_solution(golden_mart):
+    """exact=True solves power(n) = 0.8 with both tails, as an iterative solver does."""
+    import math
+
+    def power_at(n, h, c=1.959963984540054):
+        s = math.sqrt(n / 2)
+        return 0.5 * math.erfc((c - h * s) / math.sqrt(2)) + 0.5 * math.erfc((c + h * s) / math.sqrt(2))
+
+    closed = {r.stratum: r for r in ex.ab_power(golden_mart).collect()}
+    exact = {r.stratum: r for r in ex.ab_power(golden_mart, exact=True).collect()}
+    for s, r in exact.items():
+        h = abs(r.cohens_h)
+        lo, hi = 1.0, closed[s].required_n_per_group
+        for _ in range(200):                      # plain bisection, as the reference check
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if power_at(mid, h) < 0.8 else (lo, mid)
+        assert r.required_n_per_group == pytest.approx(hi, rel=1e-9)
+        assert r.required_n_per_group <= closed[s].required_n_per_group
+    hr = closed["high_risk"].required_n_per_group - exact["high_risk"].required_n_per_group
+    assert 0.001 < hr < 0.005                      # SURVEY: about 0.0024 at n ~ 1015
+    assert round(exact["high_risk"].required_n_per_group) == 1015
