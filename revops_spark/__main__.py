@@ -2,7 +2,7 @@
 
     python -m revops_spark load    --csv-dir DIR [--schema raw] [--mode overwrite|append] [--buckets N]
     python -m revops_spark build   [--raw-schema raw] [--mart-schema mart]
-    python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8]
+    python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8] [--exact-power]
     python -m revops_spark export  --table mart.fct_mrr_waterfall --out DIR
 
 The session comes from `SparkSession.builder.getOrCreate()`, so spark-submit
@@ -37,6 +37,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--mart-schema", default="mart")
     p.add_argument("--alpha", type=float, default=0.05)
     p.add_argument("--power", type=float, default=0.80)
+    p.add_argument("--exact-power", action="store_true",
+                   help="solve the sample size with both tails (Newton), not the closed form")
     p = sub.add_parser("export", help="write a table as CSV with a header")
     p.add_argument("--table", required=True)
     p.add_argument("--out", required=True)
@@ -48,7 +50,8 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "build":
         run_build(spark, raw_schema=args.raw_schema, mart_schema=args.mart_schema).show(truncate=False)
     elif args.command == "ab-test":
-        significance, power = run_ab_analysis(spark, args.mart_schema, args.alpha, args.power)
+        significance, power = run_ab_analysis(spark, args.mart_schema, args.alpha, args.power,
+                                              args.exact_power)
         significance.show(truncate=False)
         power.show(truncate=False)
     elif args.command == "export":

@@ -86,8 +86,8 @@ def run_build(spark: SparkSession, raw: dict[str, DataFrame] | None = None,
 
 
 def run_ab_analysis(spark: SparkSession, mart_schema: str = "mart", alpha: float = 0.05,
-                    power: float = 0.80) -> tuple[DataFrame, DataFrame]:
+                    power: float = 0.80, exact_power: bool = False) -> tuple[DataFrame, DataFrame]:
     """The A/B script: significance per tier and overall, then power, both read
     from the written mart table (SRC4)."""
     mart = fetch_ab_test_data(spark, mart_schema)
-    return ex.ab_significance(mart, alpha), ex.ab_power(mart, alpha, power)
+    return ex.ab_significance(mart, alpha), ex.ab_power(mart, alpha, power, exact_power)

@@ -110,6 +110,7 @@ def test_command_line(spark, tmp_dir, capsys):
     main(["load", "--csv-dir", tmp_dir, "--schema", "cli_raw"])
     main(["build", "--raw-schema", "cli_raw", "--mart-schema", "cli_mart"])
     main(["ab-test", "--mart-schema", "cli_mart"])
+    main(["ab-test", "--mart-schema", "cli_mart", "--exact-power"])
     out = os.path.join(tmp_dir, "funnel_csv")
     main(["export", "--table", "cli_mart.fct_leads_funnel", "--out", out])
     printed = capsys.readouterr().out
