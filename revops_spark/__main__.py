@@ -1,6 +1,7 @@
 """Command line: the reference's three steps, plus export.
 
-    python -m revops_spark load    --csv-dir DIR [--schema raw] [--mode overwrite|append] [--buckets N]
+    python -m revops_spark load    --csv-dir DIR [--format csv|parquet] [--schema raw]
+                                   [--mode overwrite|append] [--buckets N]
     python -m revops_spark build   [--raw-schema raw] [--mart-schema mart]
     python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8] [--exact-power]
     python -m revops_spark export  --table mart.fct_mrr_waterfall --out DIR
@@ -25,7 +26,8 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="revops_spark")
     sub = parser.add_subparsers(dest="command", required=True)
     p = sub.add_parser("load", help="load the 8 raw CSV tables in dependency order")
-    p.add_argument("--csv-dir", required=True)
+    p.add_argument("--csv-dir", required=True, help="folder holding <table>.csv (or .parquet)")
+    p.add_argument("--format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--schema", default="raw")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--buckets", type=int, default=None,
@@ -46,7 +48,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = configure(SparkSession.builder.appName("revops_spark").getOrCreate())
     if args.command == "load":
-        load_all(spark, args.csv_dir, args.schema, args.mode, args.buckets).show(truncate=False)
+        load_all(spark, args.csv_dir, args.schema, args.mode, args.buckets,
+                 args.format).show(truncate=False)
     elif args.command == "build":
         run_build(spark, raw_schema=args.raw_schema, mart_schema=args.mart_schema).show(truncate=False)
     elif args.command == "ab-test":

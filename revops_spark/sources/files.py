@@ -40,6 +40,16 @@ def read_csv_table(spark: SparkSession, path: str, table: str | None = None,
     return normalise_columns(df)
 
 
+def read_raw_files(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
+    """A raw table from files: CSV with a header row (SRC1), or Parquet, both
+    typed by the registry schema so no inference pass runs."""
+    if fmt == "csv":
+        return read_csv_table(spark, path, table)
+    if fmt == "parquet":
+        return normalise_columns(spark.read.schema(RAW_TABLES[table]).parquet(path))
+    raise ValueError(f"unsupported format {fmt!r}: use 'csv' or 'parquet'")
+
+
 def layer_schema(custom: str | None, default: str) -> str:
     """SNK7: the default schema when no custom name is given, otherwise the
     trimmed custom name, unprefixed."""
@@ -78,18 +88,20 @@ def write_table(df: DataFrame, schema: str, name: str, mode: str = "overwrite",
 
 
 def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
-             mode: str = "overwrite", buckets: int | None = None) -> DataFrame:
-    """SNK3: load every registry table from `<in_dir>/<table>.csv` in
-    dependency order; returns a report of (table_name, rows_loaded).
+             mode: str = "overwrite", buckets: int | None = None,
+             fmt: str = "csv") -> DataFrame:
+    """SNK3: load every registry table from `<in_dir>/<table>.<fmt>` (a file or
+    a folder of files) in dependency order; returns a report of
+    (table_name, rows_loaded).
 
     With `buckets`, the tables the library joins (JOIN_KEYS) are bucketed by
     their join key into that many buckets, co-locating both sides of the join.
     """
     report = []
     for table in LOAD_ORDER:
-        path = os.path.join(in_dir, f"{table}.csv")
+        path = os.path.join(in_dir, f"{table}.{fmt}")
         bucket_by = (JOIN_KEYS[table], buckets) if buckets and table in JOIN_KEYS else None
-        rows = write_table(read_csv_table(spark, path, table), schema, table, mode, bucket_by)
+        rows = write_table(read_raw_files(spark, path, table, fmt), schema, table, mode, bucket_by)
         log.info("loaded %d rows -> %s", rows, table)
         report.append((table, rows))
     return spark.createDataFrame(report, "table_name string, rows_loaded long")
