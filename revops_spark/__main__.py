@@ -17,9 +17,9 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from .plans.build import run_ab_analysis, run_build
-from .session import configure
-from .sources.files import export_csv, load_all
+from revops_spark.plans.build import run_ab_analysis, run_build
+from revops_spark.session import configure
+from revops_spark.sources.files import export_csv, load_all
 
 
 def main(argv: list[str] | None = None) -> None:
