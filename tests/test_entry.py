@@ -1,0 +1,19 @@
+"""The driver contract, loaded the way an outside tool would: by file path."""
+
+import importlib.util
+import os
+
+from conftest import ROOT
+
+
+def test_entry_module_loads_by_path_from_elsewhere(spark, monkeypatch, tmp_dir):
+    monkeypatch.chdir(tmp_dir)
+    spec = importlib.util.spec_from_file_location("entry_by_path", os.path.join(ROOT, "__spark_entry__.py"))
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    queries, sql = mod.queries(), mod.oracle_sql()
+    assert len(queries) == 26 and set(queries) == set(sql)
+    assert all(callable(q) for q in queries.values()) and all(isinstance(s, str) for s in sql.values())
+    df = mod.entry(spark)
+    first = df.schema.simpleString()
+    assert len(df.collect()) == 3 and mod.entry(spark).schema.simpleString() == first
