@@ -302,22 +302,22 @@ SELECT segment, lead_source, won_deals, closed_deals, {pct('won_deals', 'closed_
 FROM wl"""
 
 MRR_WATERFALL = _with(REVENUE, """
-monthly_events AS (
+per_month_type AS (
   SELECT CAST(date_trunc('month', event_date) AS DATE) AS event_month, event_type,
          sum(amount) AS total_amount
   FROM revenue_events GROUP BY 1, 2
 ),
-pivoted AS (
+one_row_per_month AS (
   SELECT event_month,
          sum(CASE WHEN event_type = 'new' THEN total_amount ELSE 0 END) AS new_mrr,
          sum(CASE WHEN event_type = 'expansion' THEN total_amount ELSE 0 END) AS expansion_mrr,
          sum(CASE WHEN event_type = 'churn' THEN total_amount ELSE 0 END) AS churned_mrr
-  FROM monthly_events GROUP BY event_month
+  FROM per_month_type GROUP BY event_month
 )""") + """
 SELECT CAST(event_month AS VARCHAR) AS event_month, CAST(new_mrr AS DOUBLE) AS new_mrr,
        CAST(expansion_mrr AS DOUBLE) AS expansion_mrr, CAST(churned_mrr AS DOUBLE) AS churned_mrr,
        CAST(new_mrr + expansion_mrr + churned_mrr AS DOUBLE) AS net_mrr_change
-FROM pivoted ORDER BY event_month"""
+FROM one_row_per_month ORDER BY event_month"""
 
 _AB_MART = f"""
 ab_mart AS (

@@ -38,7 +38,7 @@ def tally(predicate: Column | None = None, weight: str | None = None) -> Column:
     return F.coalesce(total, F.lit(0)).cast("bigint")
 
 
-def _funnel_counts(status: Column, weight: str | None = None) -> list[Column]:
+def _stage_counts(status: Column, weight: str | None = None) -> list[Column]:
     """Cumulative funnel: an MQL count includes leads that went further."""
     return [
         tally(None, weight).alias("total_leads"),
@@ -66,7 +66,7 @@ def lead_tallies(leads: DataFrame, weight_name: str = "n") -> DataFrame:
 
 def fct_leads_funnel(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT1: segment, total_leads, mql_count, sql_count, opportunity_count."""
-    return leads.groupBy("segment").agg(*_funnel_counts(F.col("status"), weight))
+    return leads.groupBy("segment").agg(*_stage_counts(F.col("status"), weight))
 
 
 def agg_conversion_rates(leads: DataFrame, weight: str | None = None) -> DataFrame:
@@ -75,7 +75,7 @@ def agg_conversion_rates(leads: DataFrame, weight: str | None = None) -> DataFra
     A NULL and an empty-string lead_source are two different groups.
     """
     counts = leads.groupBy("segment", "lead_source").agg(
-        *_funnel_counts(F.col("status"), weight))
+        *_stage_counts(F.col("status"), weight))
     return counts.select(
         "segment", "lead_source", "total_leads", "mql_count", "sql_count", "opportunity_count",
         pct("mql_count", "total_leads").alias("lead_to_mql_pct"),
@@ -223,7 +223,7 @@ FUNNEL_STAGES = [("Lead", "total_leads"), ("MQL", "mql_count"), ("SQL", "sql_cou
 
 def funnel_long(leads: DataFrame, weight: str | None = None) -> DataFrame:
     """MRT8: the lead-to-opportunity funnel in long form: stage_order, stage, n."""
-    totals = leads.agg(*_funnel_counts(F.col("status"), weight))
+    totals = leads.agg(*_stage_counts(F.col("status"), weight))
     stages = F.array(*[
         F.struct(F.lit(i + 1).alias("stage_order"), F.lit(label).alias("stage"),
                  F.col(column).alias("n"))
