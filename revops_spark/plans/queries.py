@@ -55,26 +55,32 @@ def _tallies(spark, d):
 
 
 def leads_funnel(spark, d):
+    """STG3, MRT1 (over pre-aggregated lead tallies)."""
     return report(m.fct_leads_funnel(_tallies(spark, d), weight="n"))
 
 
 def conversion_rates(spark, d):
+    """STG3, MRT2, SC2, SC3."""
     return report(m.agg_conversion_rates(_tallies(spark, d), weight="n"))
 
 
 def qualified_leads(spark, d):
+    """STG3, FLT2."""
     return report(m.qualified_leads(_leads(spark, d)))
 
 
 def data_quality(spark, d):
+    """STG3, MRT6, SC12."""
     return report(m.audit_data_quality_summary(_tallies(spark, d), weight="n"))
 
 
 def kpi_scorecard(spark, d):
+    """MRT7."""
     return report(m.kpi_scorecard(_tallies(spark, d), weight="n"))
 
 
 def funnel_long(spark, d):
+    """MRT8."""
     return report(m.funnel_long(_tallies(spark, d), weight="n"))
 
 
@@ -84,14 +90,17 @@ def _opps(spark, d):
 
 
 def sales_cycle(spark, d):
+    """STG4, FLT1, MRT3, SC4, SC6."""
     return report(m.agg_sales_cycle(_opps(spark, d)))
 
 
 def win_rate(spark, d):
+    """STG4, FLT1, MRT9."""
     return report(m.win_rate(_opps(spark, d)))
 
 
 def mrr_waterfall(spark, d):
+    """STG6, MRT4, AGG7, SC5, SRT1."""
     return report(m.fct_mrr_waterfall(stg.stg_revenue_events(td.revenue_events(spark, d))))
 
 
@@ -102,41 +111,50 @@ def _ab_mart(spark, d, sort=False):
 
 
 def churn_ab_results(spark, d):
+    """STG5, MRT5, SRT2."""
     return report(_ab_mart(spark, d, sort=True))
 
 
 def ab_significance(spark, d):
+    """ST1-ST4, ST7, ST8, MRT10, AGG9 over MRT5."""
     return report(ex.ab_significance(_ab_mart(spark, d)), round_doubles=True)
 
 
 def ab_power(spark, d):
+    """ST5, ST6, ST7 over MRT5."""
     return report(ex.ab_power(_ab_mart(spark, d)), round_doubles=True,
                   digits={"required_n_per_group": SAMPLE_SIZE_DIGITS})
 
 
 def experiment_outcomes(spark, d):
+    """BR9."""
     exps = ex.experiment_outcomes(stg.stg_retention_experiments(td.retention_experiments(spark, d)))
     return report(exps.select("experiment_id", "outcome", "pre_experiment_mrr", "renewal_mrr"))
 
 
 # --- lifecycle rules ----------------------------------------------------------
 def subscriptions_from_wins(spark, d):
+    """BR1, BR2, FLT3."""
     return report(td.subscriptions(spark, d))
 
 
 def health_snapshots(spark, d):
+    """BR6."""
     return report(lc.health_snapshots(td.subscriptions(spark, d), td.AS_OF, td.snapshot_offset()))
 
 
 def revenue_events_from_subs(spark, d):
+    """BR3."""
     return report(td.lifecycle_revenue_events(spark, d))
 
 
 def health_scores(spark, d):
+    """BR4, BR5."""
     return report(lc.score_accounts(td.account_activity(spark, d)))
 
 
 def experiment_assignment(spark, d):
+    """BR7, BR8, FLT4, JN1."""
     subs = td.subscriptions(spark, d)
     health = stg.stg_customer_health_scores(td.health(spark, d, subs))
     eligible = ex.eligible_for_experiment(health, stg.stg_subscriptions(subs))
@@ -146,6 +164,7 @@ def experiment_assignment(spark, d):
 # --- staging models over every adapter ---------------------------------------
 def _staged(name: str) -> Query:
     def run(spark, d):
+        """STG1-STG8: the staging projection over its adapter."""
         return report(stg.STAGING[name](td.RAW_ADAPTERS[name](spark, d)))
     run.__name__ = f"stg_{name}"
     return run
