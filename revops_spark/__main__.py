@@ -2,7 +2,7 @@
 
     python -m revops_spark load    --csv-dir DIR [--format csv|parquet] [--schema raw]
                                    [--mode overwrite|append] [--buckets N]
-    python -m revops_spark build   [--raw-schema raw] [--mart-schema mart]
+    python -m revops_spark build   [--raw-schema raw] [--mart-schema mart] [--dashboard]
     python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8] [--exact-power]
     python -m revops_spark export  --table mart.fct_mrr_waterfall --out DIR
 
@@ -35,6 +35,8 @@ def main(argv: list[str] | None = None) -> None:
     p = sub.add_parser("build", help="staging views and the mart tables")
     p.add_argument("--raw-schema", default="raw")
     p.add_argument("--mart-schema", default="mart")
+    p.add_argument("--dashboard", action="store_true",
+                   help="also write the dashboard figures (KPI scorecard, funnel, win rate)")
     p = sub.add_parser("ab-test", help="significance and power of the retention experiment")
     p.add_argument("--mart-schema", default="mart")
     p.add_argument("--alpha", type=float, default=0.05)
@@ -51,7 +53,8 @@ def main(argv: list[str] | None = None) -> None:
         load_all(spark, args.csv_dir, args.schema, args.mode, args.buckets,
                  args.format).show(truncate=False)
     elif args.command == "build":
-        run_build(spark, raw_schema=args.raw_schema, mart_schema=args.mart_schema).show(truncate=False)
+        run_build(spark, raw_schema=args.raw_schema, mart_schema=args.mart_schema,
+                  dashboard=args.dashboard).show(truncate=False)
     elif args.command == "ab-test":
         significance, power = run_ab_analysis(spark, args.mart_schema, args.alpha, args.power,
                                               args.exact_power)

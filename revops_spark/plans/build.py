@@ -31,6 +31,17 @@ LEAD_MARTS: dict[str, Callable[..., DataFrame]] = {
     "audit_data_quality_summary": m.audit_data_quality_summary,
 }
 
+# the dashboard figures (MRT7-MRT9), written only with dashboard=True; the two
+# lead figures come from the same roll-up
+DASHBOARD_LEAD_MARTS: dict[str, Callable[..., DataFrame]] = {
+    "kpi_scorecard": m.kpi_scorecard,
+    "funnel_long": m.funnel_long,
+}
+DASHBOARD_MARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    **{name: ("stg_leads", f) for name, f in DASHBOARD_LEAD_MARTS.items()},
+    "win_rate": ("stg_opportunities", m.win_rate),
+}
+
 # mart name -> (staging model it reads, transform)
 MARTS: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     **{name: ("stg_leads", f) for name, f in LEAD_MARTS.items()},
@@ -58,20 +69,24 @@ def read_raw(spark: SparkSession, schema: str = "raw") -> dict[str, DataFrame]:
 
 def build_marts(spark: SparkSession, staging: dict[str, DataFrame],
                 custom_schema: str | None = "mart", default_schema: str = "default",
-                mode: str = "overwrite", only: list[str] | None = None) -> DataFrame:
-    """Write each mart whose staging input is present; returns (mart, rows)."""
+                mode: str = "overwrite", only: list[str] | None = None,
+                dashboard: bool = False) -> DataFrame:
+    """Write each mart whose staging input is present (and, with `dashboard`,
+    the dashboard figures); returns (mart, rows)."""
     schema = ensure_schema(spark, layer_schema(custom_schema, default_schema))
-    wanted = [n for n, (source, _) in MARTS.items()
+    models = {**MARTS, **(DASHBOARD_MARTS if dashboard else {})}
+    weighted = {**LEAD_MARTS, **DASHBOARD_LEAD_MARTS}
+    wanted = [n for n, (source, _) in models.items()
               if (not only or n in only) and source in staging]
     tallies = None
-    if any(n in LEAD_MARTS for n in wanted):
+    if any(n in weighted for n in wanted):
         checkpoint_dir(spark)
         tallies = m.lead_tallies(staging["stg_leads"]).checkpoint(eager=True)
     report = []
     for name in wanted:
-        source, transform = MARTS[name]
-        if name in LEAD_MARTS:
-            df = LEAD_MARTS[name](tallies, weight="n")
+        source, transform = models[name]
+        if name in weighted:
+            df = weighted[name](tallies, weight="n")
         else:
             df = transform(staging[source])
         report.append((name, write_table(df, schema, name, mode)))
@@ -79,10 +94,11 @@ def build_marts(spark: SparkSession, staging: dict[str, DataFrame],
 
 
 def run_build(spark: SparkSession, raw: dict[str, DataFrame] | None = None,
-              raw_schema: str = "raw", mart_schema: str | None = "mart") -> DataFrame:
+              raw_schema: str = "raw", mart_schema: str | None = "mart",
+              dashboard: bool = False) -> DataFrame:
     """Full rebuild, like a model run: staging views, then every mart table."""
     staging = build_staging(raw if raw is not None else read_raw(spark, raw_schema))
-    return build_marts(spark, staging, mart_schema)
+    return build_marts(spark, staging, mart_schema, dashboard=dashboard)
 
 
 def run_ab_analysis(spark: SparkSession, mart_schema: str = "mart", alpha: float = 0.05,

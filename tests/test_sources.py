@@ -108,7 +108,12 @@ def test_command_line(spark, tmp_dir, capsys):
     from revops_spark.__main__ import main
     _sample_csvs(tmp_dir)
     main(["load", "--csv-dir", tmp_dir, "--schema", "cli_raw"])
-    main(["build", "--raw-schema", "cli_raw", "--mart-schema", "cli_mart"])
+    main(["build", "--raw-schema", "cli_raw", "--mart-schema", "cli_mart", "--dashboard"])
+    from revops_spark.operators import marts as m
+    assert spark.table("cli_mart.kpi_scorecard").first().total_leads == 2
+    assert sorted(map(tuple, spark.table("cli_mart.funnel_long").collect())) == \
+        sorted(map(tuple, m.funnel_long(spark.table("stg_leads")).collect()))
+    assert spark.table("cli_mart.win_rate").first().win_rate_pct == 100.0
     main(["ab-test", "--mart-schema", "cli_mart"])
     main(["ab-test", "--mart-schema", "cli_mart", "--exact-power"])
     out = os.path.join(tmp_dir, "funnel_csv")
