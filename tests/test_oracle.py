@@ -10,7 +10,7 @@ from oracle_check import compare, duck
 
 QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
-SF = os.environ.get("REVOPS_ORACLE_SF", SF_SMALL)
+SF = os.environ.get("REVOPS_ORACLE_SF", SF_ORACLE)   # the scale of the correctness gate
 
 
 @pytest.fixture(scope="module")
