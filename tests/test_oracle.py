@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_mod
-from conftest import SF_ORACLE, SF_SMALL
+from conftest import SF_ORACLE
 from oracle_check import compare, duck
 
 QUERIES = entry_mod.queries()
