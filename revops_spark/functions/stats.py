@@ -71,9 +71,13 @@ def erfc_sql(y: str) -> str:
     y = f"CAST({_arg(y)} AS DOUBLE)"
     y2 = f"({y} * {y})"
     small = f"(1.0D - {y} * {_rational(y2, ERF_SMALL_A, ERF_SMALL_B, ERF_SMALL_K)})"
-    mid = f"(exp(-{y2}) * {_rational(y, ERFC_MID_A, ERFC_MID_B, ERFC_MID_K)})"
+    # exp(-y^2) as exp(-a^2) * exp(-(y - a)(y + a)), a = y rounded down to 1/16:
+    # a^2 is exact, so the rounding error of y^2 is not amplified in the tail
+    a = f"(floor({y} * 16.0D) / 16.0D)"
+    gauss = f"(exp(-({a} * {a})) * exp(-(({y} - {a}) * ({y} + {a}))))"
+    mid = f"({gauss} * {_rational(y, ERFC_MID_A, ERFC_MID_B, ERFC_MID_K)})"
     x = f"(1.0D / greatest({y2}, 1.0D))"  # the guard only matters off-branch
-    tail = (f"(exp(-{y2}) / {y} * ({d(_INV_SQRT_PI)} - {x} * "
+    tail = (f"({gauss} / {y} * ({d(_INV_SQRT_PI)} - {x} * "
             f"{_rational(x, ERFC_TAIL_A, ERFC_TAIL_B, ERFC_TAIL_K)}))")
     return f"(CASE WHEN {y} <= 0.46875D THEN {small} WHEN {y} <= 4.0D THEN {mid} ELSE {tail} END)"
 
