@@ -6,8 +6,13 @@
     python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8] [--exact-power]
     python -m revops_spark export  --table mart.fct_mrr_waterfall --out DIR
 
+    python -m revops_spark all     --csv-dir DIR [--format ...] [--buckets N] [--dashboard]
+
 The session comes from `SparkSession.builder.getOrCreate()`, so spark-submit
 (or the cluster's defaults) decides master, resources and checkpoint folder.
+Separate commands share tables through the session catalog, which must persist
+between processes (a metastore, as on a cluster); with Spark's in-memory
+catalog, `all` runs load, build and ab-test in one session instead.
 Only `ab-test` shows rows on the console: one per stratum.
 """
 
@@ -43,6 +48,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--power", type=float, default=0.80)
     p.add_argument("--exact-power", action="store_true",
                    help="solve the sample size with both tails (Newton), not the closed form")
+    p = sub.add_parser("all", help="load, build and ab-test in one session")
+    p.add_argument("--csv-dir", required=True, help="folder holding <table>.csv (or .parquet)")
+    p.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    p.add_argument("--buckets", type=int, default=None)
+    p.add_argument("--dashboard", action="store_true")
+    p.add_argument("--exact-power", action="store_true")
     p = sub.add_parser("export", help="write a table as CSV with a header")
     p.add_argument("--table", required=True)
     p.add_argument("--out", required=True)
@@ -60,6 +71,13 @@ def main(argv: list[str] | None = None) -> None:
                                               args.exact_power)
         significance.show(truncate=False)
         power.show(truncate=False)
+    elif args.command == "all":
+        load_all(spark, args.csv_dir, "raw", "overwrite", args.buckets, args.format).show(truncate=False)
+        run_build(spark, raw_schema="raw", mart_schema="mart",
+                  dashboard=args.dashboard).show(truncate=False)
+        significance, power = run_ab_analysis(spark, "mart", exact_power=args.exact_power)
+        significance.show(truncate=False)
+        power.show(truncate=False)
     elif args.command == "export":
         export_csv(spark.table(args.table), args.out)
 

@@ -154,3 +154,18 @@ def test_load_from_parquet_files(spark, tmp_dir):
         assert report[t] == spark.table(f"raw_csv.{t}").count()
         assert sorted(map(tuple, spark.table(f"raw_pq.{t}").collect()), key=repr) == \
             sorted(map(tuple, spark.table(f"raw_csv.{t}").collect()), key=repr)
+
+
+def test_command_line_in_a_fresh_process(tmp_dir):
+    """`python -m revops_spark all` end to end in its own process and session."""
+    import subprocess
+    import sys
+    from conftest import ROOT
+    _sample_csvs(tmp_dir)
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    out = subprocess.run([sys.executable, "-m", "revops_spark", "all", "--csv-dir", tmp_dir,
+                          "--dashboard"], env=env, cwd=tmp_dir, capture_output=True,
+                         text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "fct_churn_ab_test_results" in out.stdout and "overall" in out.stdout
+    assert "kpi_scorecard" in out.stdout
