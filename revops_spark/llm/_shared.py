@@ -80,6 +80,12 @@ def unpack_sorted(blob: bytes) -> np.ndarray:
     return np.cumsum(deltas, dtype=np.uint64)
 
 
+def sorted_union(blobs) -> np.ndarray:
+    """All values of a column of packed arrays (nulls skipped), ascending."""
+    parts = [unpack_sorted(x.as_py()) for x in blobs if x.as_py() is not None]
+    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
 def pack_ints(values: np.ndarray) -> bytes:
     """int64 values in any order as zstd-compressed byte planes."""
     planes = values.astype("<i8").view(np.uint8).reshape(-1, 8).T.copy()

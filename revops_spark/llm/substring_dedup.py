@@ -155,16 +155,11 @@ def _distinct(a: np.ndarray, b: np.ndarray):
     return order, np.flatnonzero(new), number
 
 
-def _live_of(replies: pa.Table) -> np.ndarray:
-    parts = [sh.unpack_sorted(x.as_py()) for x in replies["live"] if x.as_py() is not None]
-    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
 def _candidates(tab, replies, window, block, shift, n_ranges, hashes):
     if not replies.num_rows:
         return []
     c = _Chunk(tab, window, hashes)
-    near, a, b = _anchored(c, _live_of(replies), window, block, shift)
+    near, a, b = _anchored(c, sh.sorted_union(replies["live"]), window, block, shift)
     if not len(near):
         return []
     order, first, _ = _distinct(a, b)
@@ -207,7 +202,7 @@ def _cut(tab, replies, window, block, shift, hashes, out_schema, with_text):
     """The result rows of a chunk."""
     c = _Chunk(tab, window, hashes)
     removed = np.zeros(len(c.symbols), bool)
-    live = _live_of(replies) if replies.num_rows else np.zeros(0, np.uint64)
+    live = sh.sorted_union(replies["live"]) if replies.num_rows else np.zeros(0, np.uint64)
     if len(live) and len(c.symbols):
         near, a, b = _anchored(c, live, window, block, shift)
         if len(near):
