@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, quality, simhash_dedup, substring_dedup
+from . import (decontamination, licenses, nearest, packing, quality, simhash_dedup,
+               substring_dedup, suffix_dedup)
 from ._shared import table
 
 #: numeric metadata the quality classifier sees besides the text
@@ -46,12 +47,27 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, meta_cols=QUALITY_META)
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents"), with_text=False)
+
+
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash_dedup": op4_simhash_dedup,
     "op5_decontamination": op5_decontamination,
     "op7_quality": op7_quality,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_nearest": op9_nearest,
+    "op10_licenses": op10_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_licenses": licenses.oracle_sql()}
