@@ -1,37 +1,22 @@
 """DuckDB oracle: independent SQL for every registered query.
 
-Written against the pre-registered test tables (region nation customer
-supplier part orders lineitem events ...). The adapters are restated as CTEs;
-the marts follow the reference's own SQL shape (e.g. the two-level MRR
-waterfall, the per-stage CASE counts) rather than our Spark formulation, and
-the p-value is a Simpson integration of the normal density instead of the
-erfc approximation used in Spark. Output types follow `report` in
-revops_spark/plans/queries.py: dates as ISO text, money as double,
-statistics rounded to 10 decimals (sample sizes to 4). Shared helpers such as
-`half_up` (exact HALF_UP rounding in integers) keep percentages independent of
-either engine's floating-point rounding.
+Nothing here comes from the package under test: constants are literals, and the
+metrics are stated from their definitions, where possible by another route than
+the Spark code takes: counts by FILTER, quality issues counted per lead, the z
+statistic from the 2 x 2 table's chi-square, Wilson bounds as the roots of their
+quadratic, Cohen's h by atan2, p-values and the power function by Simpson
+integration of the normal density, sample sizes by bisection. Output types
+follow the registered queries: dates as ISO text, money as double, statistics
+rounded to 10 decimals (sample sizes to 4).
 """
 
 from __future__ import annotations
 
-from revops_spark.functions.stats import z_crit, z_power
-from revops_spark.sources.testdata import (LEAD_SOURCES, RETURN_FLAG_TO_EVENT,
-                                           ORDER_STATUS_TO_STAGE, EVENT_TO_STATUS)
-from revops_spark.operators.experiments import RETENTION_TREATMENTS
-
 AS_OF = "DATE '2001-12-31'"
 DIGITS = 10
 SAMPLE_DIGITS = 4
-
-
-def _case(expr: str, mapping: dict) -> str:
-    arms = " ".join(f"WHEN {k!r} THEN {v!r}" if isinstance(k, str) else f"WHEN {k} THEN '{v}'"
-                    for k, v in mapping.items())
-    return f"CASE {expr} {arms} END"
-
-
-def _dbl(x: float) -> str:
-    return f"CAST('{x!r}' AS DOUBLE)"
+Z_975 = "1.959963984540054"      # normal quantiles at 0.975 and 0.8
+POWER = "0.8"
 
 
 def half_up(num: str, den: str, scale: int, factor: int = 1) -> str:
@@ -52,24 +37,22 @@ def txt(d: str) -> str:
     return f"CAST({d} AS VARCHAR)"
 
 
-def dbl(x: str) -> str:
-    return f"CAST({x} AS DOUBLE)"
-
-
 # --- adapters --------------------------------------------------------------------
-_sources = {i: s for i, s in enumerate(LEAD_SOURCES)} | {len(LEAD_SOURCES): ""}
-
-LEADS = f"""
+LEADS = """
 leads AS (
   SELECT CAST(e.event_id AS VARCHAR) AS lead_id,
          c.c_mktsegment AS segment,
-         {_case("TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 9", _sources)} AS lead_source,
-         {_case("e.event_type", EVENT_TO_STATUS)} AS status,
+         (['Paid Search', 'Organic Search', 'Content Download', 'Partner Referral',
+           'Compliance Webinar', 'Outbound Prospecting', 'G2/Capterra Review',
+           'Security Conference', ''])[TRY_CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 9 + 1]
+           AS lead_source,
+         MAP {'view': 'New', 'click': 'MQL', 'signup': 'SQL', 'purchase': 'Opportunity',
+              'error': 'Disqualified'}[e.event_type] AS status,
          CAST(e.ts AS DATE) AS created_at
   FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
 )"""
 
-OPPS = f"""
+OPPS = """
 last_ship AS (
   SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS last_ship FROM lineitem GROUP BY l_orderkey
 ),
@@ -81,7 +64,8 @@ opps AS (
          c.c_mktsegment AS segment,
          CASE WHEN o.o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE o.o_orderpriority END AS lead_source,
          'SOC2 Starter' AS plan,
-         {_case("o.o_orderstatus", ORDER_STATUS_TO_STAGE)} AS stage,
+         CASE o.o_orderstatus WHEN 'F' THEN 'Closed Won' WHEN 'O' THEN 'Closed Lost'
+              WHEN 'P' THEN 'Negotiation' END AS stage,
          CAST(o.o_totalprice AS DECIMAL(18,2)) AS amount,
          CAST(o.o_orderdate AS DATE) AS created_date,
          CASE WHEN ls.last_ship IS NULL OR ls.last_ship < CAST(o.o_orderdate AS DATE)
@@ -91,19 +75,20 @@ opps AS (
   LEFT JOIN last_ship ls ON o.o_orderkey = ls.l_orderkey
 )"""
 
-REVENUE = f"""
+REVENUE = """
 revenue_events AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS event_id,
          CAST(l_suppkey AS VARCHAR) AS account_id,
          CAST(l_orderkey AS VARCHAR) AS sub_id,
-         {_case("l_returnflag", RETURN_FLAG_TO_EVENT)} AS event_type,
+         CASE l_returnflag WHEN 'N' THEN 'new' WHEN 'A' THEN 'expansion' WHEN 'R' THEN 'churn' END
+           AS event_type,
          CASE WHEN l_returnflag = 'R' THEN -CAST(l_extendedprice AS DECIMAL(18,2))
               ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS amount,
          CAST(l_shipdate AS DATE) AS event_date
   FROM lineitem
 )"""
 
-_treatments = "[" + ", ".join(f"'{t}'" for t in RETENTION_TREATMENTS) + "]"
+_treatments = "['csm_strategic_call', 'audit_prep_discount_10pct', 'free_extra_framework_addon']"
 
 
 def _assign(key: str) -> str:
@@ -142,63 +127,65 @@ experiments AS (
 ACTIVITY = """
 activity AS (
   SELECT CAST(user_id AS VARCHAR) AS account_id,
-         CAST(least(100, 4 * count(CASE WHEN event_type = 'purchase' THEN 1 END)) AS INTEGER) AS usage_score,
-         CAST(count(CASE WHEN event_type IN ('view', 'click') AND CAST(ts AS DATE) >= DATE '2024-01-17'
-                         THEN 1 END) AS INTEGER) AS login_frequency_30d,
-         CAST(count(CASE WHEN event_type = 'error' AND CAST(ts AS DATE) >= DATE '2024-01-17'
-                         THEN 1 END) AS INTEGER) AS support_tickets_30d
+         CAST(100 * count(*) FILTER (event_type NOT IN ('signup', 'error')) // count(*) AS INTEGER) AS usage_score,
+         CAST(count(*) FILTER (event_type IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-17')
+              AS INTEGER) AS login_frequency_30d,
+         CAST(count(*) FILTER (event_type = 'error' AND ts >= TIMESTAMP '2024-01-17')
+              AS INTEGER) AS support_tickets_30d,
+         date_diff('day', CAST(max(ts) AS DATE), DATE '2024-01-30') AS days_idle
   FROM events GROUP BY user_id
 ),
 scored AS (
-  SELECT *, round(usage_score * 0.5 + least(login_frequency_30d, 20) / 20 * 30
-                  + greatest(0, 10 - support_tickets_30d) / 10 * 20, 1) AS health_score
+  SELECT *, (usage_score + 3 * least(login_frequency_30d, 20)
+             + 4 * greatest(0, 10 - support_tickets_30d)) / 2.0 AS health_score
   FROM activity
 ),
 scored_tier AS (
-  SELECT *, CASE WHEN health_score < 45 THEN 'high_risk' WHEN health_score < 65 THEN 'watch'
-                 ELSE 'healthy' END AS risk_tier
+  SELECT *, CASE WHEN health_score >= 65 THEN 'healthy' WHEN health_score >= 45 THEN 'watch'
+                 ELSE 'high_risk' END AS risk_tier
   FROM scored
 )"""
 
-# money kept in integer cents from here on: mrr = round(amount / 12, 2) HALF_UP
+# money kept in integer cents from here on: mrr = round(amount / 12, 2) HALF_UP;
+# a returned or accepted line takes effect twelve months after its shipment
 SUBS = OPPS + f""",
-won AS (
-  SELECT *, CAST(opp_id AS BIGINT) AS k, CAST(round(amount * 100) AS BIGINT) AS amount_cents
-  FROM opps WHERE stage = 'Closed Won'
-),
-subs_c AS (
-  SELECT opp_id AS sub_id, account_id, opp_id, plan, k,
-         (2 * amount_cents + 12) // 24 AS mrr_cents,
-         close_date AS start_date,
-         CASE WHEN k % 100 < 22 THEN close_date + CAST(30 * (3 + k % 18) AS INTEGER) END AS cand_end
-  FROM won
+lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS opp_id,
+         CAST(CAST(max(l_shipdate) FILTER (l_returnflag = 'R') AS DATE) + INTERVAL 12 MONTH AS DATE)
+           AS cand_end,
+         CAST(CAST(max(l_shipdate) FILTER (l_returnflag = 'A') AS DATE) + INTERVAL 12 MONTH AS DATE)
+           AS grown_on,
+         CAST(sum(round(l_extendedprice * 100)) FILTER (l_returnflag = 'A') AS BIGINT) AS grown_cents
+  FROM lineitem GROUP BY l_orderkey
 ),
 subs AS (
-  SELECT sub_id, account_id, opp_id, plan, k, mrr_cents, start_date,
+  SELECT opp_id AS sub_id, account_id, opp_id, plan,
+         (CAST(round(amount * 100) AS BIGINT) + 6) // 12 AS mrr_cents,
+         close_date AS start_date,
          CASE WHEN cand_end < {AS_OF} THEN cand_end END AS end_date,
-         CASE WHEN cand_end < {AS_OF} THEN 'churned' ELSE 'active' END AS status
-  FROM subs_c
+         CASE WHEN cand_end < {AS_OF} THEN 'churned' ELSE 'active' END AS status,
+         grown_on, grown_cents
+  FROM opps LEFT JOIN lines USING (opp_id) WHERE stage = 'Closed Won'
 )"""
 
-SNAPS = f""",
+SNAPS = "," + ACTIVITY + f""",
 snap0 AS (
-  SELECT *, CASE WHEN status = 'churned' THEN end_date - 90
-                 ELSE {AS_OF} - CAST(30 + k % 271 AS INTEGER) END AS s0
-  FROM subs
+  SELECT s.*, a.* EXCLUDE (account_id),
+         coalesce(end_date - 90, {AS_OF} - CAST(coalesce(30 + days_idle, 90) AS INTEGER)) AS s0
+  FROM subs s LEFT JOIN scored_tier a USING (account_id)
 ),
 snaps AS (
-  SELECT sub_id, account_id, start_date, status, end_date, k, mrr_cents,
-         CASE WHEN s0 < start_date THEN start_date + 15 ELSE s0 END AS snapshot_date
+  SELECT *, CASE WHEN s0 >= start_date THEN s0 ELSE start_date + 15 END AS snapshot_date
   FROM snap0
 )"""
 
-HEALTH = SUBS + SNAPS + "," + ACTIVITY + """,
+HEALTH = SUBS + SNAPS + """,
 health AS (
-  SELECT s.sub_id AS health_id, s.account_id, s.sub_id, s.snapshot_date,
-         a.usage_score, a.login_frequency_30d, a.support_tickets_30d,
-         CAST(365 - (date_diff('day', s.start_date, s.snapshot_date) % 365) AS INTEGER) AS days_to_renewal,
-         a.health_score, a.risk_tier
-  FROM snaps s JOIN scored_tier a ON s.account_id = a.account_id
+  SELECT sub_id AS health_id, account_id, sub_id, snapshot_date,
+         usage_score, login_frequency_30d, support_tickets_30d,
+         CAST(365 - (date_diff('day', start_date, snapshot_date) % 365) AS INTEGER) AS days_to_renewal,
+         health_score, risk_tier, mrr_cents
+  FROM snaps
 )"""
 
 ACCOUNTS = """
@@ -226,61 +213,58 @@ def _with(*ctes: str) -> str:
 
 
 # --- marts -----------------------------------------------------------------------
-def _funnel(keys: str) -> str:
-    return f"""
-  SELECT {keys},
-         count(*) AS total_leads,
-         count(CASE WHEN status IN ('MQL', 'SQL', 'Opportunity') THEN 1 END) AS mql_count,
-         count(CASE WHEN status IN ('SQL', 'Opportunity') THEN 1 END) AS sql_count,
-         count(CASE WHEN status = 'Opportunity' THEN 1 END) AS opportunity_count
-  FROM leads GROUP BY {keys}"""
+_STAGE_COUNTS = """count(*) AS total_leads,
+       count(*) FILTER (status IN ('MQL', 'SQL', 'Opportunity')) AS mql_count,
+       count(*) FILTER (status IN ('SQL', 'Opportunity')) AS sql_count,
+       count(*) FILTER (status = 'Opportunity') AS opportunity_count"""
 
+LEADS_FUNNEL = _with(LEADS) + f"""
+SELECT segment, {_STAGE_COUNTS} FROM leads GROUP BY segment"""
 
-LEADS_FUNNEL = _with(LEADS) + _funnel("segment")
-
-CONVERSION_RATES = _with(LEADS, f"\nby_ss AS ({_funnel('segment, lead_source')})") + f"""
-SELECT segment, lead_source, total_leads, mql_count, sql_count, opportunity_count,
+CONVERSION_RATES = _with(LEADS) + f"""
+SELECT segment, lead_source, {_STAGE_COUNTS},
        {pct('mql_count', 'total_leads')} AS lead_to_mql_pct,
        {pct('sql_count', 'mql_count')} AS mql_to_sql_pct,
        {pct('opportunity_count', 'sql_count')} AS sql_to_opp_pct
-FROM by_ss"""
+FROM leads GROUP BY segment, lead_source"""
 
 QUALIFIED_LEADS = _with(LEADS) + f"""
 SELECT lead_id, segment, lead_source, status, {txt('created_at')} AS created_at
 FROM leads WHERE status IN ('SQL', 'Opportunity')"""
 
-_QUALITY = """
-quality AS (
-  SELECT count(*) AS total_leads,
-         count(CASE WHEN status = 'Opportunity' THEN 1 END) AS opportunity_count,
-         count(CASE WHEN lead_source IS NULL OR lead_source = '' THEN 1 END) AS missing_lead_source_count,
-         count(CASE WHEN segment IS NULL OR segment = '' THEN 1 END) AS missing_segment_count,
-         count(CASE WHEN created_at IS NULL THEN 1 END) AS missing_created_at_count
+# one row per lead and audited cell, so that issues and cells are plain counts
+_CELLS = """
+cells AS (
+  SELECT lead_id, status, unnest([coalesce(lead_source, '') = '', coalesce(segment, '') = '',
+                                  created_at IS NULL]) AS bad,
+         unnest(['source', 'segment', 'date']) AS cell
   FROM leads
-),
-issues AS (
-  SELECT *, missing_lead_source_count + missing_segment_count + missing_created_at_count AS total_issues
-  FROM quality
 )"""
 
-DATA_QUALITY = _with(LEADS, _QUALITY) + f"""
-SELECT total_leads, missing_lead_source_count, missing_segment_count, missing_created_at_count,
-       total_issues,
-       {pct('total_issues', 'total_leads * 3')} AS issue_rate_pct,
-       {pct('total_leads * 3 - total_issues', 'total_leads * 3')} AS data_quality_score_pct
-FROM issues"""
-
-KPI_SCORECARD = _with(LEADS, _QUALITY) + f"""
-SELECT total_leads, opportunity_count,
-       {pct('total_leads * 3 - total_issues', 'total_leads * 3')} AS data_quality_score,
-       missing_lead_source_count
-FROM issues"""
-
-FUNNEL_LONG = _with(LEADS, f"\ntotals AS ({_funnel('1')})") + """
-SELECT 1 AS stage_order, 'Lead' AS stage, total_leads AS n FROM totals
-UNION ALL SELECT 2, 'MQL', mql_count FROM totals
-UNION ALL SELECT 3, 'SQL', sql_count FROM totals
-UNION ALL SELECT 4, 'Opportunity', opportunity_count FROM totals"""
+DATA_QUALITY = _with(LEADS, _CELLS) + f"""
+SELECT count(DISTINCT lead_id) AS total_leads,
+       count(*) FILTER (bad AND cell = 'source') AS missing_lead_source_count,
+       count(*) FILTER (bad AND cell = 'segment') AS missing_segment_count,
+       count(*) FILTER (bad AND cell = 'date') AS missing_created_at_count,
+       count(*) FILTER (bad) AS total_issues,
+       {pct('count(*) FILTER (bad)', 'count(*)')} AS issue_rate_pct,
+       {pct('count(*) FILTER (NOT bad)', 'count(*)')} AS data_quality_score_pct
+FROM cells"""
+
+KPI_SCORECARD = _with(LEADS, _CELLS) + f"""
+SELECT count(DISTINCT lead_id) AS total_leads,
+       count(DISTINCT lead_id) FILTER (status = 'Opportunity') AS opportunity_count,
+       {pct('count(*) FILTER (NOT bad)', 'count(*)')} AS data_quality_score,
+       count(*) FILTER (bad AND cell = 'source') AS missing_lead_source_count
+FROM cells"""
+
+# a lead counts for its own stage and every stage before it
+FUNNEL_LONG = _with(LEADS) + """
+SELECT CAST(v.stage_order AS INTEGER) AS stage_order, v.stage,
+       (SELECT count(*) FROM leads
+        WHERE CASE status WHEN 'Opportunity' THEN 4 WHEN 'SQL' THEN 3 WHEN 'MQL' THEN 2 ELSE 1 END
+              >= v.stage_order) AS n
+FROM (VALUES (1, 'Lead'), (2, 'MQL'), (3, 'SQL'), (4, 'Opportunity')) v(stage_order, stage)"""
 
 SALES_CYCLE = _with(OPPS, """
 closed AS (
@@ -292,142 +276,115 @@ SELECT segment, count(*) AS total_closed_deals,
        min(d) AS min_sales_cycle_days, max(d) AS max_sales_cycle_days
 FROM closed GROUP BY segment"""
 
-WIN_RATE = _with(OPPS, """
-wl AS (
-  SELECT segment, lead_source,
-         count(CASE WHEN stage = 'Closed Won' THEN 1 END) AS won_deals, count(*) AS closed_deals
-  FROM opps WHERE stage IN ('Closed Won', 'Closed Lost') GROUP BY segment, lead_source
-)""") + f"""
-SELECT segment, lead_source, won_deals, closed_deals, {pct('won_deals', 'closed_deals')} AS win_rate_pct
-FROM wl"""
-
-MRR_WATERFALL = _with(REVENUE, """
-per_month_type AS (
-  SELECT CAST(date_trunc('month', event_date) AS DATE) AS event_month, event_type,
-         sum(amount) AS total_amount
-  FROM revenue_events GROUP BY 1, 2
-),
-one_row_per_month AS (
-  SELECT event_month,
-         sum(CASE WHEN event_type = 'new' THEN total_amount ELSE 0 END) AS new_mrr,
-         sum(CASE WHEN event_type = 'expansion' THEN total_amount ELSE 0 END) AS expansion_mrr,
-         sum(CASE WHEN event_type = 'churn' THEN total_amount ELSE 0 END) AS churned_mrr
-  FROM per_month_type GROUP BY event_month
-)""") + """
-SELECT CAST(event_month AS VARCHAR) AS event_month, CAST(new_mrr AS DOUBLE) AS new_mrr,
-       CAST(expansion_mrr AS DOUBLE) AS expansion_mrr, CAST(churned_mrr AS DOUBLE) AS churned_mrr,
-       CAST(new_mrr + expansion_mrr + churned_mrr AS DOUBLE) AS net_mrr_change
-FROM one_row_per_month ORDER BY event_month"""
-
-_AB_MART = f"""
+WIN_RATE = _with(OPPS) + f"""
+SELECT segment, lead_source, count(*) FILTER (stage = 'Closed Won') AS won_deals,
+       count(*) AS closed_deals,
+       {pct("count(*) FILTER (stage = 'Closed Won')", 'count(*)')} AS win_rate_pct
+FROM opps WHERE stage <> 'Negotiation' GROUP BY segment, lead_source"""
+
+MRR_WATERFALL = _with(REVENUE) + """
+SELECT strftime(event_date, '%Y-%m-01') AS event_month,
+       coalesce(sum(amount) FILTER (event_type = 'new'), 0)::DOUBLE AS new_mrr,
+       coalesce(sum(amount) FILTER (event_type = 'expansion'), 0)::DOUBLE AS expansion_mrr,
+       coalesce(sum(amount) FILTER (event_type = 'churn'), 0)::DOUBLE AS churned_mrr,
+       sum(amount)::DOUBLE AS net_mrr_change
+FROM revenue_events GROUP BY event_month ORDER BY event_month"""
+
+_AB_MART = """
 ab_mart AS (
-  SELECT variant, risk_tier_at_assignment,
-         count(*) AS total_accounts,
-         count(CASE WHEN outcome = 'churned' THEN 1 END) AS churned_count,
-         count(CASE WHEN outcome = 'renewed' THEN 1 END) AS renewed_count,
-         {pct("count(CASE WHEN outcome = 'churned' THEN 1 END)", 'count(*)')} AS churn_rate_pct,
+  SELECT variant, risk_tier_at_assignment, count(*) AS total_accounts,
+         count(*) FILTER (outcome = 'churned') AS churned_count,
          sum(pre_experiment_mrr) AS total_pre_experiment_mrr,
-         sum(renewal_mrr) AS total_retained_mrr
-  FROM experiments GROUP BY variant, risk_tier_at_assignment
+         coalesce(sum(pre_experiment_mrr) FILTER (outcome <> 'churned'), 0) AS total_retained_mrr
+  FROM experiments GROUP BY ALL
 )"""
 
-CHURN_AB_RESULTS = _with(EXPERIMENTS, _AB_MART) + """
-SELECT variant, risk_tier_at_assignment, total_accounts, churned_count, renewed_count, churn_rate_pct,
-       CAST(total_pre_experiment_mrr AS DOUBLE) AS total_pre_experiment_mrr,
-       CAST(total_retained_mrr AS DOUBLE) AS total_retained_mrr
-FROM ab_mart ORDER BY risk_tier_at_assignment, variant"""
+CHURN_AB_RESULTS = _with(EXPERIMENTS, _AB_MART) + f"""
+SELECT variant, risk_tier_at_assignment, total_accounts, churned_count,
+       total_accounts - churned_count AS renewed_count,
+       {pct('churned_count', 'total_accounts')} AS churn_rate_pct,
+       total_pre_experiment_mrr::DOUBLE AS total_pre_experiment_mrr,
+       total_retained_mrr::DOUBLE AS total_retained_mrr
+FROM ab_mart ORDER BY 2, 1"""
 
+# churned a and kept b of the control arm, churned c and kept d of the treatment arm
 _ARMS = """
-arms0 AS (
-  SELECT CASE WHEN GROUPING(risk_tier_at_assignment) = 1 THEN 'overall'
-              ELSE risk_tier_at_assignment END AS stratum,
+table2x2 AS (
+  SELECT coalesce(risk_tier_at_assignment, 'overall') AS stratum,
          GROUPING(risk_tier_at_assignment) = 1 AS is_overall,
-         CAST(sum(CASE WHEN variant = 'control' THEN churned_count END) AS BIGINT) AS control_churned,
-         CAST(sum(CASE WHEN variant = 'control' THEN total_accounts END) AS BIGINT) AS control_total,
-         CAST(sum(CASE WHEN variant = 'treatment' THEN churned_count END) AS BIGINT) AS treatment_churned,
-         CAST(sum(CASE WHEN variant = 'treatment' THEN total_accounts END) AS BIGINT) AS treatment_total
-  FROM ab_mart GROUP BY GROUPING SETS ((risk_tier_at_assignment), ())
+         sum(churned_count) FILTER (variant = 'control') AS a,
+         sum(total_accounts - churned_count) FILTER (variant = 'control') AS b,
+         sum(churned_count) FILTER (variant = 'treatment') AS c,
+         sum(total_accounts - churned_count) FILTER (variant = 'treatment') AS d
+  FROM ab_mart GROUP BY ROLLUP (risk_tier_at_assignment)
 ),
 arms AS (
-  SELECT *,
-         CAST(control_churned AS DOUBLE) / NULLIF(CAST(control_total AS DOUBLE), 0) AS p1,
-         CAST(treatment_churned AS DOUBLE) / NULLIF(CAST(treatment_total AS DOUBLE), 0) AS p2,
-         CAST(control_total AS DOUBLE) AS n1, CAST(treatment_total AS DOUBLE) AS n2,
-         (CAST(control_churned AS DOUBLE) + CAST(treatment_churned AS DOUBLE))
-           / NULLIF(CAST(control_total AS DOUBLE) + CAST(treatment_total AS DOUBLE), 0) AS pp
-  FROM arms0
+  SELECT stratum, is_overall, a::DOUBLE AS a, b::DOUBLE AS b, c::DOUBLE AS c, d::DOUBLE AS d,
+         a::BIGINT AS control_churned, (a + b)::BIGINT AS control_total,
+         c::BIGINT AS treatment_churned, (c + d)::BIGINT AS treatment_total,
+         a::DOUBLE / (a + b) AS p1, c::DOUBLE / (c + d) AS p2
+  FROM table2x2
 )"""
 
 
-def _wilson(p: str, n: str, zc: float) -> tuple[str, str]:
-    c2 = _dbl(zc * zc)
-    denom = f"(1.0 + {c2} / {n})"
-    center = f"(({p} + {c2} / (2.0 * {n})) / {denom})"
-    dist = f"({_dbl(zc)} * sqrt({p} * (1.0 - {p}) / {n} + {c2} / (4.0 * {n} * {n})) / {denom})"
-    return f"({center} - {dist})", f"({center} + {dist})"
-
-
-def _significance_sql(alpha: float = 0.05) -> str:
-    zc = z_crit(alpha)
-    lc, hc = _wilson("p1", "n1", zc)
-    lt, ht = _wilson("p2", "n2", zc)
-    stats = f"""
-stats AS (
-  SELECT *, p1 - p2 AS rate_difference,
-         (p1 - p2) / sqrt(NULLIF(pp * (1.0 - pp) * (1.0 / n1 + 1.0 / n2), 0)) AS z_stat,
-         {lc} AS control_ci_low, {hc} AS control_ci_high,
-         {lt} AS treatment_ci_low, {ht} AS treatment_ci_high
+def _normal_mass(x: str) -> str:
+    """Standard normal probability between 0 and x >= 0, by Simpson's rule."""
+    steps = 4000
+    weight = f"(CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)"
+    return (f"(list_sum(list_transform(range(0, {steps + 1}), lambda i: {weight} "
+            f"* exp(-0.5 * pow(i * ({x}) / {steps}.0, 2)))) * ({x}) / {steps}.0 / 3.0 / sqrt(2.0 * pi()))")
+
+
+def _wilson(p: str, n: str, sign: str) -> str:
+    """A root q of (p - q)^2 = z^2 q (1 - q) / n."""
+    z2 = f"({Z_975} * {Z_975} / {n})"
+    return (f"((2.0 * {p} + {z2}) {sign} sqrt(pow(2.0 * {p} + {z2}, 2) - 4.0 * (1.0 + {z2}) * {p} * {p}))"
+            f" / (2.0 * (1.0 + {z2}))")
+
+
+AB_SIGNIFICANCE = _with(EXPERIMENTS, _AB_MART, _ARMS, f"""
+bounds AS (
+  SELECT *, sign(p1 - p2) * sqrt((a + b + c + d) * pow(a * d - b * c, 2)
+                                 / ((a + b) * (c + d) * (a + c) * (b + d))) AS z_stat,
+         {_wilson('p1', '(a + b)', '-')} AS l1, {_wilson('p1', '(a + b)', '+')} AS u1,
+         {_wilson('p2', '(c + d)', '-')} AS l2, {_wilson('p2', '(c + d)', '+')} AS u2
   FROM arms
 ),
-stats2 AS (
-  SELECT *,
-         rate_difference - sqrt((p1 - control_ci_low) * (p1 - control_ci_low)
-                                + (treatment_ci_high - p2) * (treatment_ci_high - p2)) AS diff_ci_low,
-         rate_difference + sqrt((control_ci_high - p1) * (control_ci_high - p1)
-                                + (p2 - treatment_ci_low) * (p2 - treatment_ci_low)) AS diff_ci_high
-  FROM stats
-),
-grid AS (SELECT range AS i FROM range(0, 2001)),
-pv AS (
-  SELECT s.stratum, s.is_overall,
-         greatest(0.0, 1.0 - 2.0 * (abs(any_value(s.z_stat)) / 2000.0 / 3.0)
-           * sum((CASE WHEN g.i = 0 OR g.i = 2000 THEN 1 WHEN g.i % 2 = 1 THEN 4 ELSE 2 END)
-                 * exp(-0.5 * (g.i * abs(s.z_stat) / 2000.0) * (g.i * abs(s.z_stat) / 2000.0)))
-           / sqrt(2.0 * pi())) AS p_value
-  FROM stats2 s CROSS JOIN grid g
-  WHERE s.z_stat IS NOT NULL
-  GROUP BY s.stratum, s.is_overall
-)"""
-    r = lambda c: f"round({c}, {DIGITS}) AS {c}"
-    cols = ", ".join(r(c) for c in [
-        "rate_difference", "z_stat", "control_ci_low", "control_ci_high", "treatment_ci_low",
-        "treatment_ci_high", "diff_ci_low", "diff_ci_high"])
-    return _with(EXPERIMENTS, _AB_MART, _ARMS, stats) + f"""
-SELECT s.stratum, s.is_overall, control_churned, control_total, treatment_churned, treatment_total,
+tested AS (SELECT *, greatest(0.0, 1.0 - 2.0 * {_normal_mass('abs(z_stat)')}) AS p FROM bounds)""") + f"""
+SELECT stratum, is_overall, control_churned, control_total, treatment_churned, treatment_total,
        round(p1, {DIGITS}) AS control_churn_rate, round(p2, {DIGITS}) AS treatment_churn_rate,
-       {cols},
-       round(pv.p_value, {DIGITS}) AS p_value,
-       pv.p_value < {alpha} AS significant
-FROM stats2 s LEFT JOIN pv ON s.stratum IS NOT DISTINCT FROM pv.stratum AND s.is_overall = pv.is_overall"""
-
-
-def _power_sql(alpha: float = 0.05, power: float = 0.80) -> str:
-    zsum = z_crit(alpha) + z_power(power)
-    return _with(EXPERIMENTS, _AB_MART, _ARMS, f"""
-h AS (
-  SELECT *, 2.0 * asin(sqrt(p1)) - 2.0 * asin(sqrt(p2)) AS cohens_h FROM arms
+       round(p1 - p2, {DIGITS}) AS rate_difference, round(z_stat, {DIGITS}) AS z_stat,
+       round(l1, {DIGITS}) AS control_ci_low, round(u1, {DIGITS}) AS control_ci_high,
+       round(l2, {DIGITS}) AS treatment_ci_low, round(u2, {DIGITS}) AS treatment_ci_high,
+       round(p1 - p2 - sqrt(pow(p1 - l1, 2) + pow(u2 - p2, 2)), {DIGITS}) AS diff_ci_low,
+       round(p1 - p2 + sqrt(pow(u1 - p1, 2) + pow(p2 - l2, 2)), {DIGITS}) AS diff_ci_high,
+       round(p, {DIGITS}) AS p_value, p < 0.05 AS significant
+FROM tested"""
+
+_SHIFT = "h * sqrt((low + high) / 4.0)"       # |h| sqrt(n / 2) at the interval's middle
+_REACHED = (f"(0.5 - sign({Z_975} - {_SHIFT}) * {_normal_mass(f'abs({Z_975} - {_SHIFT})')}"
+            f" + 0.5 - {_normal_mass(f'{Z_975} + {_SHIFT}')})")
+
+# the n at which a two-sided test reaches the power, by halving an interval 70 times
+AB_POWER = "WITH RECURSIVE " + ",".join([EXPERIMENTS, _AB_MART, _ARMS, f"""
+effect AS (
+  SELECT *, 2.0 * atan2(sqrt(p1), sqrt(1.0 - p1)) - 2.0 * atan2(sqrt(p2), sqrt(1.0 - p2)) AS cohens_h
+  FROM arms
 ),
-need AS (
-  SELECT *, 2.0 * (({_dbl(zsum)} / NULLIF(abs(cohens_h), 0)) * ({_dbl(zsum)} / NULLIF(abs(cohens_h), 0)))
-         AS required_n_per_group
-  FROM h
-)""") + f"""
-SELECT stratum, is_overall, control_total, treatment_total,
+halved(stratum, is_overall, h, low, high, step) AS (
+  SELECT stratum, is_overall, abs(cohens_h), 0.0::DOUBLE, 20.0 / pow(cohens_h, 2), 0
+  FROM effect WHERE cohens_h <> 0
+  UNION ALL
+  SELECT stratum, is_overall, h, CASE WHEN {_REACHED} < {POWER} THEN (low + high) / 2.0 ELSE low END,
+         CASE WHEN {_REACHED} < {POWER} THEN high ELSE (low + high) / 2.0 END, step + 1
+  FROM halved WHERE step < 70
+)"""]) + f"""
+SELECT e.stratum, e.is_overall, control_total, treatment_total,
        round(p1, {DIGITS}) AS control_churn_rate, round(p2, {DIGITS}) AS treatment_churn_rate,
        round(cohens_h, {DIGITS}) AS cohens_h,
-       round(required_n_per_group, {SAMPLE_DIGITS}) AS required_n_per_group,
-       least(control_total, treatment_total) >= required_n_per_group AS adequately_powered
-FROM need"""
+       round(high, {SAMPLE_DIGITS}) AS required_n_per_group,
+       least(control_total, treatment_total) >= high AS adequately_powered
+FROM effect e LEFT JOIN halved v ON e.stratum = v.stratum AND e.is_overall = v.is_overall AND step = 70"""
 
 
 EXPERIMENT_OUTCOMES = _with(EXPERIMENTS) + """
@@ -448,41 +405,29 @@ SELECT sub_id, account_id, CAST(start_date AS VARCHAR) AS start_date, status,
 FROM snaps"""
 
 REVENUE_EVENTS_FROM_SUBS = _with(SUBS + f""",
-expansions AS (
-  SELECT sub_id, start_date + CAST(60 + k % 341 AS INTEGER) AS expansion_date,
-         (40 * mrr_cents + 100) // 200 AS amount_cents
-  FROM subs WHERE k % 100 >= 82
-),
 ev AS (
-  SELECT account_id, sub_id, 'new' AS type, mrr_cents AS amount_cents, start_date AS event_date FROM subs
-  UNION ALL
-  SELECT account_id, sub_id, 'churn', -mrr_cents, end_date FROM subs WHERE status = 'churned'
-  UNION ALL
-  SELECT s.account_id, s.sub_id, 'expansion', x.amount_cents, x.expansion_date
-  FROM expansions x JOIN subs s ON x.sub_id = s.sub_id
-  WHERE s.status = 'active' AND x.expansion_date < {AS_OF}
+  SELECT account_id, sub_id, unnest(['new', 'churn', 'expansion']) AS type,
+         unnest([mrr_cents, CASE WHEN status = 'churned' THEN -mrr_cents END,
+                 CASE WHEN status = 'active' AND grown_on < {AS_OF} THEN (grown_cents + 6) // 12 END])
+           AS amount_cents,
+         unnest([start_date, end_date, grown_on]) AS event_date
+  FROM subs
 )""") + """
 SELECT sub_id || '-' || type || '-' || strftime(event_date, '%Y%m%d') AS event_id,
        account_id, sub_id, type, CAST(amount_cents AS DOUBLE) / 100.0 AS amount,
        CAST(event_date AS VARCHAR) AS event_date
-FROM ev"""
+FROM ev WHERE amount_cents IS NOT NULL"""
 
 HEALTH_SCORES = _with(ACTIVITY) + """
 SELECT account_id, usage_score, login_frequency_30d, support_tickets_30d,
        CAST(health_score AS DOUBLE) AS health_score, risk_tier
 FROM scored_tier"""
 
-EXPERIMENT_ASSIGNMENT = _with(HEALTH, f"""
-eligible AS (
-  SELECT h.account_id, h.sub_id, h.risk_tier AS risk_tier_at_assignment,
-         h.snapshot_date + 5 AS assigned_date, s.mrr_cents
-  FROM health h JOIN subs s ON h.sub_id = s.sub_id
-  WHERE h.risk_tier IN ('high_risk', 'watch')
-)""") + f"""
-SELECT sub_id AS experiment_id, account_id, sub_id, risk_tier_at_assignment, {_assign('sub_id')},
-       CAST(assigned_date AS VARCHAR) AS assigned_date,
+EXPERIMENT_ASSIGNMENT = _with(HEALTH) + f"""
+SELECT sub_id AS experiment_id, account_id, sub_id, risk_tier AS risk_tier_at_assignment,
+       {_assign('sub_id')}, CAST(snapshot_date + 5 AS VARCHAR) AS assigned_date,
        CAST(mrr_cents AS DOUBLE) / 100.0 AS pre_experiment_mrr
-FROM eligible"""
+FROM health WHERE health_score < 65"""
 
 STG = {
     "stg_accounts": _with(ACCOUNTS) + """
@@ -522,8 +467,8 @@ ORACLE_SQL: dict[str, str] = {
     "win_rate": WIN_RATE,
     "mrr_waterfall": MRR_WATERFALL,
     "churn_ab_results": CHURN_AB_RESULTS,
-    "ab_significance": _significance_sql(),
-    "ab_power": _power_sql(),
+    "ab_significance": AB_SIGNIFICANCE,
+    "ab_power": AB_POWER,
     "experiment_outcomes": EXPERIMENT_OUTCOMES,
     "subscriptions_from_wins": SUBSCRIPTIONS_FROM_WINS,
     "health_snapshots": HEALTH_SNAPSHOTS,

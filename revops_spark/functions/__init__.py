@@ -1,12 +1 @@
-"""Column-level helpers: scalar expressions and statistics."""
-
-from .exprs import (count_where, days_between, is_blank, lookup, money, month_of, pct,
-                    round_ratio, round_ratio_sql, total_money)
-from .stats import (cohens_h, erfc, n_per_group, newcombe_bounds, pooled_z, ratio,
-                    two_sided_p, wilson_bounds, z_crit, z_power)
-
-__all__ = [
-    "count_where", "days_between", "is_blank", "lookup", "money", "month_of", "pct",
-    "round_ratio", "round_ratio_sql", "total_money", "cohens_h", "erfc", "n_per_group", "newcombe_bounds",
-    "pooled_z", "ratio", "two_sided_p", "wilson_bounds", "z_crit", "z_power",
-]
+"""Column-level helpers: scalar expressions (`exprs`) and statistics (`stats`)."""

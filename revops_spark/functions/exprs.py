@@ -83,12 +83,18 @@ def sql_literal(v) -> str:
 
 def lookup(key: str, mapping: dict) -> Column:
     """Keyed constant lookup on a column name or SQL expression; unknown keys
-    give NULL (SC10). A simple CASE, so the optimizer can fold a predicate on
-    the result back onto the key (and from there into the scan)."""
+    give NULL (SC10). A predicate on the result doesn't reach the scan; where
+    that matters, filter on `keys_of` the wanted values as well."""
     arms = " ".join(f"WHEN {sql_literal(k)} THEN {sql_literal(v)}" for k, v in mapping.items())
     return F.expr(f"CASE {sql_arg(key)} {arms} END" if arms else "NULL")
 
 
+def keys_of(mapping: dict, values) -> list:
+    """The keys a lookup maps to the given values: its inverse, for filters on
+    the raw column that a scan can use."""
+    return [k for k, v in mapping.items() if v in set(values)]
+
+
 def money(c: ColumnOrName) -> Column:
     """Money as decimal(18,2): exact sums, no order-dependent float error."""
     return col(c).cast("decimal(18,2)")

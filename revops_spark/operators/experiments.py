@@ -22,19 +22,28 @@ NO_TREATMENT = "none"
 RETENTION_TREATMENTS = ["csm_strategic_call", "audit_prep_discount_10pct",
                         "free_extra_framework_addon"]
 # ---------------------------------------------------------------------------
+NEWTON_STEPS = 3    # from the closed form: quadratic convergence, exact to double precision
 
 
 def eligible_for_experiment(health: DataFrame, subs: DataFrame,
-                            assignment_lag_days: int = 5) -> DataFrame:
+                            assignment_lag_days: int = 5, strict: bool = True) -> DataFrame:
     """BR7 (FLT4 + JN1): at-risk snapshots with their subscription's mrr.
 
     Output: account_id, sub_id, risk_tier_at_assignment, assigned_date,
-    pre_experiment_mrr. The subscription lookup is an equi-join on sub_id;
-    orphans are dropped.
+    pre_experiment_mrr. The subscription lookup is an equi-join on sub_id. A
+    snapshot whose subscription is missing fails the job, as it does in the
+    reference; `strict=False` leaves such snapshots out instead.
     """
     at_risk = health.filter(F.col("risk_tier").isin(ELIGIBLE_TIERS))
-    mrr = subs.select("sub_id", F.col("mrr").alias("pre_experiment_mrr"))
-    return at_risk.join(mrr, "sub_id", "inner").select(
+    mrr = subs.select("sub_id", F.col("mrr").alias("pre_experiment_mrr"),
+                      F.lit(True).alias("_found"))
+    joined = at_risk.join(mrr, "sub_id", "left" if strict else "inner")
+    if strict:
+        missing = F.concat(F.lit("no subscription "), F.coalesce("sub_id", F.lit("NULL")))
+        joined = joined.withColumn("pre_experiment_mrr", F.when(
+            F.col("_found").isNull(), F.raise_error(missing).cast(subs.schema["mrr"].dataType))
+            .otherwise(F.col("pre_experiment_mrr")))
+    return joined.select(
         "account_id", "sub_id",
         F.col("risk_tier").alias("risk_tier_at_assignment"),
         F.date_add("snapshot_date", assignment_lag_days).alias("assigned_date"),
@@ -136,22 +145,22 @@ def ab_significance(mart: DataFrame, alpha: float = 0.05) -> DataFrame:
 
 
 def ab_power(mart: DataFrame, alpha: float = 0.05, power: float = 0.80,
-             exact: bool = False) -> DataFrame:
+             exact: bool = True) -> DataFrame:
     """ST5 + ST6 per stratum: Cohen's h of the observed rates and the sample
     size per group needed for `power` at two-sided `alpha`, next to the actual
     arm sizes.
 
-    By default the closed form 2((z_(1-alpha/2) + z_power)/|h|)^2, which
-    ignores the power contributed by the opposite tail. `exact=True` refines
-    it with two Newton steps on the full two-sided power function, matching an
-    iterative solver (the two differ by about 0.0024 at n ~ 1015).
+    The size solves the full two-sided power function, as the reference's solver
+    does: the closed form 2((z_(1-alpha/2) + z_power)/|h|)^2, which ignores the
+    opposite tail, refined by Newton steps (the two differ by about 0.0024 at
+    n ~ 1015). `exact=False` gives the closed form alone.
     """
     h = _arms(mart).selectExpr(
         "stratum", "is_overall", "control_total", "treatment_total", "control_churn_rate",
         "treatment_churn_rate",
         f"{cohens_h_sql('control_churn_rate', 'treatment_churn_rate')} AS cohens_h")
     need = h.selectExpr("*", f"{n_per_group_sql('cohens_h', alpha, power)} AS required_n_per_group")
-    for _ in range(2 if exact else 0):
+    for _ in range(NEWTON_STEPS if exact else 0):
         step = newton_step_sql("required_n_per_group", "cohens_h", alpha, power)
         need = need.withColumn("required_n_per_group", F.expr(step))
     out = need.selectExpr(

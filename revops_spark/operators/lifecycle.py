@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import ColumnOrName, col, days_between
@@ -34,12 +34,13 @@ def subscription_status(end: ColumnOrName, as_of: DateLike) -> tuple[Column, Col
 
 
 def derive_subscriptions(opps: DataFrame, as_of: DateLike,
-                         candidate_end: ColumnOrName | None = None) -> DataFrame:
+                         candidate_end: ColumnOrName | None = None,
+                         keep: list[str] | None = None) -> DataFrame:
     """BR1 + BR2: one subscription per won opportunity.
 
     start = close_date; mrr = round(amount / 12, 2); `candidate_end` (a Column
-    over the opportunity rows, NULL for no churn) is the drawn end date that
-    BR2 turns into status and end_date.
+    over the opportunity rows, NULL for no churn) is the end date that BR2 turns
+    into status and end_date. `keep` names further columns to carry along.
     """
     end = col(candidate_end) if candidate_end is not None else F.lit(None).cast("date")
     won = opps.filter(F.col("stage") == WON_STAGE).withColumn("_end", end.cast("date"))
@@ -50,6 +51,7 @@ def derive_subscriptions(opps: DataFrame, as_of: DateLike,
         F.col("close_date").alias("start_date"),
         end_date.alias("end_date"),
         status.alias("status"),
+        *(keep or []),
     )
 
 
@@ -68,7 +70,8 @@ def derive_revenue_events(subs: DataFrame, as_of: DateLike,
     over the subscriptions (an array of candidate events, NULLs filtered,
     exploded) with no join and no second scan. A separate `expansions` table
     (sub_id, expansion_date, amount; any number per subscription) is joined to
-    the active subscriptions instead.
+    the active subscriptions instead; where it has several for one day, the
+    later ones (by amount) get a running number in their event_id.
     """
     churned, active = F.col("status") == "churned", F.col("status") == "active"
     events = [
@@ -86,13 +89,18 @@ def derive_revenue_events(subs: DataFrame, as_of: DateLike,
     out = subs.select("account_id", "sub_id",
                       F.inline(F.filter(F.array(*events), lambda e: e.isNotNull())))
     if expansions is not None:
+        same_day = Window.partitionBy("sub_id", "expansion_date").orderBy("amount")
         grown = (expansions.filter(F.col("expansion_date") < _date(as_of))
+                 .withColumn("nth", F.row_number().over(same_day))
                  .join(subs.filter(active).select("sub_id", "account_id"), "sub_id", "inner")
                  .select("account_id", "sub_id", F.lit("expansion").alias("type"),
                          F.col("amount").cast("decimal(18,2)").alias("amount"),
-                         F.col("expansion_date").alias("event_date")))
-        out = out.unionByName(grown)
-    event_id = F.concat_ws("-", "sub_id", "type", F.date_format("event_date", "yyyyMMdd"))
+                         F.col("expansion_date").alias("event_date"),
+                         F.when(F.col("nth") > 1, F.col("nth").cast("string")).alias("nth")))
+        out = out.withColumn("nth", F.lit(None).cast("string")).unionByName(grown)
+    # concat_ws leaves NULL parts out
+    number = [F.col("nth")] if expansions is not None else []
+    event_id = F.concat_ws("-", "sub_id", "type", F.date_format("event_date", "yyyyMMdd"), *number)
     return out.select(event_id.alias("event_id"), "account_id", "sub_id", "type",
                       "amount", "event_date")
 
@@ -100,14 +108,16 @@ def derive_revenue_events(subs: DataFrame, as_of: DateLike,
 def health_score(usage: ColumnOrName, logins: ColumnOrName, tickets: ColumnOrName) -> Column:
     """BR4: round(0.5 usage + min(logins, 20) / 20 * 30 + max(0, 10 - tickets) / 10 * 20, 1).
 
-    For integer inputs the value is exactly (usage + 3 min(logins, 20) +
-    4 max(0, 10 - tickets)) / 2, a multiple of 0.5, so it is computed in
-    integers and the rounding is exact.
+    The value is (usage + 3 min(logins, 20) + 4 max(0, 10 - tickets)) / 2, computed
+    in decimals: exact for integers, and fractional inputs count in full (up to
+    four decimals) before the one rounding. NULL if any input is NULL (`least`
+    and `greatest` alone would skip it).
     """
-    twice = (col(usage).cast("bigint")
-             + F.lit(3) * F.least(col(logins).cast("bigint"), F.lit(20))
-             + F.lit(4) * F.greatest(F.lit(0), F.lit(10) - col(tickets).cast("bigint")))
-    return (twice.cast("decimal(12,0)") / F.lit(2)).cast("decimal(5,1)")
+    u, n, t = (col(c).cast("decimal(14,4)") for c in (usage, logins, tickets))
+    twice = (u + F.lit(3) * F.least(n, F.lit(20).cast("decimal(14,4)"))
+             + F.lit(4) * F.greatest(F.lit(0).cast("decimal(14,4)"), F.lit(10) - t))
+    known = u.isNotNull() & n.isNotNull() & t.isNotNull()
+    return F.when(known, F.round(twice / F.lit(2), 1)).cast("decimal(12,1)")
 
 
 def risk_tier(score: ColumnOrName) -> Column:
@@ -145,15 +155,17 @@ def health_snapshots(subs: DataFrame, as_of: DateLike,
 
 def customer_health_scores(subs: DataFrame, activity: DataFrame, as_of: DateLike,
                            offset_days: int | ColumnOrName = 90) -> DataFrame:
-    """One health snapshot per subscription whose account has activity.
+    """One health snapshot per subscription, with or without account activity.
 
-    activity: account_id, usage_score, login_frequency_30d, support_tickets_30d.
+    activity: account_id, usage_score, login_frequency_30d, support_tickets_30d;
+    `offset_days` may also use its further columns. Without activity the measures,
+    the score and the tier are NULL: nothing is known, which isn't a score of 0.
     days_to_renewal counts to the next yearly (365-day) anniversary of the start.
     An account with many subscriptions is a hot key of this join; AQE splits it.
     """
-    snaps = health_snapshots(subs, as_of, offset_days)
-    scored = score_accounts(activity)
-    joined = snaps.join(scored, "account_id", "inner")
+    snap = health_snapshot_date("status", "start_date", "end_date", as_of, offset_days)
+    joined = subs.join(score_accounts(activity), "account_id", "left").withColumn(
+        "snapshot_date", snap)
     tenure = days_between("start_date", "snapshot_date")
     return joined.select(
         F.col("sub_id").alias("health_id"), "account_id", "sub_id", "snapshot_date",

@@ -6,9 +6,9 @@ to the columns it uses); marts are written as Parquet tables, which also cuts
 the lineage for everything that reads them afterwards (the A/B statistics).
 
 Three marts read the leads. Instead of three scans, the leads are rolled up
-once to their distinct attribute combinations (a small result: segments x
-sources x statuses x days), checkpointed to the cluster's checkpoint folder,
-and the three marts are computed from that with weights.
+once to their distinct attribute combinations (segments x sources x statuses x
+days), written as the table `lead_tallies`, and the marts are computed from that
+with weights.
 """
 
 from __future__ import annotations
@@ -20,10 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import experiments as ex
 from ..operators import marts as m
 from ..operators.staging import STAGING
-from ..session import checkpoint_dir
 from ..sources.files import (ensure_schema, fetch_ab_test_data, layer_schema, raw_table,
                              write_table, write_view)
 
+LEAD_TALLIES = "lead_tallies"
+
 # marts computed from the leads roll-up, with weight="n"
 LEAD_MARTS: dict[str, Callable[..., DataFrame]] = {
     "fct_leads_funnel": m.fct_leads_funnel,
@@ -80,8 +81,8 @@ def build_marts(spark: SparkSession, staging: dict[str, DataFrame],
               if (not only or n in only) and source in staging]
     tallies = None
     if any(n in weighted for n in wanted):
-        checkpoint_dir(spark)
-        tallies = m.lead_tallies(staging["stg_leads"]).checkpoint(eager=True)
+        write_table(m.lead_tallies(staging["stg_leads"]), schema, LEAD_TALLIES, "overwrite")
+        tallies = spark.table(f"`{schema}`.`{LEAD_TALLIES}`")
     report = []
     for name in wanted:
         source, transform = models[name]
@@ -102,7 +103,7 @@ def run_build(spark: SparkSession, raw: dict[str, DataFrame] | None = None,
 
 
 def run_ab_analysis(spark: SparkSession, mart_schema: str = "mart", alpha: float = 0.05,
-                    power: float = 0.80, exact_power: bool = False) -> tuple[DataFrame, DataFrame]:
+                    power: float = 0.80, exact_power: bool = True) -> tuple[DataFrame, DataFrame]:
     """The A/B script: significance per tier and overall, then power, both read
     from the written mart table (SRC4)."""
     mart = fetch_ab_test_data(spark, mart_schema)

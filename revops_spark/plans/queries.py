@@ -45,58 +45,56 @@ def report(df: DataFrame, round_doubles: bool = False,
 
 
 # --- leads --------------------------------------------------------------------
-def _leads(spark, d):
-    return stg.stg_leads(td.leads(spark, d))
-
-
-def _tallies(spark, d):
-    """Leads pre-aggregated before the customer join; the marts take weight="n"."""
-    return td.lead_tallies(spark, d)
+def _leads(spark, d, statuses=None, with_segment=True):
+    """STG3 over the events; each mart's plan reads and shuffles only the columns
+    the mart names."""
+    return stg.stg_leads(td.leads(spark, d, statuses, with_segment))
 
 
 def leads_funnel(spark, d):
-    """STG3, MRT1 (over pre-aggregated lead tallies)."""
-    return report(m.fct_leads_funnel(_tallies(spark, d), weight="n"))
+    """STG3, MRT1."""
+    return report(m.fct_leads_funnel(_leads(spark, d)))
 
 
 def conversion_rates(spark, d):
     """STG3, MRT2, SC2, SC3."""
-    return report(m.agg_conversion_rates(_tallies(spark, d), weight="n"))
+    return report(m.agg_conversion_rates(_leads(spark, d)))
 
 
 def qualified_leads(spark, d):
-    """STG3, FLT2."""
-    return report(m.qualified_leads(_leads(spark, d)))
+    """STG3, FLT2 (the status filter also on the raw event types)."""
+    return report(m.qualified_leads(_leads(spark, d, m.SQL_OR_LATER)))
 
 
 def data_quality(spark, d):
     """STG3, MRT6, SC12."""
-    return report(m.audit_data_quality_summary(_tallies(spark, d), weight="n"))
+    return report(m.audit_data_quality_summary(_leads(spark, d)))
 
 
 def kpi_scorecard(spark, d):
-    """MRT7."""
-    return report(m.kpi_scorecard(_tallies(spark, d), weight="n"))
+    """STG3, MRT7."""
+    return report(m.kpi_scorecard(_leads(spark, d)))
 
 
 def funnel_long(spark, d):
-    """MRT8."""
-    return report(m.funnel_long(_tallies(spark, d), weight="n"))
+    """STG3, MRT8 (no segment, so no customer join)."""
+    return report(m.funnel_long(_leads(spark, d, with_segment=False)))
 
 
 # --- opportunities and revenue ----------------------------------------------------
-def _opps(spark, d):
-    return stg.stg_opportunities(td.opportunities(spark, d))
+def _closed(spark, d):
+    """STG4 over the closed orders (FLT1 also on the raw order status)."""
+    return stg.stg_opportunities(td.opportunities(spark, d, m.CLOSED_STAGES))
 
 
 def sales_cycle(spark, d):
     """STG4, FLT1, MRT3, SC4, SC6."""
-    return report(m.agg_sales_cycle(_opps(spark, d)))
+    return report(m.agg_sales_cycle(_closed(spark, d)))
 
 
 def win_rate(spark, d):
     """STG4, FLT1, MRT9."""
-    return report(m.win_rate(_opps(spark, d)))
+    return report(m.win_rate(_closed(spark, d)))
 
 
 def mrr_waterfall(spark, d):
@@ -121,7 +119,7 @@ def ab_significance(spark, d):
 
 
 def ab_power(spark, d):
-    """ST5, ST6, ST7 over MRT5."""
+    """ST5, ST6 (solved with both tails), ST7 over MRT5."""
     return report(ex.ab_power(_ab_mart(spark, d)), round_doubles=True,
                   digits={"required_n_per_group": SAMPLE_SIZE_DIGITS})
 
@@ -140,7 +138,7 @@ def subscriptions_from_wins(spark, d):
 
 def health_snapshots(spark, d):
     """BR6."""
-    return report(lc.health_snapshots(td.subscriptions(spark, d), td.AS_OF, td.snapshot_offset()))
+    return report(td.snapshots(spark, d))
 
 
 def revenue_events_from_subs(spark, d):

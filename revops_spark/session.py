@@ -1,14 +1,13 @@
 """Session helpers.
 
 A cluster hands us a configured session; we only fill in settings that are
-unset, so a cluster's own `spark.sql.shuffle.partitions`,
-`spark.checkpoint.dir` and AQE thresholds always win.
+unset, so a cluster's own `spark.sql.shuffle.partitions` and AQE thresholds
+always win.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -34,29 +33,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in `spark.checkpoint.dir`.
-
-    Only a local-mode session (tests, the bench) without that setting gets a
-    fresh folder of its own; on a cluster a machine-local folder would not
-    survive the loss of an executor, so the setting is required there.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    local = tempfile.mkdtemp(prefix="revops-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "revops_spark") -> SparkSession:
     """A local session for tests and the bench (no UI, no server)."""

@@ -1,15 +1,19 @@
 """File and catalog sources and sinks (SRC1, SRC2, SRC4, SNK1-SNK7).
 
-CSV files are read with a fixed schema (no inference pass) and split across
-executors; nothing passes through the driver but table names and row counts.
+CSV files are read with a fixed schema (no inference pass); nothing passes
+through the driver but headers, table names and row counts.
 """
 
 from __future__ import annotations
 
 import logging
 import os
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .schemas import JOIN_KEYS, LOAD_ORDER, RAW_TABLES
@@ -29,15 +33,28 @@ def normalise_columns(df: DataFrame) -> DataFrame:
 
 
 def read_csv_table(spark: SparkSession, path: str, table: str | None = None,
-                   schema: T.StructType | None = None) -> DataFrame:
+                   schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """SRC1: a CSV file (or folder of files) with a header row, typed by the
-    registry schema of `table` (SRC2). `,,` and `,"",` both read as NULL."""
+    registry schema of `table` (SRC2). `,,` and `,"",` both read as NULL.
+
+    Columns are matched by header name, in any order and case; a header with
+    other names fails, and so does a file of the folder whose header differs from
+    the first one's. Quotes inside a field are doubled. A field may hold line
+    ends, so a file is one task; `multi_line=False` splits large files that
+    have none.
+    """
     schema = schema or RAW_TABLES[table]
-    df = (spark.read.schema(schema)
-          .option("header", True)
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    found = spark.read.options(**options).csv(path).columns
+    wanted = {f.name.lower(): f for f in schema.fields}
+    if sorted(c.lower() for c in found) != sorted(wanted):
+        raise ValueError(f"{path}: the header has {found}, the table {list(wanted)}")
+    in_file = T.StructType([T.StructField(c, wanted[c.lower()].dataType) for c in found])
+    df = (spark.read.schema(in_file).options(**options)
+          .option("enforceSchema", False)
           .option("mode", "FAILFAST")
           .csv(path))
-    return normalise_columns(df)
+    return normalise_columns(df).select(*wanted)
 
 
 def read_raw_files(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
@@ -69,22 +86,21 @@ def write_view(df: DataFrame, name: str) -> DataFrame:
 
 def write_table(df: DataFrame, schema: str, name: str, mode: str = "overwrite",
                 bucket_by: tuple[str, int] | None = None) -> int:
-    """SNK2 / SNK6: materialise as a Parquet table `schema.name`; returns its row
-    count, read back from the written table (no recompute of its lineage).
+    """SNK2 / SNK6: materialise as a Parquet table `schema.name`; returns the
+    number of rows this call wrote, counted by the write itself.
 
     The reference appends, so a re-run duplicates rows; `mode` defaults to
     overwrite and "append" keeps the reference's behaviour. `bucket_by=(key, n)`
     writes n buckets sorted by key, so later joins on key need no shuffle.
     """
-    spark = df.sparkSession
-    ensure_schema(spark, schema)
-    full = f"`{schema}`.`{name}`"
-    writer = df.write.mode(mode).format("parquet")
+    ensure_schema(df.sparkSession, schema)
+    written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).format("parquet")
     if bucket_by is not None:
         key, n = bucket_by
         writer = writer.bucketBy(n, key).sortBy(key)
-    writer.saveAsTable(full)
-    return spark.table(full).count()
+    writer.saveAsTable(f"`{schema}`.`{name}`")
+    return written.get["rows"]
 
 
 def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
@@ -92,7 +108,8 @@ def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
              fmt: str = "csv") -> DataFrame:
     """SNK3: load every registry table from `<in_dir>/<table>.<fmt>` (a file or
     a folder of files) in dependency order; returns a report of
-    (table_name, rows_loaded).
+    (table_name, rows_loaded, status, error). A table that fails leaves
+    rows_loaded NULL and status "failed"; the others are loaded all the same.
 
     With `buckets`, the tables the library joins (JOIN_KEYS) are bucketed by
     their join key into that many buckets, co-locating both sides of the join.
@@ -101,10 +118,16 @@ def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
     for table in LOAD_ORDER:
         path = os.path.join(in_dir, f"{table}.{fmt}")
         bucket_by = (JOIN_KEYS[table], buckets) if buckets and table in JOIN_KEYS else None
-        rows = write_table(read_raw_files(spark, path, table, fmt), schema, table, mode, bucket_by)
-        log.info("loaded %d rows -> %s", rows, table)
-        report.append((table, rows))
-    return spark.createDataFrame(report, "table_name string, rows_loaded long")
+        try:
+            rows = write_table(read_raw_files(spark, path, table, fmt), schema, table, mode, bucket_by)
+        except (PySparkException, Py4JJavaError, ValueError) as exc:
+            log.error("failed to load %s: %s", table, exc)
+            report.append((table, None, "failed", str(exc).splitlines()[0][:500]))
+        else:
+            log.info("loaded %d rows -> %s", rows, table)
+            report.append((table, rows, "loaded", None))
+    return spark.createDataFrame(
+        report, "table_name string, rows_loaded long, status string, error string")
 
 
 def raw_table(spark: SparkSession, name: str, schema: str = "raw") -> DataFrame:
@@ -120,12 +143,28 @@ def fetch_ab_test_data(spark: SparkSession, schema: str = "mart") -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """SNK1: write with a header row; an empty input writes nothing and warns.
+    """SNK1: write with a header row; quotes inside a field are doubled. An empty
+    input leaves `path` as it was and warns.
 
-    The emptiness probe is a limit-1 job, not a count.
+    The input runs once: rows are counted by the write, which goes to a folder
+    beside `path` and takes its place if there were any. Modes other than
+    overwrite write to `path` itself.
     """
-    if df.isEmpty():
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}" if mode == "overwrite" else path
+    written = Observation()
+    (df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+     .option("header", True).option("escape", '"').csv(staged))
+    rows = written.get["rows"]
+    if not rows:
         log.warning("no rows generated for %s", path)
-        return False
-    df.write.mode(mode).option("header", True).csv(path)
-    return True
+    if staged != path:
+        spark = df.sparkSession
+        source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path))
+        fs = source.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        if rows:
+            fs.delete(target, True)
+            if not fs.rename(source, target):
+                raise OSError(f"could not move {staged} to {path}")
+        else:
+            fs.delete(source, True)
+    return bool(rows)

@@ -14,10 +14,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import count_where, lookup, money
+from ..functions.exprs import count_where, keys_of, lookup, money
 from ..operators.experiments import assign_variant, renewal_mrr
-from ..operators.lifecycle import (customer_health_scores, derive_revenue_events,
-                                   derive_subscriptions)
+from ..operators.lifecycle import (WON_STAGE, customer_health_scores, derive_revenue_events,
+                                   derive_subscriptions, health_snapshots)
 
 # --- fixed values -----------------------------------------------------------
 # lead sources of the reference, picked by k % 9 (k from events.props);
@@ -33,6 +33,9 @@ BLANK_PRIORITY = "4-NOT SPECIFIED"
 DEFAULT_PLAN = "SOC2 Starter"
 AS_OF = dt.date(2001, 12, 31)             # end of the order history
 ACTIVITY_SINCE = dt.date(2024, 1, 17)     # logins / tickets window start
+ACTIVITY_UNTIL = dt.date(2024, 1, 30)     # last day of the event history
+TERM_MONTHS = 12                          # a change to a subscription waits for its term
+ELIGIBLE_BALANCE = 7000                   # customers below it are at risk
 EXPERIMENT_SALT = "exp1"
 # ---------------------------------------------------------------------------
 
@@ -62,26 +65,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lookup_table(df: DataFrame, key: str, **columns: str) -> DataFrame:
-    """A dimension as a lookup: one row per key, `columns` renamed as given.
+def leads(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
+          with_segment: bool = True) -> DataFrame:
+    """One lead per event; segment from the customer; status from the event type.
 
-    Grouping by the key means a lookup can never multiply fact rows, and it
-    tells the optimizer the key is unique, so a left join whose looked-up
-    columns go unused is dropped from the plan. Where the join stays, the
-    grouping is already partitioned by the key, so it costs no extra shuffle.
+    `statuses` filters the raw event types, which reaches the scan;
+    `with_segment=False` spares the customer join (segment is then NULL). A hot
+    user is split by AQE: nothing stands between the join and its exchange.
     """
-    return df.groupBy(F.col(key).alias(key)).agg(
-        *[F.max(src).alias(dst) for dst, src in columns.items()])
-
-
-def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One lead per event; segment from the customer; status from the event type."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    cust = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+    ev = table(spark, sf_dir, "events")
+    if statuses is not None:
+        ev = ev.filter(F.col("event_type").isin(keys_of(EVENT_TO_STATUS, statuses)))
+    if with_segment:
+        cust = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
+        ev = ev.join(cust, "user_id", "left")
+    else:
+        ev = ev.withColumn("segment", F.lit(None).cast("string"))
     k = "try_cast(get_json_object(props, '$.k') AS INT)"
     sources = dict(enumerate(LEAD_SOURCES)) | {len(LEAD_SOURCES): ""}
-    return ev.join(cust, "user_id", "left").select(
+    return ev.select(
         F.col("event_id").cast("string").alias("lead_id"),
         "segment",
         lookup(f"{k} % 9", sources).alias("lead_source"),
@@ -90,38 +93,23 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lead_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The leads adapter rolled up: segment, lead_source, status, created_at
-    and `n`, the number of leads with exactly those values.
+def opportunities(spark: SparkSession, sf_dir: str, stages: list[str] | None = None,
+                  with_segment: bool = True) -> DataFrame:
+    """One opportunity per order; it closes at its last shipment.
 
-    Events are counted per (user, event type, source index, day) before the
-    customer join. Partial aggregation collapses a hot user inside each scan
-    task, and only these tallies, not every event row, are shuffled into the
-    join that supplies the segment.
+    `stages` filters the raw order status, which reaches the scan;
+    `with_segment=False` spares the customer join (segment is then NULL). The
+    customer join is plain, so AQE splits a customer with very many orders.
     """
-    ev = table(spark, sf_dir, "events").selectExpr(
-        "user_id", "event_type",
-        "try_cast(get_json_object(props, '$.k') AS INT) % 9 AS source_index",
-        "CAST(ts AS DATE) AS created_at")
-    per_user = ev.groupBy("user_id", "event_type", "source_index", "created_at").agg(
-        F.count(F.lit(1)).alias("n"))
-    cust = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("segment"))
-    sources = dict(enumerate(LEAD_SOURCES)) | {len(LEAD_SOURCES): ""}
-    return per_user.join(cust, "user_id", "left").select(
-        "segment",
-        lookup("source_index", sources).alias("lead_source"),
-        lookup("event_type", EVENT_TO_STATUS).alias("status"),
-        "created_at", "n")
-
-
-def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One opportunity per order; it closes at its last shipment."""
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-        "o_orderpriority")
-    cust = lookup_table(table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"),
-                        "o_custkey", segment="c_mktsegment")
+    orders = table(spark, sf_dir, "orders")
+    if stages is not None:
+        orders = orders.filter(F.col("o_orderstatus").isin(keys_of(ORDER_STATUS_TO_STAGE, stages)))
+    if with_segment:
+        cust = table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+        orders = orders.join(cust, "o_custkey", "left")
+    else:
+        orders = orders.withColumn("segment", F.lit(None).cast("string"))
     last_ship = (table(spark, sf_dir, "lineitem")
                  .groupBy(F.col("l_orderkey").alias("o_orderkey"))
                  .agg(F.max("l_shipdate").alias("last_ship")))
@@ -129,8 +117,7 @@ def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     close = F.greatest(created, F.coalesce(F.col("last_ship").cast("date"), created))
     key, cust_key = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     priority = F.col("o_orderpriority")
-    return (orders.join(cust, "o_custkey", "left")
-            .join(last_ship, "o_orderkey", "left")
+    return (orders.join(last_ship, "o_orderkey", "left")
             .select(
                 key.alias("opp_id"), key.alias("lead_id"), cust_key.alias("account_id"),
                 cust_key.alias("rep_id"), "segment",
@@ -158,16 +145,21 @@ def revenue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def at_risk_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT4 on raw balances: the customers whose orders are experiment units."""
+    return table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < ELIGIBLE_BALANCE)
+
+
 def retention_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders of customers with balance under 7000 are the experiment units.
+    """The orders of at-risk customers are the experiment units.
 
     Tier by balance; arm by the deterministic md5 split (BR8); churn by a rule
     on the order key: 50 % of high_risk units, 30 % of watch units.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    cust = (table(spark, sf_dir, "customer").filter(F.col("c_acctbal") < 7000)
-            .select(F.col("c_custkey").alias("o_custkey"), "c_acctbal"))
+    cust = at_risk_customers(spark, sf_dir).select(
+        F.col("c_custkey").alias("o_custkey"), "c_acctbal")
     tier = F.when(F.col("c_acctbal") < 3000, F.lit("high_risk")).otherwise(F.lit("watch"))
     key = F.col("o_orderkey").cast("string")
     units = orders.join(cust, "o_custkey", "inner").select(
@@ -187,60 +179,87 @@ def retention_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def account_activity(spark: SparkSession, sf_dir: str,
                      since: dt.date = ACTIVITY_SINCE) -> DataFrame:
-    """Per account (events.user_id): usage from purchases, logins from views and
-    clicks since `since`, support tickets from errors since `since`."""
+    """Per account (events.user_id): usage is the share of views, clicks and
+    purchases among its events (whole percents, so 0 to 100 by definition),
+    logins are views and clicks since `since`, support tickets errors since it."""
+    return _activity(spark, sf_dir, since).drop("days_idle")
+
+
+def _activity(spark: SparkSession, sf_dir: str, since: dt.date = ACTIVITY_SINCE) -> DataFrame:
+    """account_activity plus days_idle: days from the account's last event to the
+    end of the event history."""
     ev = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     etype, recent = F.col("event_type"), F.col("ts").cast("date") >= F.lit(since)
     per_user = ev.groupBy("user_id").agg(
-        count_where(etype == "purchase").alias("purchases"),
+        F.count(F.lit(1)).alias("events"),
+        count_where(etype.isin("view", "click", "purchase")).alias("engaged"),
         count_where(etype.isin("view", "click") & recent).alias("logins"),
-        count_where((etype == "error") & recent).alias("tickets"))
+        count_where((etype == "error") & recent).alias("tickets"),
+        F.max("ts").cast("date").alias("last_seen"))
     return per_user.select(
         F.col("user_id").cast("string").alias("account_id"),
-        F.least(F.lit(100), F.col("purchases") * 4).cast("int").alias("usage_score"),
+        F.expr("CAST(100 * engaged DIV events AS INT)").alias("usage_score"),
         F.col("logins").cast("int").alias("login_frequency_30d"),
-        F.col("tickets").cast("int").alias("support_tickets_30d"))
+        F.col("tickets").cast("int").alias("support_tickets_30d"),
+        F.date_diff(F.lit(ACTIVITY_UNTIL), "last_seen").alias("days_idle"))
 
 
-def _num_key(c: str):
-    return F.col(c).cast("bigint")
+def _flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order: when a returned line and an accepted one take effect, and the
+    accepted lines' yearly amount. A change waits for the end of its term, a
+    year after the line was shipped."""
+    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("R", "A")).select(
+        F.col("l_orderkey").cast("string").alias("opp_id"), "l_returnflag", "l_shipdate",
+        "l_extendedprice")
+    returned, accepted = F.col("l_returnflag") == "R", F.col("l_returnflag") == "A"
 
+    def effective(which):
+        return F.add_months(F.max(F.when(which, F.col("l_shipdate"))).cast("date"), TERM_MONTHS)
 
-def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BR1 + BR2 over the won opportunities; 22 % of them draw an end date
-    30 x (3 + key % 18) days after the start."""
-    key = _num_key("opp_id")
-    end = F.when(key % 100 < 22,
-                 F.date_add("close_date", (F.lit(30) * (F.lit(3) + key % 18)).cast("int")))
-    return derive_subscriptions(opportunities(spark, sf_dir), AS_OF, end)
+    return li.groupBy("opp_id").agg(
+        effective(returned).alias("cancelled_on"), effective(accepted).alias("expanded_on"),
+        F.sum(F.when(accepted, money("l_extendedprice"))).alias("accepted_amount"))
 
 
-def expansion_columns() -> tuple:
-    """The expansion drawn for a subscription (NULL for none): 18 % of them
-    expand by 20 % of mrr, 60 + key % 341 days after the start."""
-    key = _num_key("sub_id")
-    drawn = key % 100 >= 82
-    date = F.when(drawn, F.date_add("start_date", (F.lit(60) + key % 341).cast("int")))
-    amount = F.when(drawn, F.round(F.col("mrr") * F.lit(0.20), 2).cast("decimal(18,2)"))
-    return date, amount
+def _won(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The won opportunities with what their flagged lines say."""
+    return opportunities(spark, sf_dir, [WON_STAGE], with_segment=False).join(
+        _flagged_lines(spark, sf_dir), "opp_id", "left")
+
+
+def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BR1 + BR2 over the won opportunities; an order with a returned line ends
+    a year after the last one was shipped."""
+    return derive_subscriptions(_won(spark, sf_dir), AS_OF, "cancelled_on")
 
 
 def lifecycle_revenue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """BR3 over the subscriptions adapter, in one pass over the subscriptions."""
-    date, amount = expansion_columns()
-    return derive_revenue_events(subscriptions(spark, sf_dir), AS_OF, date, amount)
+    """BR3 over the subscriptions, in one pass: the accepted lines are the
+    expansion, a twelfth of their amount a year after the last was shipped."""
+    subs = derive_subscriptions(_won(spark, sf_dir), AS_OF, "cancelled_on",
+                                keep=["expanded_on", "accepted_amount"])
+    monthly = F.round(F.col("accepted_amount") / F.lit(12), 2)
+    return derive_revenue_events(subs, AS_OF, "expanded_on", monthly)
 
 
 def snapshot_offset():
-    """Days before as-of of an active subscription's snapshot: 30 + key % 271."""
-    return F.lit(30) + _num_key("sub_id") % 271
+    """Days before as-of of an active subscription's snapshot: 30, plus the days
+    its account has been idle; 90 for an account without activity."""
+    return F.coalesce(F.lit(30) + F.col("days_idle"), F.lit(90))
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BR6 over the subscriptions and their accounts' activity."""
+    idle = _activity(spark, sf_dir).select("account_id", "days_idle")
+    return health_snapshots(subscriptions(spark, sf_dir).join(idle, "account_id", "left"), AS_OF,
+                            snapshot_offset())
 
 
 def health(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None) -> DataFrame:
-    """customer_health_scores: one snapshot per subscription with account activity
-    (over `subs` when the caller already holds the subscriptions plan)."""
+    """customer_health_scores: one snapshot per subscription (over `subs` when the
+    caller already holds the subscriptions plan)."""
     subs = subs if subs is not None else subscriptions(spark, sf_dir)
-    return customer_health_scores(subs, account_activity(spark, sf_dir), AS_OF, snapshot_offset())
+    return customer_health_scores(subs, _activity(spark, sf_dir), AS_OF, snapshot_offset())
 
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from pyspark.sql import SparkSession
 
-    from revops_spark.session import checkpoint_dir, configure
+    from revops_spark.session import configure
 
     scratch = tempfile.mkdtemp(prefix="revops-test-")
     session = (SparkSession.builder.master("local[*]")
@@ -22,12 +22,12 @@ def spark():
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
+               .config("spark.checkpoint.dir", os.path.join(scratch, "shared"))
                .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
                .config("spark.python.sql.dataFrameDebugging.enabled", "false")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     configure(session)
-    checkpoint_dir(session)
     yield session
 
 

@@ -3,8 +3,9 @@ from fractions import Fraction
 
 import pytest
 
-from revops_spark.functions import (days_between, erfc, is_blank, lookup, month_of, pct,
-                                    round_ratio, two_sided_p)
+from revops_spark.functions.exprs import (days_between, is_blank, lookup, month_of, pct,
+                                          round_ratio)
+from revops_spark.functions.stats import erfc, two_sided_p
 
 
 def half_up(num, den, scale, factor=1):

@@ -23,6 +23,48 @@ def test_health_score_and_tier_edges(spark):
     assert [r.tier for r in out][4:] == ["high_risk", "watch", "watch", "healthy"]
 
 
+def test_health_score_of_unknown_inputs_is_unknown(spark):
+    rows = [(50, None, 2), (50, 10, None), (None, 10, 2), (50, 10, 2)]
+    df = spark.createDataFrame(rows, "u int, l int, t int")
+    out = df.select(lc.health_score("u", "l", "t").alias("s")).withColumn("tier", lc.risk_tier("s")).collect()
+    assert [r.s for r in out] == [None, None, None, Decimal("56.0")]
+    assert [r.tier for r in out] == [None, None, None, "watch"]
+
+
+def test_health_score_counts_fractional_usage_in_full(spark):
+    df = spark.createDataFrame([(45.9, 0, 10), (45.0, 0, 10)], "u double, l int, t int")
+    assert [float(r.s) for r in df.select(lc.health_score("u", "l", "t").alias("s")).collect()] == [23.0, 22.5]
+
+
+def test_expansions_on_one_day_have_their_own_ids(spark):
+    exps = spark.createDataFrame([("s2", dt.date(2025, 5, 1), Decimal("5.00")),
+                                  ("s2", dt.date(2025, 5, 1), Decimal("7.00"))],
+                                 "sub_id string, expansion_date date, amount decimal(18,2)")
+    ids = [r.event_id for r in lc.derive_revenue_events(_subs(spark), AS_OF, expansions=exps).collect()]
+    assert len(ids) == len(set(ids)) == 6
+    assert {"s2-expansion-20250501", "s2-expansion-20250501-2"} <= set(ids)
+
+
+def test_subscription_without_activity_keeps_its_snapshot(spark):
+    activity = spark.createDataFrame([("a2", 95, 25, 0)], "account_id string, usage_score int, "
+                                     "login_frequency_30d int, support_tickets_30d int")
+    rows = {r.sub_id: r for r in lc.customer_health_scores(_subs(spark), activity, AS_OF).collect()}
+    assert set(rows) == {"s1", "s2", "s3"}
+    assert (rows["s1"].usage_score, rows["s1"].health_score, rows["s1"].risk_tier) == (None, None, None)
+    assert rows["s3"].risk_tier == "healthy"
+
+
+def test_missing_subscription_fails_unless_allowed(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    health = spark.createDataFrame([("a1", "s1", "watch", dt.date(2025, 1, 1)),
+                                    ("a9", "gone", "watch", dt.date(2025, 1, 1))],
+                                   "account_id string, sub_id string, risk_tier string, snapshot_date date")
+    with pytest.raises(PySparkException, match="no subscription gone"):
+        ex.eligible_for_experiment(health, _subs(spark)).collect()
+    assert [r.sub_id for r in ex.eligible_for_experiment(health, _subs(spark), strict=False).collect()] == ["s1"]
+
+
 def test_subscriptions_end_before_on_after_as_of(spark):
     d = dt.date(2025, 1, 1)
     rows = [

@@ -157,7 +157,8 @@ def test_weighted_lead_marts_equal_row_level(spark):
     """Marts over pre-aggregated tallies (weight="n") equal the row-level marts."""
     from conftest import SF_SMALL
     from revops_spark.sources import testdata as td
-    rows, tallies = td.leads(spark, SF_SMALL), td.lead_tallies(spark, SF_SMALL)
+    rows = td.leads(spark, SF_SMALL)
+    tallies = m.lead_tallies(rows)
     for mart in (m.fct_leads_funnel, m.agg_conversion_rates, m.audit_data_quality_summary,
                  m.kpi_scorecard, m.funnel_long):
         a = sorted(map(tuple, mart(rows).collect()), key=repr)

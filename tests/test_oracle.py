@@ -6,10 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_mod
 from conftest import SF_ORACLE
+from duckdb_oracle import ORACLE_SQL as ORACLE
 from oracle_check import compare, duck
+from revops_spark.plans.queries import QUERIES
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
 SF = os.environ.get("REVOPS_ORACLE_SF", SF_ORACLE)   # the scale of the correctness gate
 
 
@@ -51,10 +51,11 @@ def test_adapter_mix_at_sf001(spark):
     from revops_spark.operators import marts as m
     tiers = {r.risk_tier: r["count"] for r in
              lc.score_accounts(td.account_activity(spark, SF_ORACLE)).groupBy("risk_tier").count().collect()}
-    assert tiers == {"high_risk": 33, "watch": 99, "healthy": 18}
+    assert tiers == {"high_risk": 14, "watch": 108, "healthy": 28}
     cycles = m.agg_sales_cycle(td.opportunities(spark, SF_ORACLE)).agg(
         F.sum("total_closed_deals").alias("n"), F.min("min_sales_cycle_days").alias("lo"),
         F.max("max_sales_cycle_days").alias("hi")).first()
+    assert td.health(spark, SF_ORACLE).count() == td.subscriptions(spark, SF_ORACLE).count() == 4933
     assert (cycles.n, cycles.lo, cycles.hi) == (9912, 0, 2478)
     events = td.revenue_events(spark, SF_ORACLE)
     assert events.count() == 60000

@@ -2,10 +2,8 @@
 
 import pytest
 
-import __spark_entry__ as entry_mod
 from conftest import SF_SMALL
-
-QUERIES = entry_mod.queries()
+from revops_spark.plans.queries import QUERIES
 
 
 def plan_of(spark, name):
@@ -41,14 +39,51 @@ def test_waterfall_prunes_columns_and_shuffles_partials_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-def test_lead_marts_count_before_the_customer_join(spark):
-    plan = plan_of(spark, "leads_funnel")
-    # the partial count over events sits below the join
-    join_at = plan.index("Join")
-    assert plan.find("partial_count", join_at) > join_at
+LEAD_MARTS = ["leads_funnel", "conversion_rates", "data_quality", "kpi_scorecard"]
+
+
+@pytest.mark.parametrize("name", LEAD_MARTS)
+def test_lead_marts_shuffle_events_once_on_the_user(spark, name):
+    """One exchange per join side (no customer table is small enough to be
+    broadcast here), then the partials; no exchange before the one on user_id."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    events_side = plan[:plan.index("events.parquet")] if "events.parquet" in plan else plan
+    assert plan.count("Exchange hashpartitioning(user_id") == 2, plan
+    assert events_side.count("Exchange") <= 3
+
+
+@pytest.mark.parametrize("name, columns", [
+    ("leads_funnel", "user_id:bigint,event_type:string"),
+    ("conversion_rates", "user_id:bigint,event_type:string,props:string"),
+    ("data_quality", "ts:timestamp_ntz,user_id:bigint,props:string"),
+    ("kpi_scorecard", "ts:timestamp_ntz,user_id:bigint,event_type:string,props:string"),
+    ("funnel_long", "event_type:string"),
+])
+def test_lead_marts_read_only_what_they_use(spark, name, columns):
+    assert f"ReadSchema: struct<{columns}>" in formatted(spark, name)
+
+
+def test_funnel_long_has_no_customer_join(spark):
+    assert "customer.parquet" not in formatted(spark, "funnel_long")
+
+
+@pytest.mark.parametrize("name, pushed", [
+    ("qualified_leads", "In(event_type, [purchase,signup])"),
+    ("sales_cycle", "In(o_orderstatus, [F,O])"),
+    ("win_rate", "In(o_orderstatus, [F,O])"),
+    ("subscriptions_from_wins", "EqualTo(o_orderstatus,F)"),
+    ("stg_subscriptions", "EqualTo(o_orderstatus,F)"),
+    ("experiment_assignment", "EqualTo(o_orderstatus,F)"),
+])
+def test_stage_and_status_filters_reach_the_scan(spark, name, pushed):
+    assert pushed in formatted(spark, name)
 
 
-def test_unused_customer_lookup_is_dropped(spark):
-    """Subscriptions never use the segment: the unique-key lookup join is removed."""
+def test_subscriptions_never_read_customers(spark):
     text = formatted(spark, "subscriptions_from_wins")
     assert "customer.parquet" not in text and "orders.parquet" in text

@@ -5,6 +5,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from revops_spark.operators import lifecycle as lc
 
 SKEW_CONF = {
@@ -61,3 +63,61 @@ def test_hot_account_join_is_split_not_dropped(spark):
     assert sum(rows.values()) == n                     # every row kept
     assert rows[("healthy", True)] == n // 3
     assert "SortMergeJoin" in plan and "skew=true" in plan, plan
+
+
+@pytest.fixture(scope="module")
+def hot_dir(spark, tmp_path_factory):
+    """Orders, line items, customers and events in which customer 7 has a third
+    of all rows."""
+    n, out = 60_000, str(tmp_path_factory.mktemp("hot"))
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).cast("long")
+    day = F.timestamp_add("DAY", F.col("id") % 900, F.lit("1995-01-01").cast("timestamp_ntz"))
+    tables = {
+        "orders": spark.range(n).select(
+            F.col("id").alias("o_orderkey"), hot.alias("o_custkey"),
+            F.element_at(F.array(*map(F.lit, "FOP")), (F.col("id") % 3 + 1).cast("int"))
+            .alias("o_orderstatus"),
+            (F.col("id") % 1000 + 0.5).cast("double").alias("o_totalprice"),
+            day.alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority")),
+        "lineitem": spark.range(n).select(
+            F.col("id").alias("l_orderkey"), F.lit(1).cast("long").alias("l_partkey"),
+            F.lit(1).cast("long").alias("l_suppkey"), F.lit(1).alias("l_linenumber"),
+            *[F.lit(1.0).alias(f"l_{c}") for c in ("quantity", "extendedprice", "discount", "tax")],
+            F.element_at(F.array(*map(F.lit, "RAN")), (F.col("id") % 7 % 3 + 1).cast("int"))
+            .alias("l_returnflag"), F.lit("F").alias("l_linestatus"), day.alias("l_shipdate")),
+        "customer": spark.range(500).select(
+            F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), F.lit(1).alias("c_nationkey"),
+            F.lit(10.0).alias("c_acctbal"), F.lit("SMB").alias("c_mktsegment")),
+        "events": spark.range(n).select(
+            F.col("id").alias("event_id"), day.alias("ts"), hot.alias("user_id"),
+            F.element_at(F.array(*map(F.lit, ["view", "click", "signup", "purchase", "error"])),
+                         (F.col("id") % 5 + 1).cast("int")).alias("event_type"),
+            F.lit(1.0).alias("value"), F.lit('{"k": 1}').alias("props")),
+    }
+    for name, df in tables.items():
+        df.write.parquet(f"{out}/{name}.parquet")
+    return out
+
+
+# orders of the hot customer all have status F; events are dealt evenly
+@pytest.mark.parametrize("name, total, want", [
+    ("win_rate", "closed_deals", 40_000), ("sales_cycle", "total_closed_deals", 40_000),
+    ("leads_funnel", "total_leads", 60_000), ("conversion_rates", "total_leads", 60_000),
+])
+def test_hot_customer_is_split_with_all_rows_kept(spark, hot_dir, name, total, want):
+    from revops_spark.plans.queries import QUERIES
+    with conf(spark, SKEW_CONF):
+        df = QUERIES[name](spark, hot_dir)
+        assert sum(r[total] for r in df.collect()) == want
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan, plan
+
+
+def test_hot_account_join_over_the_activity_adapter_is_split(spark, hot_dir):
+    """The health join as the queries run it, over account_activity's key."""
+    from revops_spark.sources import testdata as td
+    with conf(spark, SKEW_CONF):
+        per_tier = td.health(spark, hot_dir).groupBy("risk_tier").count()
+        assert sum(r["count"] for r in per_tier.collect()) == 20_000
+        plan = per_tier._jdf.queryExecution().executedPlan().toString()
+    assert "skew=true" in plan, plan

@@ -1,7 +1,12 @@
+import csv
 import datetime as dt
 import os
 from decimal import Decimal
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
 from revops_spark.plans import build
 from revops_spark.sources import files
 from revops_spark.sources.schemas import LOAD_ORDER, RAW_TABLES
@@ -32,6 +37,74 @@ def test_upper_case_header_is_normalised(spark, tmp_dir):
     assert df.first().quota_quarterly == 150000
 
 
+def test_columns_are_matched_by_header_name(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "leads.csv")
+    _write(p, "Status,lead_source,lead_id,created_at,segment\nNew,Paid Search,L1,2024-01-02,SMB\n")
+    df = files.read_csv_table(spark, p, "leads")
+    assert df.columns == ["lead_id", "segment", "lead_source", "status", "created_at"]
+    assert tuple(df.first()) == ("L1", "SMB", "Paid Search", "New", dt.date(2024, 1, 2))
+    _write(p, "status,source,lead_id,created_at,segment\nNew,Paid Search,L1,2024-01-02,SMB\n")
+    with pytest.raises(ValueError, match="source"):
+        files.read_csv_table(spark, p, "leads")
+
+
+def test_files_of_a_folder_must_agree(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "leads.csv")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.csv"), "lead_id,segment,lead_source,status,created_at\nL1,SMB,x,New,\n")
+    _write(os.path.join(d, "b.csv"), "segment,lead_id,lead_source,status,created_at\nSMB,L2,x,New,\n")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        files.read_csv_table(spark, d, "leads").collect()
+
+
+def test_quotes_commas_and_line_ends_both_ways(spark, tmp_dir):
+    """A file as Python's csv writer makes it, and one of our own, read back whole."""
+    names = ['Foo "Bar", Inc', "two\nlines", 'back\\slash "q"', "plain"]
+    rows = [(f"A{i}", n, "SMB", "FinTech", "West", Decimal("1.50"), dt.date(2024, 1, 1))
+            for i, n in enumerate(names)]
+    p = os.path.join(tmp_dir, "accounts.csv")
+    with open(p, "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow([c.name for c in RAW_TABLES["accounts"].fields])
+        w.writerows(rows)
+    read = files.read_csv_table(spark, p, "accounts")
+    assert sorted(map(tuple, read.collect())) == rows
+    out = os.path.join(tmp_dir, "out")
+    assert files.export_csv(read, out)
+    assert sorted(map(tuple, files.read_csv_table(spark, out, "accounts").collect())) == rows
+
+
+def test_export_runs_its_input_once(spark, tmp_dir):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(100).repartition(3).mapInArrow(note, "id long")
+    out = os.path.join(tmp_dir, "once")
+    assert files.export_csv(df, out) and seen.value == 100
+    # an empty input leaves what is there
+    assert files.export_csv(df.filter("id < 0"), out) is False
+    assert spark.read.option("header", True).csv(out).count() == 100
+    assert [x for x in os.listdir(tmp_dir) if x.startswith("once")] == ["once"]
+
+
+def test_one_bad_table_does_not_end_the_load(spark, tmp_dir):
+    _sample_csvs(tmp_dir)
+    _write(os.path.join(tmp_dir, "accounts.csv"), "account_id,nonsense\nA1,x\n")
+    os.remove(os.path.join(tmp_dir, "sales_reps.csv"))
+    report = {r.table_name: r for r in files.load_all(spark, tmp_dir, "raw_bad").collect()}
+    assert list(report) == LOAD_ORDER
+    assert {t for t, r in report.items() if r.status == "failed"} == {"accounts", "sales_reps"}
+    assert report["accounts"].rows_loaded is None and "nonsense" in report["accounts"].error
+    assert (report["leads"].rows_loaded, report["leads"].status, report["leads"].error) == (2, "loaded", None)
+    # a second load by appending reports its own rows
+    again = {r.table_name: r for r in files.load_all(spark, tmp_dir, "raw_bad", "append").collect()}
+    assert again["leads"].rows_loaded == 2 and spark.table("raw_bad.leads").count() == 4
+
+
 def test_layer_schema():
     assert files.layer_schema(None, "analytics") == "analytics"
     assert files.layer_schema("  mart ", "analytics") == "mart"
@@ -69,7 +142,8 @@ def test_load_build_and_ab_from_tables(spark, tmp_dir):
     marts = {r.mart: r.rows for r in build.run_build(spark, raw_schema="raw_t", mart_schema=" mart_t ").collect()}
     assert set(marts) == set(build.MARTS)
     assert spark.table("mart_t.fct_mrr_waterfall").count() == 2
-    # lead marts built from the checkpointed roll-up equal the row-level marts
+    # lead marts built from the roll-up's table equal the row-level marts
+    assert spark.table("mart_t.lead_tallies").agg({"n": "sum"}).first()[0] == 2
     from revops_spark.operators import marts as m
     stg_leads = spark.table("stg_leads")
     for name, mart in build.LEAD_MARTS.items():
@@ -89,7 +163,10 @@ def test_load_build_and_ab_from_tables(spark, tmp_dir):
 def test_append_mode_duplicates(spark, tmp_dir):
     df = spark.createDataFrame([(1,)], "x int")
     assert files.write_table(df, "app_t", "t", "overwrite") == 1
-    assert files.write_table(df, "app_t", "t", "append") == 2
+    # each call reports the rows it wrote, not the table's
+    assert files.write_table(df, "app_t", "t", "append") == 1
+    assert files.write_table(df.filter("x > 5"), "app_t", "t", "append") == 0
+    assert spark.table("app_t.t").count() == 2
 
 
 def test_export_csv(spark, tmp_dir):
@@ -115,7 +192,7 @@ def test_command_line(spark, tmp_dir, capsys):
         sorted(map(tuple, m.funnel_long(spark.table("stg_leads")).collect()))
     assert spark.table("cli_mart.win_rate").first().win_rate_pct == 100.0
     main(["ab-test", "--mart-schema", "cli_mart"])
-    main(["ab-test", "--mart-schema", "cli_mart", "--exact-power"])
+    main(["ab-test", "--mart-schema", "cli_mart", "--closed-form-power"])
     out = os.path.join(tmp_dir, "funnel_csv")
     main(["export", "--table", "cli_mart.fct_leads_funnel", "--out", out])
     printed = capsys.readouterr().out
