@@ -22,8 +22,9 @@ bound is sent out and no document is shuffled.
 
 Results for odd input: a null or empty text is clean; items without words (or
 null) match nothing; items of fewer than five words are one shingle; a document
-shorter than an item is one window; repeated rows are judged alike; an empty
-benchmark leaves all clean; an empty table gives an empty result.
+shorter than an item is one window; repeated rows are judged alike; items that
+share an id are items of their own; an empty benchmark leaves all clean; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -184,15 +185,23 @@ class Items:
 _MATCH = "array<struct<item_id:long,start:long,n_words:long,bits:int,similarity:double>>"
 
 
+def _added_name(docs: DataFrame) -> str:
+    """A name for the matches that no column of the documents has."""
+    name, taken = "bench_matches", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD,
             radius: int = RADIUS, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """The documents' columns plus `bench_matches`, the matched items by id."""
+    """The documents' columns plus, last, the matched items by id."""
     rows = benchmark.select(F.col(item_id).cast("long").alias("i"),
                             F.col(item_text).cast("string").alias("t"))
     n_blocks = math.ceil(rows.count() / block_items)
     at = docs.columns.index(text_col)
-    out = docs.withColumn("bench_matches", F.array().cast(_MATCH))
+    out = docs.withColumn(_added_name(docs), F.array().cast(_MATCH))
     for block in range(n_blocks):
         part = rows.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == block)
         items = Items([(r.i, r.t) for r in part.collect()], radius)
@@ -231,5 +240,6 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    return matches(docs, benchmark, text_col, **options).filter(
-        F.size("bench_matches") == 0).drop("bench_matches")
+    found = matches(docs, benchmark, text_col, **options)
+    added = found.columns[-1]
+    return found.filter(F.size(added) == 0).drop(added)

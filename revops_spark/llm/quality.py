@@ -11,8 +11,8 @@ rows are those with the smallest hash of their id). Scoring is a narrow scan
 over whole texts.
 
 Results for odd input: a null text scores like an empty one; rows whose label
-is null or not 0 or 1 are not learned from; a null metadata value has its own
-input; repeated rows are scored alike; without labelled rows every score is
+is null or not 0 or 1 are not learned from, of several labels of an id the
+larger counts; a null metadata value has its own input; repeated rows are scored alike; without labelled rows every score is
 0.5; an empty table gives an empty result.
 """
 
@@ -167,11 +167,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                           F.col(label_col).cast("int").alias("_label")).filter(
         "_label in (0, 1) and _id is not null").filter(~held_out("_id"))
     # at most max_rows rows of two numbers, so the broadcast is bounded
-    chosen = known.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
-    rows = docs.join(F.broadcast(chosen), docs[id_col].cast("long") == chosen["_id"]).select(
-        F.col("_id"), F.col("_label"), F.col(text_col).cast("string").alias("_text"),
-        *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(meta_cols)])
+    chosen = known.groupBy("_id").agg(F.max("_label").alias("_label")).orderBy(
+        F.xxhash64("_id"), "_id").limit(max_rows)
     n_meta = len(meta_cols)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"),
+        *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(meta_cols)]).join(
+        F.broadcast(chosen), "_id").select(
+        "_id", "_label", "_text", *[f"_m{i}" for i in range(n_meta)])
 
     def run(batches):
         make = Features(n_meta)

@@ -1,0 +1,10 @@
+"""Names tests import: pytest's own conftest of the parent folder hides ours."""
+
+import importlib.util
+import os
+
+_spec = importlib.util.spec_from_file_location(
+    "llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
+_module = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(_module)
+prose, odd_rows, DOCS, VOCABULARY = (_module.prose, _module.odd_rows, _module.DOCS, _module.VOCABULARY)
