@@ -1,0 +1,111 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from revops_spark.llm import lm_scoring as lm
+
+
+def brute_score(net, text):
+    """Word by word, from the network's definition."""
+    codes = lm.codes_of(text, lm._Codes()).tolist()
+    at = lambda i: codes[i] if 0 <= i < len(codes) else lm._PAD
+    total = 0.0
+    for i, code in enumerate(codes):
+        x = np.concatenate([net.embed[at(i + o)] for o in lm._OFFSETS])
+        h = np.tanh(x @ net.inner + net.inner_bias)
+        high, low = divmod(code, lm.DIGIT)
+        for logits, digit in ((h @ net.high + net.high_bias, high), (h @ net.low + net.low_by_high[high], low)):
+            total += float(logits[digit] - np.log(np.exp(logits.astype(np.float64)).sum()))
+    return len(codes), total
+
+
+def test_scores_match_the_definition(odd, odd_docs):
+    net = lm.Network(seed=4)
+    rows = lm.score(odd_docs, net).collect()
+    got = sorted(((r.doc_id, r.n_words, r.log_likelihood) for r in rows), key=repr)
+    want = sorted(((i, *brute_score(net, t)) for i, t, *_ in odd), key=repr)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-4, abs=1e-3)
+    for r in rows:
+        assert (r.perplexity is None) == (r.n_words == 0)
+        if r.n_words:
+            assert math.log(r.perplexity) == pytest.approx(-r.log_likelihood / r.n_words)
+
+
+def test_gradients_match_differences():
+    rng = np.random.default_rng(5)
+    net = lm.Network(seed=6)
+    context = rng.integers(0, 30, (8, lm._SIDES))
+    code = rng.integers(0, lm.CODES, 8)
+
+    def loss(flat):
+        n = lm.Network(flat)
+        x = n.embed[context].reshape(8, -1).astype(np.float64)
+        h = np.tanh(x @ n.inner + n.inner_bias)
+        high, low = code // lm.DIGIT, code % lm.DIGIT
+        a, b = h @ n.high + n.high_bias, h @ n.low + n.low_by_high[high]
+        return float(np.mean(np.log(np.exp(a).sum(1)) - a[range(8), high]
+                             + np.log(np.exp(b).sum(1)) - b[range(8), low]))
+
+    for name, grad, rows in net._gradients(context, code):
+        whole = np.zeros_like(getattr(net, name))
+        if rows is None:
+            whole[...] = grad
+        else:
+            whole[rows] = grad
+        for _ in range(3):
+            at = tuple(rng.integers(0, s) for s in whole.shape)
+            if rows is not None:
+                at = (int(rows[rng.integers(0, len(rows))]), at[1])
+            ends = []
+            for step in (1e-2, -1e-2):
+                moved = lm.Network(net.flat.copy())
+                getattr(moved, name)[at] += step
+                ends.append(loss(moved.flat))
+            assert (ends[0] - ends[1]) / 2e-2 == pytest.approx(whole[at], abs=2e-3), name
+
+
+def test_learns_from_both_sides(spark):
+    """A word fixed by its two neighbours becomes likely; the untrained network's guess is even."""
+    rng = random.Random(1)
+    rows = []
+    for i in range(400):
+        words = []
+        for _ in range(60):
+            a, b = rng.randrange(4), rng.randrange(4)
+            words += [f"left{a}", f"mid{a}{b}", f"right{b}"]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before = lm.score(docs, lm.Network()).agg(F.avg("log_likelihood")).first()[0] / 180
+    net = lm.fit(docs, stride=2)
+    after = lm.score(docs, net).agg(F.avg("log_likelihood")).first()[0] / 180
+    assert before == pytest.approx(-math.log(lm.CODES), rel=0.05)
+    assert after > -2.5
+    # text in another order is less likely than the same words in theirs
+    words = rows[0][1].split()
+    shuffled = words[:]
+    rng.shuffle(shuffled)
+    pair = {r.doc_id: r.log_likelihood for r in lm.score(spark.createDataFrame(
+        [(1, " ".join(words)), (2, " ".join(shuffled))], "doc_id long, text string"), net).collect()}
+    assert pair[1] > pair[2]
+
+
+def test_training_windows_grow_with_the_corpus(spark, odd_docs):
+    one = lm.training_windows(odd_docs, "text", 8).agg(F.sum("n")).first()[0]
+    two = lm.training_windows(odd_docs.unionByName(odd_docs), "text", 8).agg(F.sum("n")).first()[0]
+    assert one > 1000 and two == 2 * one
+
+
+def test_shards_average_the_same_every_time(odd_docs, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_WINDOWS", 300)
+    a, b = (lm.fit(odd_docs, stride=16, rounds=1).flat for _ in range(2))
+    assert np.array_equal(a, b)
+
+
+def test_empty_table(no_docs, spark):
+    net = lm.fit(no_docs)
+    assert np.array_equal(net.flat, lm.Network().flat)
+    assert lm.score(no_docs, net).collect() == []

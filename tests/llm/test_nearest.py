@@ -1,0 +1,97 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from revops_spark.llm import nearest, queries
+from revops_spark.llm._shared import table
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, queries_of, k=10):
+    """Exact lists, from every pair of usable vectors."""
+    usable = [(i, np.array(v, np.float64)) for i, v in rows
+              if i is not None and v is not None and None not in v and len(v) == len(rows[0][1])]
+    usable = [(i, v) for i, v in usable if np.isfinite(v).all() and v.any()]
+    out = {}
+    for q, qv in usable:
+        if queries_of(q):
+            best = out.setdefault(q, {})
+            for i, v in usable:
+                if i != q:
+                    d = math.sqrt(float(((v - qv) ** 2).sum()))
+                    best[i] = min(best.get(i, d), d)
+    return {q: sorted((d, i) for i, d in best.items())[:k] for q, best in out.items()}
+
+
+def result(df):
+    out = {}
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_odd_vectors(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.standard_normal(8).astype(np.float32).tolist()) for i in range(300)]
+    same = rows[7][1]
+    rows += [(1000 + i, same) for i in range(40)]                         # a large group of copies
+    rows += [(1100, same)] * 3                                            # repeated rows
+    rows += [(1101, None), (1102, []), (1103, [0.0] * 8), (1104, [float("nan")] * 8),
+             (1105, [float("inf")] + [0.0] * 7), (1106, [None] + [1.0] * 7), (1107, [1.0] * 5),
+             (None, same), (100, rows[8][1])]                             # an id with two vectors
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).withColumn("rep", F.lit("clash"))
+    got = result(nearest.search(df, F.col("vec_id") % 50 == 0))
+    want = brute(rows, lambda q: q % 50 == 0)
+    assert {q: [i for _, i in v] for q, v in got.items()} == {q: [i for _, i in v] for q, v in want.items()}
+    for q in want:
+        assert [d for d, _ in got[q]] == pytest.approx([d for d, _ in want[q]], abs=1e-15)
+
+
+def test_few_candidates_are_all_returned(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 1.0], 0)]
+    got = result(nearest.search(spark.createDataFrame(rows, VECTORS), F.col("vec_id") == 0))
+    assert got == {0: [(1.0, 2), (math.sqrt(2), 1)]}
+
+
+def test_empty_table(spark):
+    none = spark.createDataFrame([], VECTORS)
+    assert nearest.search(none, F.col("vec_id") % 100 == 0).collect() == []
+
+
+def test_windows_reach_the_recall(spark, monkeypatch):
+    """Recall against brute force, with windows far smaller than the table."""
+    monkeypatch.setattr(nearest, "LEAST_WINDOW", 1)
+    monkeypatch.setattr(nearest, "CELL_ROWS", 64)
+    rng = np.random.default_rng(1)
+    centres = rng.standard_normal((20, 16))
+    rows = [(i, (centres[i % 20] + 0.1 * rng.standard_normal(16)).astype(np.float32).tolist())
+            for i in range(3000)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
+    got = result(nearest.search(df, F.col("vec_id") % 30 == 0))
+    want = brute(rows, lambda q: q % 30 == 0)
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert set(got) == set(want) and hits / (10 * len(want)) >= 0.9
+
+
+def test_recall_on_the_test_table(spark):
+    d = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in table(spark, d, "embeddings").collect()]
+    got = result(queries.op9_nearest(spark, d))
+    want = brute(rows, lambda q: q % 100 == 0)
+    hits = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.9
+
+
+@pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_curve_visits_neighbours(dims, bits):
+    """The keys number the cells without gaps, and each step goes to an adjoining cell."""
+    side = 1 << bits
+    cells = np.stack(np.meshgrid(*[np.arange(side)] * dims, indexing="ij"), -1).reshape(-1, dims)
+    keys = nearest.hilbert_keys(cells, bits)
+    assert sorted(keys.tolist()) == list(range(side ** dims))
+    walk = cells[np.argsort(keys)]
+    assert (np.abs(np.diff(walk, axis=0)).sum(1) == 1).all()

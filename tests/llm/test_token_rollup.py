@@ -1,0 +1,137 @@
+from collections import defaultdict
+
+import pytest
+import regex
+from hypothesis import given, settings, strategies as st
+
+from revops_spark.llm import packing, queries, token_rollup as tr
+from revops_spark.llm._shared import table
+
+CHANGE = "doc_id long, source string, lang string, tokenizer_version string, n_tokens long, seq long"
+
+
+def totals(rollup):
+    return {(r.source, r.lang, r.tokenizer_version): (r.n_docs, r.n_tokens)
+            for r in rollup.totals().collect()}
+
+
+class Plain:
+    """The same rollup as one dictionary, recounted from scratch."""
+
+    def __init__(self):
+        self.docs, self.loose, self.done = {}, defaultdict(lambda: [0, 0]), set()
+
+    def commit(self, batch, rows):
+        if batch in self.done:
+            return
+        self.done.add(batch)
+        last = {}
+        for doc, source, lang, version, n, seq in rows:
+            if doc is None:
+                if n is not None:
+                    t = self.loose[(source, lang, version)]
+                    t[0] += 1
+                    t[1] += n
+                continue
+            key, rank = (doc, version), (seq, n is None, -1 if n is None else n,
+                                         source or "", lang or "")
+            if key not in last or rank > last[key][0]:
+                last[key] = (rank, (source, lang, n))
+        for key, (_, value) in last.items():
+            self.docs[key] = value
+
+    def totals(self):
+        out = defaultdict(lambda: [0, 0], {k: list(v) for k, v in self.loose.items()})
+        for (_, version), (source, lang, n) in self.docs.items():
+            if n is not None:
+                out[(source, lang, version)][0] += 1
+                out[(source, lang, version)][1] += n
+        return {k: tuple(v) for k, v in out.items() if v != [0, 0]}
+
+
+BATCHES = [
+    ("b1", [(1, "a", "en", "v1", 10, 0), (2, "a", "de", "v1", 7, 0), (1, "a", "en", "v2", 4, 0),
+            (3, None, None, None, 5, 0), (None, "a", "en", "v1", 100, 0)]),
+    ("b2", [(1, "a", "en", "v1", 12, 0), (2, "b", "de", "v1", 7, 0), (9, "x", "x", "v1", None, 0)]),
+    ("b2", [(1, "a", "en", "v1", 999, 0)]),                              # sent again: ignored
+    ("b3", [(1, "a", "en", "v1", None, 0), (1, "a", "en", "v1", 20, 1), (2, "b", "de", "v1", None, 0),
+            (2, "b", "de", "v1", None, 0), (3, None, None, None, 6, 0), (None, "a", "en", "v1", None, 0)]),
+    ("b4", []),
+    ("b5", [(2, "c", "de", "v1", 0, 0)]),
+]
+
+
+def test_batches_match_a_plain_recount(spark, tmp_dir):
+    rollup, plain = tr.Rollup(spark, f"{tmp_dir}/r"), Plain()
+    assert totals(rollup) == {}
+    for batch, rows in BATCHES:
+        assert rollup.commit(batch, spark.createDataFrame(rows, CHANGE)) == (batch not in plain.done)
+        plain.commit(batch, rows)
+        assert totals(rollup) == plain.totals()
+    assert rollup.committed() == ["b1", "b2", "b3", "b4", "b5"]
+
+
+change = st.tuples(st.integers(1, 4), st.sampled_from(["a", "b"]), st.just("en"), st.sampled_from(["v1", "v2"]),
+                   st.one_of(st.none(), st.integers(0, 9)), st.integers(0, 2))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(change, max_size=6), max_size=3))
+def test_random_batches(spark, batches):
+    import tempfile
+    rollup, plain = tr.Rollup(spark, tempfile.mkdtemp(prefix="rollup-") + "/r"), Plain()
+    for i, rows in enumerate(batches):
+        rollup.commit(f"b{i}", spark.createDataFrame(rows, CHANGE))
+        plain.commit(f"b{i}", rows)
+    assert totals(rollup) == plain.totals()
+
+
+def test_a_batch_that_broke_off_is_written_over(spark, tmp_dir, monkeypatch):
+    rollup = tr.Rollup(spark, f"{tmp_dir}/r")
+    rollup.commit("b1", spark.createDataFrame([(1, "a", "en", "v1", 10, 0)], CHANGE))
+    real = spark.createDataFrame
+    changes = real([(1, "a", "en", "v1", 3, 0), (2, "a", "en", "v1", 5, 0)], CHANGE)
+
+    class Broken:
+        def __getattr__(self, name):
+            if name == "createDataFrame":
+                raise RuntimeError("lost")
+            return getattr(spark, name)
+
+    rollup.spark = Broken()
+    with pytest.raises(RuntimeError):                  # after ledger and deltas, before the commit
+        rollup.commit("b2", changes)
+    rollup.spark = spark
+    assert totals(rollup) == {("a", "en", "v1"): (1, 10)}
+    assert rollup.commit("b2", changes)
+    assert totals(rollup) == {("a", "en", "v1"): (2, 8)}
+
+
+def test_query_matches_a_recount(spark):
+    d = "/root/testdata/sf0.001"
+    rows = table(spark, d, "documents").collect()
+    first = {}
+    for r in sorted(rows, key=lambda r: r.doc_id):
+        first.setdefault(r.text, r.doc_id)
+    encoder, want = packing.Encoder(*queries.tokenizer_paths()), defaultdict(lambda: [0, 0])
+    for r in rows:
+        if first[r.text] == r.doc_id:
+            for version, n in (("words-1", len(regex.findall(r"[\p{L}\p{N}]+", r.text))),
+                               ("byte_bpe_50k", len(encoder.encode(r.text)) // 4)):
+                want[(r.source, r.lang, version)][0] += 1
+                want[(r.source, r.lang, version)][1] += n
+    got = {(r.source, r.lang, r.tokenizer_version): [r.n_docs, r.n_tokens]
+           for r in queries.op6_token_rollup(spark, d).collect()}
+    assert got == dict(want)
+
+
+def test_odd_documents(odd, odd_docs):
+    counts = tr.bpe_counts(odd_docs.select("doc_id", "lang", "text"), queries.tokenizer_paths())
+    assert counts.columns == ["doc_id", "lang", "n_tokens"] and counts.count() == len(odd)
+    assert {r.n_tokens for r in counts.filter("doc_id in (100, 101)").collect()} == {0}
+    first, gone = {}, set()
+    for i, text, *_ in odd:
+        if i is not None and text is not None:
+            first[text] = min(first.get(text, i), i)
+    gone = {i for i, text, *_ in odd if i is not None and text is not None and first[text] < i}
+    assert {r.doc_id for r in tr.copies(odd_docs).collect()} == gone
