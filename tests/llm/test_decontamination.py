@@ -3,7 +3,7 @@ import collections
 import numpy as np
 import pytest
 
-from conftest_llm import prose
+from .conftest import prose
 from revops_spark.llm import decontamination as dc
 from revops_spark.llm._shared import table
 

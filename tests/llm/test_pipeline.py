@@ -1,0 +1,152 @@
+import re
+from collections import defaultdict
+
+import corpus_pipeline as cp
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from .conftest import prose
+from revops_spark.llm import quality, queries
+from revops_spark.llm._shared import table
+from .test_decontamination import brute as brute_items
+from .test_packing import check
+from .test_simhash_dedup import brute as brute_components
+from .test_substring_dedup import brute as brute_substrings
+
+
+def cut_text(text, gone):
+    """The text's words that aren't gone; between neighbours that stay, what stood there."""
+    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text.encode())]
+    raw, out, k = text.encode(), [], 0
+    while k < len(spans):
+        if gone[k]:
+            k += 1
+            continue
+        start = k
+        while k < len(spans) and not gone[k]:
+            k += 1
+        out.append(raw[spans[start][0]:spans[k - 1][1]])
+    return b" ".join(out).decode()
+
+
+def brute_cut(rows, window=50):
+    first, out = {}, []
+    for i, text in rows:
+        words = (text or "").encode().split()
+        for s in range(len(words) - window + 1):
+            key = tuple(words[s:s + window])
+            first[key] = min(first.get(key, i), i)
+    for i, text in rows:
+        words = (text or "").encode().split()
+        gone = [False] * len(words)
+        for s in range(len(words) - window + 1):
+            if first[tuple(words[s:s + window])] < i:
+                gone[s:s + window] = [True] * window
+        out.append((i, cut_text(text, gone) if any(gone) else text))
+    return out
+
+
+@pytest.fixture(scope="module")
+def corpus_dir(spark, tmp_path_factory):
+    """A small copy of the test tables with planted cases in `documents`."""
+    src, out = "/root/testdata/sf0.01", str(tmp_path_factory.mktemp("corpus"))
+    docs = table(spark, src, "documents").filter("doc_id < 400")
+    bench = table(spark, src, "benchmark")
+    item = bench.orderBy(F.length("text").desc()).first().text
+    passage = prose("shared", 70)
+    planted = [(9000, f"{prose(1, 40)} {item} {prose(2, 40)}", "en", "p", 1),
+               (9001, f"{prose(3, 40)} {passage}", "en", "p", 1),
+               (9002, f"{prose(4, 50)} {passage} {prose(5, 50)}", "en", "p", 1),
+               (9003, prose(6, 90), "en", "p", 1), (9004, prose(6, 90), "en", "p", 1),
+               (9005, prose(6, 90) + " more", None, None, None)]
+    spark.createDataFrame(planted, docs.schema).unionByName(docs).withColumn(
+        "chunk", F.lit("clash")).write.parquet(f"{out}/documents.parquet")
+    bench.write.parquet(f"{out}/benchmark.parquet")
+    table(spark, src, "labels").write.parquet(f"{out}/labels.parquet")
+    return out
+
+
+def test_stages_match_brute_force(spark, corpus_dir, tmp_path):
+    docs = table(spark, corpus_dir, "documents")
+    columns = docs.columns
+    steps, rows = [], sorted((r.doc_id, r.text) for r in docs.collect())
+    for k, (name, stage) in enumerate(cp.STAGES):
+        stage(spark, docs, corpus_dir).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        steps.append(docs)
+        if k < len(cp.STAGES) - 1:
+            assert docs.columns == columns and docs.dtypes == table(spark, corpus_dir, "documents").dtypes
+    # quality: the model's own decision, row by row
+    source = table(spark, corpus_dir, "documents")
+    model = quality.train(source, table(spark, corpus_dir, "labels"), meta_cols=queries.QUALITY_META)
+    good = {r.doc_id for r in quality.score(source, model, meta_cols=queries.QUALITY_META).collect()
+            if r.predicted}
+    rows = [r for r in rows if r[0] in good]
+    assert sorted((r.doc_id, r.text) for r in steps[0].collect()) == rows
+    # one document of each near-duplicate group
+    least = {i: c for i, _, c in brute_components(rows)}
+    rows = [r for r in rows if least[r[0]] == r[0]]
+    assert sorted((r.doc_id, r.text) for r in steps[1].collect()) == rows
+    # passages of 50 words that an earlier document has
+    rows = brute_cut(rows)
+    found = steps[2].collect()
+    assert sorted((r.doc_id, r.text) for r in found) == rows
+    before = {r.doc_id: r.n_chars for r in steps[1].collect()}
+    uncut = {r.doc_id: r.text for r in steps[1].collect()}
+    for r in found:
+        assert r.n_chars == (before[r.doc_id] if uncut[r.doc_id] == r.text else len(r.text))
+    # documents with a benchmark item
+    items = [(r.item_id, r.text) for r in table(spark, corpus_dir, "benchmark").collect()]
+    rows = [r for r in rows if not brute_items(r[1], items)]
+    assert sorted((r.doc_id, r.text) for r in steps[3].collect()) == rows
+    library = Tokenizer.from_file(queries.tokenizer_paths()[0])
+    library.encode_special_tokens = True
+    check(steps[4].collect(), rows, library)
+    kept = {i for i, _ in rows}
+    assert 9000 not in kept and 9004 not in kept
+    if {9001, 9002} <= good:
+        assert prose("shared", 70) in dict(rows)[9001] and prose("shared", 70) not in dict(rows)[9002]
+
+
+def test_run_equals_its_stages(spark, corpus_dir):
+    a = cp.run(spark, corpus_dir)
+    assert a.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    tokens = a.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert tokens and all(r.n == r.t for r in tokens)
+
+
+def test_odd_documents_pass_every_stage(spark, odd, odd_docs, corpus_dir, tmp_path):
+    docs = odd_docs
+    counts = []
+    for k, (name, stage) in enumerate(cp.STAGES):
+        stage(spark, docs, corpus_dir).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        counts.append(docs.count())
+        if k < len(cp.STAGES) - 1:
+            assert docs.columns == odd_docs.columns
+    assert 0 < counts[3] <= counts[2] == counts[1] <= counts[0] <= len(odd)
+
+
+def test_empty_documents_pass_every_stage(spark, no_docs, corpus_dir):
+    docs = no_docs
+    for _, stage in cp.STAGES:
+        docs = stage(spark, docs, corpus_dir)
+        assert docs.collect() == []
+
+
+def test_later_stages_on_odd_documents(spark, odd, odd_docs, corpus_dir):
+    """Each stage on its own over all odd documents, against brute force."""
+    cut = cp.cut_repeats(spark, odd_docs, corpus_dir)
+    removed = {k[:2]: k[2] for k in brute_substrings(odd)}
+    original = defaultdict(set)
+    for i, text, *_ in odd:
+        original[i].add(text)
+    for r in cut.collect():
+        if not any(v for k, v in removed.items() if k[0] == r.doc_id):
+            assert r.text in original[r.doc_id]
+    assert cut.count() == len(odd)
+    kept = cp.drop_near_duplicates(spark, odd_docs, corpus_dir)
+    want = {c for i, _, c in brute_components(odd) if c is not None}
+    ids = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in ids if i is not None) == sorted(want)

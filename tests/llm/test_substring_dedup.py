@@ -45,7 +45,7 @@ def test_other_window_lengths(odd, odd_docs):
 
 
 def test_kept_text_keeps_the_spacing_between_kept_words(spark):
-    from conftest_llm import prose
+    from .conftest import prose
     a = prose("p", 60)
     docs = spark.createDataFrame([(1, a), (2, f"x\n y  {a}\tz  w")], "doc_id long, text string")
     kept = {r.doc_id: r.kept_text for r in sd.remove_repeats(docs).collect()}
@@ -69,7 +69,7 @@ def test_matches_brute_force_on_the_test_table(spark):
 
 def test_hot_passage_is_sent_once_per_chunk(spark):
     """A passage in every document: the steps' rows follow chunks, not pairs."""
-    from conftest_llm import prose
+    from .conftest import prose
     p = prose("hot", 60)
     docs = spark.range(600).select(F.col("id").alias("doc_id"), F.concat(
         F.lit(p), F.lit(" "), F.sha2(F.col("id").cast("string"), 256)).alias("text"))
