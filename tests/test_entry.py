@@ -19,3 +19,29 @@ def test_entry_module_loads_by_path_from_elsewhere(spark, monkeypatch, tmp_dir):
     df = mod.entry(spark)
     first = df.schema.simpleString()
     assert len(df.collect()) == 3 and mod.entry(spark).schema.simpleString() == first
+
+
+def test_entry_works_without_the_training_data_folders(tmp_dir):
+    """The llm subpackage and the pipeline module are optional."""
+    import shutil
+    import subprocess
+    import sys
+    for name in ("__spark_entry__.py", "duckdb_oracle.py"):
+        shutil.copy(os.path.join(ROOT, name), tmp_dir)
+    shutil.copytree(os.path.join(ROOT, "revops_spark"), os.path.join(tmp_dir, "revops_spark"),
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, capture_output=True, text=True,
+                         env={**os.environ, "PYTHONPATH": tmp_dir}, timeout=120)
+    assert out.stdout.split() == ["26", "26"], out.stderr[-1000:]
+
+
+def test_nothing_else_imports_the_training_data_folder():
+    package = os.path.join(ROOT, "revops_spark")
+    for folder, _, names in os.walk(package):
+        if os.path.basename(folder) == "llm":
+            continue
+        for name in names:
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name)) as f:
+                    assert "llm" not in f.read(), name
