@@ -38,6 +38,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks(spark: SparkSession, groups: int) -> int:
+    """Partitions for so many groups of bounded size: at most four rounds of the
+    cluster's shuffle partitions."""
+    return max(1, min(groups, 4 * partitions(spark)))
+
+
 def text_size(docs: DataFrame, text_col: str) -> tuple[int, int]:
     """Rows and UTF-8 bytes of all texts (one scan of one column)."""
     row = docs.agg(F.count(F.lit(1)).alias("n"),
@@ -50,7 +56,9 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, n_chunks: int,
     """(chunk, doc_id, text, rest): documents dealt by a hash of id and text.
 
     Several steps of one query read this exchange; Spark runs it once and
-    reuses it. `carry` names further columns to keep in the struct `rest`.
+    reuses it. A partition may hold several chunks: tasks follow the cluster's
+    shuffle partitions, memory the chunk. `carry` names further columns to keep
+    in the struct `rest`.
     """
     cols = [F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)),
                    F.lit(n_chunks)).cast("int").alias("chunk"),
@@ -58,7 +66,7 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, n_chunks: int,
             F.col(text_col).cast("string").alias("text")]
     if carry:
         cols.append(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest"))
-    return docs.select(*cols).repartition(n_chunks, "chunk")
+    return docs.select(*cols).repartition(tasks(docs.sparkSession, n_chunks), "chunk")
 
 
 def chunk_count(total_bytes: int, chunk_bytes: int) -> int:

@@ -261,7 +261,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     range_bits = max(0, math.ceil(math.log2(max(1, n_bytes / 6 / RANGE_WINDOWS))))
     range_shift = bits - range_bits
     n_ranges = max(1, 1 << max(0, range_bits - 1))
-    parts = max(1, min(1 << range_bits, 4 * sh.partitions(docs.sparkSession)))
+    spark = docs.sparkSession
+    parts = sh.tasks(spark, 1 << range_bits)
     dealt = sh.chunked(docs, id_col, text_col, n_chunks, carry)
 
     def rows(found, chunk, schema):
@@ -283,7 +284,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                          "live": pa.array([x[1] for x in found], pa.binary())})
 
     alive = probes.repartition(parts, "range").groupBy("range").applyInArrow(
-        live, "chunk int, live binary").repartition(n_chunks, "chunk")
+        live, "chunk int, live binary").repartition(sh.tasks(spark, n_chunks), "chunk")
 
     asked = pa.schema([("chunk", pa.int32()), ("range", pa.int64()), ("hashes", pa.binary()),
                        ("second", pa.binary()), ("owner", pa.binary())])

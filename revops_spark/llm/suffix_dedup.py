@@ -331,7 +331,6 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bits = min(40, max(36, math.ceil(math.log2(n_bytes + 2)) + 9))
     range_bits = max(0, math.ceil(math.log2(max(1, n_bytes / 35 / RANGE_ANCHORS))))
     n_shards = sh.chunk_count(n_bytes, SHARD_TEXT)
-    most = 4 * sh.partitions(spark)
     dealt = sh.chunked(docs, id_col, text_col, n_chunks)
 
     def rows(found, chunk, schema):
@@ -351,8 +350,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     alive = dealt.groupBy("chunk").applyInArrow(
         anchors, "chunk int, range long, hashes binary, several binary").repartition(
-        max(1, min(1 << range_bits, most)), "range").groupBy("range").applyInArrow(
-        live, "chunk int, live binary").repartition(n_chunks, "chunk")
+        sh.tasks(spark, 1 << range_bits), "range").groupBy("range").applyInArrow(
+        live, "chunk int, live binary").repartition(sh.tasks(spark, n_chunks), "chunk")
 
     parts = pa.schema([("chunk", pa.int32()), ("shard", pa.int64()), ("anchors", pa.binary()),
                        ("lengths", pa.binary()), ("bytes", pa.binary()), ("ids", pa.binary()),
@@ -374,7 +373,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     verdicts = dealt.groupBy("chunk").cogroup(alive.groupBy("chunk")).applyInArrow(
         segments, "chunk int, shard long, anchors binary, lengths binary, bytes binary, "
-                  "ids binary, pos binary").repartition(n_shards, "shard").groupBy(
+                  "ids binary, pos binary").repartition(sh.tasks(spark, n_shards), "shard").groupBy(
         "shard").applyInArrow(shard, "chunk int, shard long, bits binary, n long")
     replies = alive.select("chunk", "live", F.lit(None).cast("long").alias("shard"),
                            F.lit(None).cast("binary").alias("bits"),
