@@ -2,6 +2,7 @@
 
 A rollup lives in one folder of the shared storage:
 
+- `changes/<batch>`: the batch as it came, so that counts are made once;
 - `ledger/<batch>`: per changed document and tokenizer version its current
   source, language and count (null once deleted);
 - `deltas/<batch>`: what the batch adds to the totals by source, language and
@@ -80,8 +81,10 @@ class Rollup:
         folder = self._folder(batch_id)
         if "seq" not in changes.columns:
             changes = changes.withColumn("seq", F.lit(0).cast("long"))
-        rows = changes.select(*[F.col(c).cast(t).alias(c) for c, t in
-                                (x.split(" ") for x in CHANGES.split(", "))])
+        changes.select(*[F.col(c).cast(t).alias(c) for c, t in
+                         (x.split(" ") for x in CHANGES.split(", "))]).write.mode(
+            "overwrite").parquet(f"{self.path}/changes/{folder}")
+        rows = self._read("changes", CHANGES, [batch_id])
         tracked = rows.filter("doc_id is not null").groupBy("doc_id", "tokenizer_version").agg(
             F.max(F.struct("seq", F.col("n_tokens").isNull().alias("gone"), "n_tokens",
                            "source", "lang")).alias("c")).select(
