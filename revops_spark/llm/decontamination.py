@@ -238,6 +238,16 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_c
         F.coalesce(F.array_max(F.col("bench_matches.similarity")), F.lit(0.0)).alias("best_similarity"))
 
 
+def pairs(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          **options) -> DataFrame:
+    """One row per contaminated document and item: doc_id, item_id and the best
+    window's start, n_words, bits (apart) and similarity."""
+    found = matches(docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                                F.col(text_col).cast("string").alias("text")),
+                    benchmark, "text", **options)
+    return found.select("doc_id", F.inline(found.columns[-1]))
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
     found = matches(docs, benchmark, text_col, **options)

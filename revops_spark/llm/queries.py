@@ -44,8 +44,9 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.report(table(spark, sf_dir, "documents"),
-                                  table(spark, sf_dir, "benchmark"))
+    """The contaminated documents, one row per benchmark item they hold."""
+    return decontamination.pairs(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
 
 
 def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

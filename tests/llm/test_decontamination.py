@@ -83,6 +83,18 @@ def test_the_index_misses_nothing_on_the_test_table(spark):
         assert sorted(m[0] for m in found) == list(rows[r.doc_id].item_ids)
 
 
+def test_pairs_are_the_reported_items(spark):
+    docs = spark.createDataFrame(planted()[:-1], "doc_id long, text string")
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    pairs = dc.pairs(docs, bench).collect()
+    listed = {(r.doc_id, i) for r in dc.report(docs, bench).collect() for i in r.item_ids}
+    assert {(r.doc_id, r.item_id) for r in pairs} == listed and len(pairs) == len(listed)
+    texts = dict(planted())
+    for r in pairs:
+        window = plain_words(texts[r.doc_id])[r.start:r.start + r.n_words]
+        assert r.similarity == pytest.approx(similar(bags(window), bags(plain_words(dict(ITEMS)[r.item_id]))))
+
+
 def test_clean_keeps_columns_and_clean_rows(odd, odd_docs, spark):
     bench = spark.createDataFrame([(1, prose("passage", 80))], "item_id long, text string")
     kept = dc.clean(odd_docs, bench)
