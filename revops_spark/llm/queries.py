@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, licenses, lm_scoring, nearest, packing, quality, simhash_dedup,
-               substring_dedup, suffix_dedup, token_rollup)
+from . import (decontamination, licenses, lm_scoring, nearest, oracle, packing, quality,
+               simhash_dedup, substring_dedup, suffix_dedup, token_rollup)
 from ._shared import shared_dir, table
 
 #: numeric metadata the quality classifier sees besides the text
@@ -46,7 +46,7 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contaminated documents, one row per benchmark item they hold."""
     return decontamination.pairs(table(spark, sf_dir, "documents"),
-                                 table(spark, sf_dir, "benchmark"))
+                                 table(spark, sf_dir, "benchmark")).drop("bits")
 
 
 def op6_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,4 +106,4 @@ QUERIES = {
     "op10_licenses": op10_licenses,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_licenses": licenses.oracle_sql()}
+ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)
