@@ -128,7 +128,8 @@ def fitted_share(sample: np.ndarray, curves: Curves, k: int, target: float,
 
 
 def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    v = F.col(vec_col).cast("array<double>")
+    kind = dict(vectors.dtypes)[vec_col]
+    v = F.col(vec_col) if kind == "array<float>" else F.col(vec_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v")).filter(
         "vec_id is not null and v is not null and size(v) > 0").filter(
         F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))).filter(
@@ -138,12 +139,14 @@ def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def _array(column) -> np.ndarray:
-    """Rows of a list column of one length as a matrix."""
+    """Rows of a list column of one length as a matrix of doubles."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     if isinstance(flat, pa.ChunkedArray):
         flat = pa.concat_arrays(flat.chunks)
     n = len(flat)
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 1))
+    if not n:
+        return np.zeros((0, 1))
+    return flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
 
 
 def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
@@ -169,6 +172,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
     sample = _array(points.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).select("v")
                     .toArrow()["v"])
     grid = Curves(sample, curves)
+    kind = dict(points.dtypes)["v"]
     if window is None:
         window = max(LEAST_WINDOW, math.ceil(fitted_share(sample, grid, k, target) * n))
 
@@ -180,11 +184,10 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
                                        pa.array(grid.keys(v, c)), *b.columns],
                                       names=["curve", "key", "rep", "v", "asked"])
 
-    # an id can lead several vectors, so points are joined on both
     marked = points.join(asked.select("rep", F.lit(True).alias("asked")).distinct(), "rep", "left")
     parts = max(curves, sh.partitions(spark))
     dealt = marked.mapInArrow(
-        keyed, "curve int, key long, rep long, v array<double>, asked boolean"
+        keyed, f"curve int, key long, rep long, v {kind}, asked boolean"
     ).repartitionByRange(parts, "curve", "key", "rep").sortWithinPartitions("curve", "key", "rep")
 
     def numbered(batches):
@@ -201,7 +204,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
                                   names=["curve", "part", "nth", "rep", "v", "asked"])
 
     placed = sh.stored(dealt.mapInArrow(
-        numbered, "curve int, part int, nth long, rep long, v array<double>, asked boolean"), "placed")
+        numbered, f"curve int, part int, nth long, rep long, v {kind}, asked boolean"), "placed")
     before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("curve", "part").agg(F.count(F.lit(1)).alias("rows")).select(
         "curve", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
