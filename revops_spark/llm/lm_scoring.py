@@ -165,12 +165,12 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def training_windows(docs: DataFrame, text_col: str, stride: int) -> DataFrame:
-    """(shard_key, windows): per text, the sampled windows as two-byte codes."""
+    """(windows, n): per text, the sampled windows as two-byte codes and their number."""
 
     def run(batches):
         codes = _Codes()
         for b in batches:
-            key, packed, count = [], [], []
+            packed, count = [], []
             for text in b.column(0).to_pylist():
                 raw = text.encode("utf-8", "surrogatepass") if text else b""
                 words = raw.split()
@@ -182,14 +182,13 @@ def training_windows(docs: DataFrame, text_col: str, stride: int) -> DataFrame:
                 inside = (near >= 0) & (near < len(words))
                 rows = np.full(near.shape, _PAD, np.uint16)
                 rows[inside] = [codes[words[i]] for i in near[inside].tolist()]
-                key.append(zlib.crc32(raw, 1))
                 packed.append(rows.tobytes())
                 count.append(len(spots))
-            yield pa.record_batch([pa.array(key, pa.int64()), pa.array(packed, pa.binary()),
-                                   pa.array(count, pa.int64())], names=["key", "windows", "n"])
+            yield pa.record_batch([pa.array(packed, pa.binary()), pa.array(count, pa.int64())],
+                                  names=["windows", "n"])
 
     return docs.select(F.col(text_col).cast("string")).mapInArrow(
-        run, "key long, windows binary, n long")
+        run, "windows binary, n long")
 
 
 def fit(docs: DataFrame, text_col: str = "text", stride: int = STRIDE,
@@ -200,10 +199,11 @@ def fit(docs: DataFrame, text_col: str = "text", stride: int = STRIDE,
     network = Network()
     if not total:
         return network
-    # one row per text is at most its own size; shards are dealt by key and text order
+    # dealt in turn, so that copies of a text don't meet in one shard; stored, so
+    # that a row stays in its shard
     shards = max(1, math.ceil(total / SHARD_WINDOWS))
-    dealt = sh.stored(samples.withColumn("shard", F.pmod(F.xxhash64("key", "windows"), F.lit(shards))
-                                         .cast("int")).repartition(shards, "shard"), "shards")
+    dealt = sh.stored(samples.select("windows", "n").repartition(shards).withColumn(
+        "shard", F.spark_partition_id()), "shards")
     for turn in range(rounds):
         network = _averaged_round(dealt, network, turn)
     return network
