@@ -44,24 +44,51 @@ def tasks(spark: SparkSession, groups: int) -> int:
     return max(1, min(groups, 4 * partitions(spark)))
 
 
-def text_size(docs: DataFrame, text_col: str) -> tuple[int, int]:
-    """Rows and UTF-8 bytes of all texts (one scan of one column)."""
-    row = docs.agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.octet_length(F.col(text_col))).alias("b")).first()
-    return int(row.n), int(row.b or 0)
+def row_keys(id_col: str, text_col: str):
+    """Two independent hashes of id and text: `place` deals rows out to chunks,
+    `name` names them within one."""
+    doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    return [F.xxhash64(doc_id, text).alias("place"), F.xxhash64(text, doc_id).alias("name")]
+
+
+def text_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, place, name, digest, bytes) of every row, stored: what whole-text
+    decisions need, a small part of the text's size."""
+    text = F.col(text_col).cast("string")
+    return stored(docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), *row_keys(id_col, text_col),
+        F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"),
+        F.octet_length(text).cast("long").alias("bytes")), "keys")
+
+
+def copies(keys: DataFrame, least_bytes: int) -> DataFrame:
+    """The keys of the rows whose whole text, of least_bytes at least, a smaller id
+    has too. A digest that very many rows share is split by AQE: both sides of
+    the join are plain exchanges."""
+    long_enough = keys.filter(F.col("bytes") >= least_bytes)
+    first = stored(long_enough.groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "first")
+    return long_enough.join(first, "digest").filter(
+        "first is not null and (doc_id is null or doc_id > first)").select(*keys.columns)
+
+
+def sizes(keys: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of the keyed texts."""
+    r = keys.agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("b")).first()
+    return int(r.n), int(r.b or 0)
 
 
 def chunked(docs: DataFrame, id_col: str, text_col: str, n_chunks: int,
             carry: list[str] | None = None) -> DataFrame:
-    """(chunk, doc_id, text, rest): documents dealt by a hash of id and text.
+    """(chunk, name, doc_id, text, rest): documents dealt by a hash of id and text.
 
     Several steps of one query read this exchange; Spark runs it once and
     reuses it. A partition may hold several chunks: tasks follow the cluster's
     shuffle partitions, memory the chunk. `carry` names further columns to keep
     in the struct `rest`.
     """
-    cols = [F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.col(text_col)),
-                   F.lit(n_chunks)).cast("int").alias("chunk"),
+    place, name = row_keys(id_col, text_col)
+    cols = [F.pmod(place, F.lit(n_chunks)).cast("int").alias("chunk"), name,
             F.col(id_col).cast("long").alias("doc_id"),
             F.col(text_col).cast("string").alias("text")]
     if carry:
@@ -69,6 +96,18 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, n_chunks: int,
     return docs.select(*cols).repartition(tasks(docs.sparkSession, n_chunks), "chunk")
 
 
+def to_chunks(rows: DataFrame, n_chunks: int) -> DataFrame:
+    """(chunk, copy): names sent to the chunks their rows were dealt to."""
+    return rows.select(
+        F.pmod(F.col("place"), F.lit(n_chunks)).cast("int").alias("chunk"),
+        F.col("name").alias("copy")).distinct().repartition(tasks(rows.sparkSession, n_chunks), "chunk")
+
+
+def named_rows(names, wanted) -> np.ndarray:
+    """Which rows' names are among the wanted ones (nulls name none)."""
+    return np.isin(names.to_numpy(), wanted.drop_null().to_numpy())
+
+
 def chunk_count(total_bytes: int, chunk_bytes: int) -> int:
     return max(1, math.ceil(total_bytes / chunk_bytes))
 

@@ -16,10 +16,12 @@ probes the index:
 3. Each chunk marks the words under windows that an earlier document has;
    adjoining marked windows are the maximal exact repeats.
 
-Hash width in step 1 follows the number of words, so chance hits stay equally
+Whole copies go first: a document whose text a smaller id has too loses every
+word that a window covers, so only the first of a group of copies takes part in
+the steps, however large the group. Hash width in step 1 follows the number of words, so chance hits stay equally
 rare at every size; step 2 checks whole windows, so chance hits in step 1
 cost time but change nothing. Documents are dealt out once; the three steps
-reuse that exchange. A hot passage arrives once per chunk, not once per copy.
+reuse that exchange. A hot passage arrives once per chunk, not once per document.
 
 Results for odd input: a null text has no words; a null id counts as larger
 than every other id; rows with the same id never remove each other's words;
@@ -38,6 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import _shared as sh
 
@@ -58,9 +61,13 @@ class _WordHashes(dict):
 
 
 class _Chunk:
-    """The documents of a chunk with at least `window` words, as one symbol array."""
+    """The documents of a chunk with at least `window` words, as one symbol array.
 
-    def __init__(self, tab: pa.Table, window: int, hashes: _WordHashes):
+    Copies of other documents have no part in it.
+    """
+
+    def __init__(self, tab: pa.Table, replies: pa.Table, window: int, hashes: _WordHashes):
+        self.copy = sh.named_rows(tab["name"], replies["copy"])
         self.ids = np.array([sh.NULL_ID if i is None else i for i in tab["doc_id"].to_pylist()],
                             np.int64)
         self.texts = tab["text"].to_pylist()
@@ -68,7 +75,7 @@ class _Chunk:
         for k, text in enumerate(self.texts):
             words = text.encode("utf-8", "surrogatepass").split() if text else []
             self.n_words[k] = len(words)
-            if len(words) >= window:
+            if len(words) >= window and not self.copy[k]:
                 rows.append(k)
                 lens.append(len(words))
                 parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
@@ -87,8 +94,8 @@ class _Chunk:
         return starts, hashes
 
 
-def _probe(tab, window, block, shift, range_shift, hashes):
-    c = _Chunk(tab, window, hashes)
+def _probe(tab, replies, window, block, shift, range_shift, hashes):
+    c = _Chunk(tab, replies, window, hashes)
     if not len(c.symbols):
         return []
     starts, h = c.blocks(block, shift)
@@ -156,10 +163,11 @@ def _distinct(a: np.ndarray, b: np.ndarray):
 
 
 def _candidates(tab, replies, window, block, shift, n_ranges, hashes):
-    if not replies.num_rows:
+    live = sh.sorted_union(replies["live"])
+    if not len(live):
         return []
-    c = _Chunk(tab, window, hashes)
-    near, a, b = _anchored(c, sh.sorted_union(replies["live"]), window, block, shift)
+    c = _Chunk(tab, replies, window, hashes)
+    near, a, b = _anchored(c, live, window, block, shift)
     if not len(near):
         return []
     order, first, _ = _distinct(a, b)
@@ -200,9 +208,9 @@ def _kept_text(text: str, removed: np.ndarray) -> str:
 
 def _cut(tab, replies, window, block, shift, hashes, out_schema, with_text):
     """The result rows of a chunk."""
-    c = _Chunk(tab, window, hashes)
+    c = _Chunk(tab, replies, window, hashes)
     removed = np.zeros(len(c.symbols), bool)
-    live = sh.sorted_union(replies["live"]) if replies.num_rows else np.zeros(0, np.uint64)
+    live = sh.sorted_union(replies["live"])
     if len(live) and len(c.symbols):
         near, a, b = _anchored(c, live, window, block, shift)
         if len(near):
@@ -223,6 +231,8 @@ def _cut(tab, replies, window, block, shift, hashes, out_schema, with_text):
     texts, shas, n_removed, n_spans = [], [], [], []
     for k, text in enumerate(c.texts):
         mask = mask_of.get(k)
+        if c.copy[k] and c.n_words[k] >= window:
+            mask = np.ones(c.n_words[k], bool)
         words = text.encode("utf-8", "surrogatepass").split() if text else []
         if mask is not None and mask.any():
             starts, ends = sh.runs(~mask)
@@ -254,7 +264,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_words, n_removed, n_spans, kept_sha256,
     with `with_text` kept_text, with `carry` the struct `rest` of those columns."""
     block = window // 2
-    n_rows, n_bytes = sh.text_size(docs, text_col)
+    keys = sh.text_keys(docs, id_col, text_col)
+    n_rows, n_bytes = sh.sizes(keys)
     n_chunks = sh.chunk_count(n_bytes + 64 * n_rows, CHUNK_BYTES)
     bits = min(64, max(40, math.ceil(math.log2(n_bytes + 2)) + 12))
     shift = 64 - bits
@@ -264,6 +275,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     parts = sh.tasks(spark, 1 << range_bits)
     dealt = sh.chunked(docs, id_col, text_col, n_chunks, carry)
+    # a text of `window` words has at least so many bytes
+    copied = sh.to_chunks(sh.copies(keys, 2 * window - 1), n_chunks)
 
     def rows(found, chunk, schema):
         return pa.Table.from_pylist([dict(zip(schema.names, (chunk, *r))) for r in found], schema)
@@ -271,11 +284,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sent = pa.schema([("chunk", pa.int32()), ("range", pa.int64()), ("hashes", pa.binary()),
                       ("indexed", pa.binary()), ("several", pa.binary())])
 
-    def probe(key, tab):
-        return rows(_probe(tab, window, block, shift, range_shift, _WordHashes()),
-                    key[0].as_py(), sent)
+    def probe(key, tab, replies):
+        found = _probe(tab, replies, window, block, shift, range_shift, _WordHashes()) \
+            if tab.num_rows else []
+        return rows(found, key[0].as_py(), sent)
 
-    probes = dealt.groupBy("chunk").applyInArrow(
+    probes = dealt.groupBy("chunk").cogroup(copied.groupBy("chunk")).applyInArrow(
         probe, "chunk int, range long, hashes binary, indexed binary, several binary")
 
     def live(key, tab):
@@ -294,7 +308,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             if tab.num_rows else []
         return rows(found, key[0].as_py(), asked)
 
-    whole = dealt.groupBy("chunk").cogroup(alive.groupBy("chunk")).applyInArrow(
+    told = alive.withColumn("copy", F.lit(None).cast("long")).unionByName(
+        copied, allowMissingColumns=True)
+    whole = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         candidates, "chunk int, range long, hashes binary, second binary, owner binary")
 
     def earlier(key, tab):
@@ -306,10 +322,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     verdicts = whole.repartition(parts, "range").groupBy("range").applyInArrow(
         earlier, "chunk int, range long, bits binary, n long")
-    replies = alive.select("chunk", "live", F.lit(None).cast("long").alias("range"),
-                           F.lit(None).cast("binary").alias("bits"),
-                           F.lit(None).cast("long").alias("n")).unionByName(
-        verdicts.select("chunk", F.lit(None).cast("binary").alias("live"), "range", "bits", "n"))
+    replies = told.unionByName(verdicts, allowMissingColumns=True)
 
     out = [T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
@@ -319,8 +332,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if carry:
         out.append(dealt.schema["rest"])
     names = [f.name for f in out]
+    out_schema = to_arrow_schema(T.StructType(out))
 
     def cut(key, tab, answers):
+        if not tab.num_rows:
+            return out_schema.empty_table()
         return _cut(tab, answers, window, block, shift, _WordHashes(), names, with_text)
 
     return dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(

@@ -19,16 +19,28 @@ MAX_ALPHABET = 1024     # names beyond this are sorted by rank pairs
 def _types(t: np.ndarray) -> np.ndarray:
     """True where the suffix is of type S; the last is, by definition."""
     n = len(t)
-    differs = np.flatnonzero(t[:-1] != t[1:])
-    up = t[:-1][differs] < t[1:][differs]
     s = np.ones(n, bool)
-    if len(differs):
-        nxt = np.searchsorted(differs, np.arange(n - 1))
-        inside = nxt < len(differs)
-        s[:-1][inside] = up[nxt[inside]]
+    # a run of equal symbols has the type of its last one
+    last = np.where(t[:-1] != t[1:], np.arange(n - 1, dtype=np.int32), np.int32(n - 1))
+    last = np.minimum.accumulate(last[::-1])[::-1]
+    inside = last < n - 1
+    s[:-1][inside] = t[last[inside]] < t[last[inside] + 1]
     return s
 
 
+def _fours(t: np.ndarray) -> np.ndarray:
+    """Four two-byte symbols from each position as one number, the first on top."""
+    wide = np.zeros(len(t) + 3, np.uint64)
+    wide[:len(t)] = t
+    out = wide[:-3] << np.uint64(48)
+    for k in (1, 2, 3):
+        out |= wide[k:len(t) + k] << np.uint64(48 - 16 * k)
+    return out
+
+
+_HEAD = np.array([0, 0xFFFF << 48, 0xFFFFFFFF << 32, 0xFFFFFFFFFFFF << 16, (1 << 64) - 1], np.uint64)
+
+
 def _induce(t: np.ndarray, s_type: np.ndarray, lms: np.ndarray, k: int) -> np.ndarray:
     """All suffixes in order, from the LMS suffixes in (sub)order."""
     n = len(t)
@@ -98,11 +110,11 @@ def _induce(t: np.ndarray, s_type: np.ndarray, lms: np.ndarray, k: int) -> np.nd
     return sa
 
 
-def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
+def _names(t: np.ndarray, fours: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """Rank of each LMS substring (equal ones share it), in text order."""
     n = len(t)
-    length = np.append(np.diff(lms), 0) + 1
-    number = np.full(n, -1, np.int64)
+    length = np.append(np.diff(lms), 0).astype(np.int32) + 1
+    number = np.full(n, -1, np.int32)
     number[lms] = np.arange(len(lms))
     at = number[ordered]
     size = length[at]
@@ -111,11 +123,12 @@ def _names(t: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     active = np.flatnonzero(same)
     offset = 0
     while len(active):
-        x, y = ordered[active] + offset, ordered[active + 1] + offset
-        equal = t[x] == t[y]
-        same[active[~equal]] = False
-        offset += 1
-        active = active[equal & (size[active] > offset)]
+        rest = size[active] - offset
+        differ = (fours[ordered[active] + offset] ^ fours[ordered[active + 1] + offset]) \
+            & _HEAD[np.minimum(rest, 4)]
+        same[active[differ != 0]] = False
+        offset += 4
+        active = active[(differ == 0) & (rest > 4)]
     names = np.zeros(len(lms), np.int64)
     names[at] = np.concatenate(([0], np.cumsum(~same)))
     return names
@@ -139,18 +152,18 @@ def by_rank_pairs(names: np.ndarray) -> np.ndarray:
         rows = order[open_]
         ahead = np.where(rows + step < n, rank[np.minimum(rows + step, n - 1)] + 1, 0)
         group = rank[rows]
-        by = np.lexsort((ahead, group))
-        rows, ahead, group = rows[by], ahead[by], group[by]
-        order[open_] = rows
-        first[open_] = np.concatenate(([True], (ahead[1:] != ahead[:-1]) | (group[1:] != group[:-1])))
+        pair = group * np.int64(n + 1) + ahead
+        by = np.argsort(pair)
+        pair = pair[by]
+        order[open_] = rows[by]
+        first[open_] = np.concatenate(([True], pair[1:] != pair[:-1]))
         lead = np.maximum.accumulate(np.where(first, np.arange(n), 0))
         rank[order[open_]] = lead[open_]
         step *= 2
 
 
 def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
-    """Order of the suffixes of t, whose symbols are below k and whose last
-    symbol is the only 0 (two-byte symbols sort fastest)."""
+    """Order of the suffixes of t: two-byte symbols below k, the last the only 0."""
     n = len(t)
     if n == 1:
         return np.zeros(1, np.int32)
@@ -159,7 +172,7 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     lms = np.flatnonzero(is_lms).astype(np.int32)
     sa = _induce(t, s_type, lms, k)
     ordered = sa[is_lms[sa]]
-    names = _names(t, lms, ordered)
+    names = _names(t, _fours(t), lms, ordered)
     top = int(names.max()) + 1
     if top == len(lms):
         return _induce(t, s_type, ordered, k)
@@ -190,12 +203,15 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray) -> np.ndarray:
     chained[1:] = reducible[1:] & (before[1:] == before[:-1] + 1)
     lead = np.flatnonzero(~chained)
     plcp = np.zeros(n, np.int64)
+    fours = _fours(t)
     active = lead[before[lead] >= 0]
     while len(active):
         x, y = active + plcp[active], before[active] + plcp[active]
-        inside = (x < n) & (y < n)
-        active, x, y = active[inside], x[inside], y[inside]
-        active = active[t[x] == t[y]]
-        plcp[active] += 1
+        differ = fours[x] ^ fours[y]
+        # equal symbols at the top; beyond the end there are zeros, which only the last symbol is
+        same = (differ < 1 << 48).astype(np.int64) + (differ < 1 << 32) + (differ < 1 << 16)
+        whole = differ == 0
+        plcp[active] += same + whole
+        active = active[whole]
     head = np.maximum.accumulate(np.where(chained, 0, at))
     return np.maximum(plcp[head] - (at - head), 0)

@@ -16,7 +16,9 @@ out by content:
    start). Back goes one bit per window sent: an earlier place exists.
 4. Chunks mark the bytes under windows with an earlier place.
 
-Strings are compared byte by byte; hashes only deal out the work, so chance
+Whole copies go first: a text that a smaller id has too is removed altogether
+(from `length` bytes on), so only the first of a group of copies takes part in
+the steps, however large the group. Strings are compared byte by byte; hashes only deal out the work, so chance
 hits cost time and change nothing. Documents are dealt out once and the steps
 reuse that exchange. A hot passage reaches its shard once per chunk.
 
@@ -38,14 +40,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import _shared as sh
 from .suffix_array import permuted_common_prefixes, suffix_array
 
 CHUNK_BYTES = 2 << 20       # text per chunk; a task holds about sixty times that in arrays
 RANGE_ANCHORS = 1 << 20     # anchor hashes per hash range
-SHARD_TEXT = 8 << 20        # input text per shard
-ARRAY_BYTES = 3 << 20       # segments sorted in one array
+SHARD_TEXT = 4 << 20        # input text per shard
+ARRAY_BYTES = 1 << 20       # segments sorted in one array
 GRAM = 32
 BASE = 0xA0761D6478BD642F
 
@@ -55,9 +58,14 @@ def _symbols() -> np.ndarray:
 
 
 class _Chunk:
-    """The documents of a chunk, ordered by id, as one byte array with segments."""
+    """The documents of a chunk, ordered by id, as one byte array with segments.
 
-    def __init__(self, tab: pa.Table, length: int, gram: int, bits: int):
+    Copies of other documents have no part in it; they are `copied`.
+    """
+
+    def __init__(self, tab: pa.Table, replies: pa.Table, length: int, gram: int, bits: int):
+        copy = pa.array(sh.named_rows(tab["name"], replies["copy"]))
+        self.copied, tab = tab.filter(copy), tab.filter(pc.invert(copy))
         text = pc.fill_null(tab["text"], "")
         key = pc.fill_null(tab["doc_id"], sh.NULL_ID)
         self.order = pc.sort_indices(pa.table({"k": key, "t": text}),
@@ -276,11 +284,11 @@ def _verdicts(tab: pa.Table, length: int) -> list[tuple[int, bytes, int]]:
     return out
 
 
-def _cut(c: _Chunk, replies: pa.Table, out_schema: list[str], with_text: bool):
+def _cut(c: _Chunk, replies: pa.Table, out_schema: pa.Schema, with_text: bool):
     """The result rows of a chunk."""
     n = len(c.bytes)
     removed = np.zeros(n, bool)
-    live = sh.sorted_union(replies["live"]) if replies.num_rows else np.zeros(0, np.uint64)
+    live = sh.sorted_union(replies["live"])
     mine, of, number, windows, first = c.live_segments(live)
     if len(mine):
         sent = sorted(((r, x, k) for r, x, k in zip(replies["shard"].to_pylist(),
@@ -308,12 +316,15 @@ def _cut(c: _Chunk, replies: pa.Table, out_schema: list[str], with_text: bool):
         shas.append(hashlib.sha256(kept).hexdigest())
         if with_text:
             texts.append(kept)
-    cols = {"doc_id": c.tab["doc_id"], "n_bytes": pa.array(sizes, pa.int64()),
-            "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()),
-            "kept_sha256": pa.array(shas, pa.string())}
+    whole = pc.binary_length(c.copied["text"]).cast(pa.int64()).to_pylist()   # removed altogether
+    none = len(whole)
+    cols = {"doc_id": c.tab["doc_id"].to_pylist() + c.copied["doc_id"].to_pylist(),
+            "n_bytes": sizes.tolist() + whole, "n_removed": n_removed + whole,
+            "n_spans": n_spans + [1] * none,
+            "kept_sha256": shas + [hashlib.sha256(b"").hexdigest()] * none}
     if with_text:
-        cols["kept_bytes"] = pa.array(texts, pa.binary())
-    return pa.table([cols[f] for f in out_schema], names=out_schema)
+        cols["kept_bytes"] = texts + [b""] * none
+    return pa.table([pa.array(cols[f.name], f.type) for f in out_schema], schema=out_schema)
 
 
 def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -324,7 +335,8 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if not 1 <= gram <= length:
         raise ValueError("gram must be in 1..length")
     spark = docs.sparkSession
-    n_rows, n_bytes = sh.text_size(docs, text_col)
+    keys = sh.text_keys(docs, id_col, text_col)
+    n_rows, n_bytes = sh.sizes(keys)
     n_chunks = sh.chunk_count(n_bytes + 16 * n_rows, CHUNK_BYTES)
     # anchors keep enough bits that chance hits stay rare; a window's anchor is
     # chosen by bits that the position in a chunk doesn't need
@@ -332,6 +344,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     range_bits = max(0, math.ceil(math.log2(max(1, n_bytes / 35 / RANGE_ANCHORS))))
     n_shards = sh.chunk_count(n_bytes, SHARD_TEXT)
     dealt = sh.chunked(docs, id_col, text_col, n_chunks)
+    copied = sh.to_chunks(sh.copies(keys, length), n_chunks)
 
     def rows(found, chunk, schema):
         return pa.Table.from_pylist([dict(zip(schema.names, (chunk, *r))) for r in found], schema)
@@ -339,16 +352,17 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     asked = pa.schema([("chunk", pa.int32()), ("range", pa.int64()), ("hashes", pa.binary()),
                        ("several", pa.binary())])
 
-    def anchors(key, tab):
-        return rows(_anchors(_Chunk(tab, length, gram, bits), bits - range_bits),
-                    key[0].as_py(), asked)
+    def anchors(key, tab, replies):
+        found = _anchors(_Chunk(tab, replies, length, gram, bits), bits - range_bits) \
+            if tab.num_rows else []
+        return rows(found, key[0].as_py(), asked)
 
     def live(key, tab):
         found = _live(tab)
         return pa.table({"chunk": pa.array([x[0] for x in found], pa.int32()),
                          "live": pa.array([x[1] for x in found], pa.binary())})
 
-    alive = dealt.groupBy("chunk").applyInArrow(
+    alive = dealt.groupBy("chunk").cogroup(copied.groupBy("chunk")).applyInArrow(
         anchors, "chunk int, range long, hashes binary, several binary").repartition(
         sh.tasks(spark, 1 << range_bits), "range").groupBy("range").applyInArrow(
         live, "chunk int, live binary").repartition(sh.tasks(spark, n_chunks), "chunk")
@@ -358,10 +372,10 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
                        ("pos", pa.binary())])
 
     def segments(key, tab, replies):
-        if not tab.num_rows or not replies.num_rows:
+        live = sh.sorted_union(replies["live"])
+        if not tab.num_rows or not len(live):
             return rows([], 0, parts)
-        found = _sent(_Chunk(tab, length, gram, bits), sh.sorted_union(replies["live"]),
-                      bits, n_shards)
+        found = _sent(_Chunk(tab, replies, length, gram, bits), live, bits, n_shards)
         return rows(found, key[0].as_py(), parts)
 
     def shard(key, tab):
@@ -371,23 +385,24 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          "bits": pa.array([x[1] for x in found], pa.binary()),
                          "n": pa.array([x[2] for x in found], pa.int64())})
 
-    verdicts = dealt.groupBy("chunk").cogroup(alive.groupBy("chunk")).applyInArrow(
+    told = alive.withColumn("copy", F.lit(None).cast("long")).unionByName(
+        copied, allowMissingColumns=True)
+    verdicts = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         segments, "chunk int, shard long, anchors binary, lengths binary, bytes binary, "
                   "ids binary, pos binary").repartition(sh.tasks(spark, n_shards), "shard").groupBy(
         "shard").applyInArrow(shard, "chunk int, shard long, bits binary, n long")
-    replies = alive.select("chunk", "live", F.lit(None).cast("long").alias("shard"),
-                           F.lit(None).cast("binary").alias("bits"),
-                           F.lit(None).cast("long").alias("n")).unionByName(
-        verdicts.select("chunk", F.lit(None).cast("binary").alias("live"), "shard", "bits", "n"))
+    replies = told.unionByName(verdicts, allowMissingColumns=True)
     out = [T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
            T.StructField("kept_sha256", T.StringType())]
     if with_text:
         out.append(T.StructField("kept_bytes", T.BinaryType()))
-    names = [f.name for f in out]
+    out_schema = to_arrow_schema(T.StructType(out))
 
     def cut(key, tab, answers):
-        return _cut(_Chunk(tab, length, gram, bits), answers, names, with_text)
+        if not tab.num_rows:
+            return out_schema.empty_table()
+        return _cut(_Chunk(tab, answers, length, gram, bits), answers, out_schema, with_text)
 
     return dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         cut, T.StructType(out))
