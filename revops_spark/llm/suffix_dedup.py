@@ -109,7 +109,8 @@ class _Chunk:
         starts = np.flatnonzero(new & valid)
         ends = np.flatnonzero(valid & np.append(new[1:] | ~valid[1:], True)) + 1
         self.seg_start, self.seg_windows = starts, ends - starts
-        self.seg_anchor = h[anchor[starts]] >> np.uint64(64 - bits)
+        # smallest hashes crowd near zero; mixed again they spread over ranges and shards
+        self.seg_anchor = sh.mixed(h[anchor[starts]]) >> np.uint64(64 - bits)
         self.seg_gram_at = anchor[starts]
         self.seg_row = row[starts]
 
