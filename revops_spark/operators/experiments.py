@@ -160,9 +160,11 @@ def ab_power(mart: DataFrame, alpha: float = 0.05, power: float = 0.80,
         "treatment_churn_rate",
         f"{cohens_h_sql('control_churn_rate', 'treatment_churn_rate')} AS cohens_h")
     need = h.selectExpr("*", f"{n_per_group_sql('cohens_h', alpha, power)} AS required_n_per_group")
-    for _ in range(NEWTON_STEPS if exact else 0):
-        step = newton_step_sql("required_n_per_group", "cohens_h", alpha, power)
-        need = need.withColumn("required_n_per_group", F.expr(step))
+    if exact:
+        # a fold, so that a step names its start instead of repeating it
+        step = newton_step_sql("n", "cohens_h", alpha, power)
+        need = need.withColumn("required_n_per_group", F.expr(
+            f"aggregate(sequence(1, {NEWTON_STEPS}), required_n_per_group, (n, i) -> {step})"))
     out = need.selectExpr(
         "*", "least(control_total, treatment_total) >= required_n_per_group AS adequately_powered")
     return _presentation_order(out)
