@@ -51,7 +51,7 @@ _TABLE_BITS = 22
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word, 5)
         return value

@@ -38,10 +38,10 @@ _WORD_BUCKETS = 1 << WORD_BITS
 
 
 class _Buckets(dict):
-    """Hash bucket of a word; emptied when it holds half a million."""
+    """Hash bucket of a word; emptied when it holds 200,000."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         self[word] = value = zlib.crc32(word) & (_WORD_BUCKETS - 1)
         return value
