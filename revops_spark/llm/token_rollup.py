@@ -31,6 +31,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import _shared as sh
 from .packing import Encoder
 
 KEYS = ["source", "lang", "tokenizer_version"]
@@ -141,8 +142,5 @@ def word_count(text, pattern: str):
 
 def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Ids of the documents whose whole text a smaller id has too (null ids, null texts: none)."""
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.sha2(F.col(text_col).cast("binary"), 256).alias("h")).filter(
-        "doc_id is not null and h is not null")
-    first = keyed.groupBy("h").agg(F.min("doc_id").alias("first"))
-    return keyed.join(first, "h").filter("doc_id > first").select("doc_id").distinct()
+    keys = sh.text_keys(docs, id_col, text_col)
+    return sh.copies(keys, 0).filter("doc_id is not null").select("doc_id").distinct()
