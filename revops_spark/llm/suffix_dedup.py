@@ -7,20 +7,27 @@ out by content:
    substring (by hash, the leftmost of equals): its anchor. Consecutive windows
    with one anchor form a segment of at most 2 * length - gram bytes. Chunks of
    documents send their distinct anchor hashes; an anchor seen once in the
-   whole table can't rule a repeated window. Chunks get the others back.
-2. Segments of repeated anchors go to the shard of their anchor, equal ones
-   once per chunk, with the first place each has there.
-3. A shard concatenates its distinct segments, builds their suffix array by
+   whole table can't rule a repeated window. Chunks get the others back, and
+   which of them are hot: more distinct segments than one array holds.
+2. Segments of hot anchors (a line that many documents hold in different
+   surroundings) are taken apart into their windows, ruled by a hash of the
+   whole window; windows seen once in the whole table are left out likewise.
+3. Segments of the other repeated anchors go to the shard of their anchor, the
+   repeated windows of hot ones to the shard of their own hash, equal ones once
+   per chunk, with the first place each has there.
+4. A shard concatenates its distinct segments, builds their suffix array by
    induced sorting and the permuted common prefixes, and so finds the classes
    of equal windows and the first place of each (smallest document, then
-   start). Back goes one bit per window sent: an earlier place exists.
-4. Chunks mark the bytes under windows with an earlier place.
+   start). Where a key has single windows only, equal texts are the classes.
+   Back goes one bit per window sent: an earlier place exists.
+5. Chunks mark the bytes under windows with an earlier place.
 
 Whole copies go first: a text that a smaller id has too is removed altogether
 (from `length` bytes on), so only the first of a group of copies takes part in
 the steps, however large the group. Strings are compared byte by byte; hashes only deal out the work, so chance
 hits cost time and change nothing. Documents are dealt out once and the steps
-reuse that exchange. A hot passage reaches its shard once per chunk.
+reuse that exchange. An array's text is bounded however hot an anchor is; a
+window that very many chunks hold reaches its shard once per chunk.
 
 Results for odd input: a null text counts as empty; a null id counts as larger
 than every other id; a place is (id, start), so rows that repeat an id stand at
@@ -114,15 +121,39 @@ class _Chunk:
         self.seg_gram_at = anchor[starts]
         self.seg_row = row[starts]
 
-    def live_segments(self, live: np.ndarray, to_send: bool = False):
-        """Distinct texts of the segments with live anchors, by anchor.
-
-        To send: their anchors, bytes, documents and positions. Else: the live
+    def rolling(self) -> sh.Rolling:
+        return sh.Rolling(_symbols()[self.bytes], BASE)
+
+    def hot_windows(self, hot: np.ndarray, bits: int):
+        """Starts, hashes and rows of the windows of the segments with hot anchors."""
+        mine = np.flatnonzero(_among(self.seg_anchor, hot))
+        w = self.seg_windows[mine]
+        starts = np.repeat(self.seg_start[mine] - np.concatenate(([0], np.cumsum(w)[:-1])), w) \
+            + np.arange(w.sum()) if len(mine) else np.zeros(0, np.int64)
+        if not len(starts):
+            return starts, np.zeros(0, np.uint64), starts
+        h = self.rolling().windows(starts, self.length) >> np.uint64(64 - bits)
+        return starts, h, np.repeat(self.seg_row[mine], w)
+
+    def rule(self, live: np.ndarray, hot: np.ndarray, seen: np.ndarray, bits: int) -> None:
+        """Keep the segments with live anchors; of hot ones the seen windows, each by itself."""
+        starts, h, row = self.hot_windows(hot, bits)
+        seen = _among(h, seen)
+        kept = _among(self.seg_anchor, live) & ~_among(self.seg_anchor, hot)
+        cols = [np.concatenate(x) for x in (
+            (self.seg_start[kept], starts[seen]),
+            (self.seg_windows[kept], np.ones(int(seen.sum()), np.int64)),
+            (self.seg_anchor[kept], h[seen]), (self.seg_row[kept], row[seen]))]
+        self.seg_start, self.seg_windows, self.seg_anchor, self.seg_row = cols
+
+    def segments(self, to_send: bool = False):
+        """Distinct texts of the segments that `rule` kept, by anchor.
+
+        To send: their anchors, bytes, documents and positions. Else: the
         segments, per segment its text's place in that order and its number by
         first appearance, the windows of each text, and its first segment.
         """
-        at = np.minimum(np.searchsorted(live, self.seg_anchor), max(0, len(live) - 1))
-        mine = np.flatnonzero(live[at] == self.seg_anchor) if len(live) else np.zeros(0, np.int64)
+        mine = np.arange(len(self.seg_start))
         raw = self.bytes.tobytes()
         number: dict[bytes, int] = {}
         first, of = [], np.empty(len(mine), np.int64)
@@ -146,26 +177,48 @@ class _Chunk:
         return mine, place[of], of, self.seg_windows[lead], first
 
 
+def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Which values are in the ascending array `wanted`."""
+    if not len(wanted):
+        return np.zeros(len(values), bool)
+    return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
+
+
 def _anchors(c: _Chunk, range_shift: int):
+    """Anchors to ask about, each with its distinct segments in the chunk."""
     if not len(c.seg_anchor):
         return []
-    by = np.lexsort((c.seg_gram_at, c.seg_anchor))
-    h, pos = c.seg_anchor[by], c.seg_gram_at[by]
-    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    text = c.rolling().windows(c.seg_start, c.seg_windows + c.length - 1)
+    return _asked(c.seg_anchor, c.seg_gram_at, text, range_shift)
+
+
+def _asked(h: np.ndarray, pos: np.ndarray, text: np.ndarray, range_shift: int):
+    """Rows (range, hashes, several, counts): the distinct hashes, which of them
+    stand at several positions, and the number of distinct texts of each."""
+    if not len(h):
+        return []
+    by = np.lexsort((text, h))
+    h, pos, text = h[by], pos[by], text[by]
+    new = np.concatenate(([True], h[1:] != h[:-1]))
+    first = np.flatnonzero(new)
     several = np.minimum.reduceat(pos, first) != np.maximum.reduceat(pos, first)
+    new[1:] |= text[1:] != text[:-1]
+    counts = np.add.reduceat(new.astype(np.int64), first)
     h = h[first]
     at = h >> np.uint64(range_shift)
     cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
     ends = np.append(cut[1:], len(h))
-    return [(int(at[a]), sh.pack_sorted(h[a:b]), sh.pack_bits(several[a:b]))
-            for a, b in zip(cut, ends)]
+    return [(int(at[a]), sh.pack_sorted(h[a:b]), sh.pack_bits(several[a:b]),
+             sh.pack_ints(counts[a:b])) for a, b in zip(cut, ends)]
 
 
-def _live(tab: pa.Table) -> list[tuple[int, bytes]]:
+def _live(tab: pa.Table, most: int) -> list[tuple[int, bytes, bytes]]:
+    """Per chunk: its hashes that repeat, and those with more than `most` distinct texts."""
     parts = [sh.unpack_sorted(x.as_py()) for x in tab["hashes"]]
     sizes = [len(p) for p in parts]
     h = np.concatenate(parts)
     several = np.concatenate([sh.unpack_bits(x.as_py(), n) for x, n in zip(tab["several"], sizes)])
+    counts = np.concatenate([sh.unpack_ints(x.as_py()) for x in tab["counts"]])
     order = np.argsort(h, kind="stable")
     s = h[order]
     first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
@@ -173,18 +226,21 @@ def _live(tab: pa.Table) -> list[tuple[int, bytes]]:
     live = (size > 1) | np.logical_or.reduceat(several[order], first)
     hit = np.zeros(len(h), bool)
     hit[order] = np.repeat(live, size)
+    hot = np.zeros(len(h), bool)
+    hot[order] = np.repeat(live & (np.add.reduceat(counts[order], first) > most), size)
     out, at = [], 0
     for chunk, n in zip(tab["chunk"].to_pylist(), sizes):
-        mine = h[at:at + n][hit[at:at + n]]
+        mine, burning = h[at:at + n][hit[at:at + n]], h[at:at + n][hot[at:at + n]]
         at += n
         if len(mine):
-            out.append((int(chunk), sh.pack_sorted(mine)))
+            out.append((int(chunk), sh.pack_sorted(mine),
+                        sh.pack_sorted(burning) if len(burning) else None))
     return out
 
 
-def _sent(c: _Chunk, live: np.ndarray, bits: int, n_shards: int):
-    """Rows (shard, anchors, lengths, bytes, documents, positions) of the live segments."""
-    anchor, texts, ids, pos = c.live_segments(live, True)
+def _sent(c: _Chunk, bits: int, n_shards: int):
+    """Rows (shard, anchors, lengths, bytes, documents, positions) of the kept segments."""
+    anchor, texts, ids, pos = c.segments(True)
     if not len(anchor):
         return []
     at = _shard(anchor, bits, n_shards)
@@ -260,7 +316,14 @@ def _verdicts(tab: pa.Table, length: int) -> list[tuple[int, bytes, int]]:
     windows = lens - length + 1
     at = np.concatenate(([0], np.cumsum(windows)))         # windows of text i: at[i] .. at[i + 1]
     earliest = np.empty(at[-1], np.int64)
-    # one array per batch of anchors; an anchor is never split
+    # equal windows of a key with single windows only are equal texts
+    groups = anchor_of[order]
+    first = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1])))
+    alone = np.repeat(np.maximum.reduceat(windows[order], first) == 1,
+                      np.diff(np.append(first, len(order))))
+    earliest[at[order[alone]]] = least[order[alone]]
+    order = order[~alone]
+    # one array per batch of the other anchors; an anchor is never split
     size = np.cumsum(lens[order])
     a = 0
     while a < len(order):
@@ -285,18 +348,18 @@ def _verdicts(tab: pa.Table, length: int) -> list[tuple[int, bytes, int]]:
     return out
 
 
-def _cut(c: _Chunk, replies: pa.Table, out_schema: pa.Schema, with_text: bool):
+def _cut(c: _Chunk, replies: pa.Table, bits: int, out_schema: pa.Schema, with_text: bool):
     """The result rows of a chunk."""
     n = len(c.bytes)
     removed = np.zeros(n, bool)
-    live = sh.sorted_union(replies["live"])
-    mine, of, number, windows, first = c.live_segments(live)
+    c.rule(*(sh.sorted_union(replies[x]) for x in ("live", "hot", "seen")), bits)
+    mine, of, number, windows, first = c.segments()
     if len(mine):
         sent = sorted(((r, x, k) for r, x, k in zip(replies["shard"].to_pylist(),
                                                     replies["bits"].to_pylist(),
                                                     replies["n"].to_pylist()) if x is not None),
                       key=lambda x: x[0])
-        bits = np.concatenate([sh.unpack_bits(x, k) for _, x, k in sent])
+        told = np.concatenate([sh.unpack_bits(x, k) for _, x, k in sent])
         at = np.concatenate(([0], np.cumsum(windows)[:-1]))
         w = c.seg_windows[mine]
         edge = np.concatenate(([0], np.cumsum(w)[:-1]))
@@ -305,7 +368,7 @@ def _cut(c: _Chunk, replies: pa.Table, out_schema: pa.Schema, with_text: bool):
         place = np.stack((c.ids[row], c.seg_start[mine] - c.bounds[row]))
         lead = place[:, first][:, number]
         again = (place[0] > lead[0]) | ((place[0] == lead[0]) & (place[1] > lead[1]))
-        gone = bits[np.repeat(at[of], w) + offset] | np.repeat(again, w)
+        gone = told[np.repeat(at[of], w) + offset] | np.repeat(again, w)
         starts = (np.repeat(c.seg_start[mine], w) + offset)[gone]
         removed = sh.covered(starts, c.length, n)
     sizes, n_removed, n_spans, shas, texts = np.diff(c.bounds), [], [], [], []
@@ -344,6 +407,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     bits = min(40, max(36, math.ceil(math.log2(n_bytes + 2)) + 9))
     range_bits = max(0, math.ceil(math.log2(max(1, n_bytes / 35 / RANGE_ANCHORS))))
     n_shards = sh.chunk_count(n_bytes, SHARD_TEXT)
+    most = max(1, ARRAY_BYTES // (2 * length - gram))      # distinct segments of an anchor that isn't hot
     dealt = sh.chunked(docs, id_col, text_col, n_chunks)
     copied = sh.to_chunks(sh.copies(keys, length), n_chunks)
 
@@ -351,7 +415,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return pa.Table.from_pylist([dict(zip(schema.names, (chunk, *r))) for r in found], schema)
 
     asked = pa.schema([("chunk", pa.int32()), ("range", pa.int64()), ("hashes", pa.binary()),
-                       ("several", pa.binary())])
+                       ("several", pa.binary()), ("counts", pa.binary())])
 
     def anchors(key, tab, replies):
         found = _anchors(_Chunk(tab, replies, length, gram, bits), bits - range_bits) \
@@ -359,25 +423,43 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         return rows(found, key[0].as_py(), asked)
 
     def live(key, tab):
-        found = _live(tab)
+        found = _live(tab, most)
         return pa.table({"chunk": pa.array([x[0] for x in found], pa.int32()),
-                         "live": pa.array([x[1] for x in found], pa.binary())})
+                         "live": pa.array([x[1] for x in found], pa.binary()),
+                         "hot": pa.array([x[2] for x in found], pa.binary())})
 
-    alive = dealt.groupBy("chunk").cogroup(copied.groupBy("chunk")).applyInArrow(
-        anchors, "chunk int, range long, hashes binary, several binary").repartition(
-        sh.tasks(spark, 1 << range_bits), "range").groupBy("range").applyInArrow(
-        live, "chunk int, live binary").repartition(sh.tasks(spark, n_chunks), "chunk")
+    def answered(asking):
+        return asking.repartition(sh.tasks(spark, 1 << range_bits), "range").groupBy("range").applyInArrow(
+            live, "chunk int, live binary, hot binary").repartition(sh.tasks(spark, n_chunks), "chunk")
+
+    asking = "chunk int, range long, hashes binary, several binary, counts binary"
+    alive = answered(dealt.groupBy("chunk").cogroup(copied.groupBy("chunk")).applyInArrow(
+        anchors, asking))
+
+    def hot_windows(key, tab, replies):
+        hot = sh.sorted_union(replies["hot"])
+        if not tab.num_rows or not len(hot):
+            return asked.empty_table()
+        starts, h, _ = _Chunk(tab, replies, length, gram, bits).hot_windows(hot, bits)
+        return rows(_asked(h, starts, h, bits - range_bits), key[0].as_py(), asked)
+
+    told = alive.withColumn("copy", F.lit(None).cast("long")).unionByName(
+        copied, allowMissingColumns=True)
+    seen = answered(dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
+        hot_windows, asking)).select("chunk", F.col("live").alias("seen"))
+    told = told.unionByName(seen, allowMissingColumns=True)
 
     parts = pa.schema([("chunk", pa.int32()), ("shard", pa.int64()), ("anchors", pa.binary()),
                        ("lengths", pa.binary()), ("bytes", pa.binary()), ("ids", pa.binary()),
                        ("pos", pa.binary())])
 
     def segments(key, tab, replies):
-        live = sh.sorted_union(replies["live"])
-        if not tab.num_rows or not len(live):
+        kept = [sh.sorted_union(replies[x]) for x in ("live", "hot", "seen")]
+        if not tab.num_rows or not len(kept[0]):
             return rows([], 0, parts)
-        found = _sent(_Chunk(tab, replies, length, gram, bits), live, bits, n_shards)
-        return rows(found, key[0].as_py(), parts)
+        c = _Chunk(tab, replies, length, gram, bits)
+        c.rule(*kept, bits)
+        return rows(_sent(c, bits, n_shards), key[0].as_py(), parts)
 
     def shard(key, tab):
         found = _verdicts(tab, length)
@@ -386,8 +468,6 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          "bits": pa.array([x[1] for x in found], pa.binary()),
                          "n": pa.array([x[2] for x in found], pa.int64())})
 
-    told = alive.withColumn("copy", F.lit(None).cast("long")).unionByName(
-        copied, allowMissingColumns=True)
     verdicts = dealt.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         segments, "chunk int, shard long, anchors binary, lengths binary, bytes binary, "
                   "ids binary, pos binary").repartition(sh.tasks(spark, n_shards), "shard").groupBy(
@@ -403,7 +483,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def cut(key, tab, answers):
         if not tab.num_rows:
             return out_schema.empty_table()
-        return _cut(_Chunk(tab, answers, length, gram, bits), answers, out_schema, with_text)
+        return _cut(_Chunk(tab, answers, length, gram, bits), answers, bits, out_schema, with_text)
 
     return dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
         cut, T.StructType(out))

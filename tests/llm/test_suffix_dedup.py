@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from revops_spark.llm import suffix_dedup as sd
+from revops_spark.llm import _shared as sh, suffix_dedup as sd
 from revops_spark.llm._shared import NULL_ID, table
 from revops_spark.llm.suffix_array import by_rank_pairs, permuted_common_prefixes, suffix_array
 
@@ -77,5 +77,35 @@ def test_other_lengths(spark):
     assert result(sd.remove_repeated_bytes(docs, length=5, gram=3)) == brute(rows, 5)
 
 
+def test_a_line_in_many_documents_is_split(spark, monkeypatch):
+    """A 50-byte line in otherwise different documents: no key brings more text than an array holds."""
+    rng = np.random.default_rng(8)
+    line = "// Copyright the authors, see the file of licences"
+    assert len(line) == 50
+
+    def words(n):
+        return " ".join(f"{x:x}" for x in rng.integers(0, 1 << 32, n))
+
+    shared = words(30)
+    rows = [(i, f"{words(30)}\n{line}\n{shared if i % 50 == 0 else words(30)}") for i in range(400)]
+    rows.append((1000, f"{shared}\n{line}\n{shared}"))
+    monkeypatch.setattr(sd, "ARRAY_BYTES", 5_000)
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 40_000)
+    real = sd._verdicts
+
+    def bounded(tab, length):
+        size = {}
+        for a, lens in zip(tab["anchors"], tab["lengths"]):
+            for k, n in zip(sh.unpack_sorted(a.as_py()).tolist(), sh.unpack_ints(lens.as_py()).tolist()):
+                size[k] = size.get(k, 0) + n
+        assert max(size.values()) <= 5_000, max(size.values())
+        return real(tab, length)
+
+    monkeypatch.setattr(sd, "_verdicts", bounded)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(sd.remove_repeated_bytes(docs))
+    assert got == brute(rows) and sum(r[2] for r in got) > 2000
+
+
 def test_empty_table(no_docs):
     assert sd.remove_repeated_bytes(no_docs).collect() == []
