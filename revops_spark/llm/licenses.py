@@ -1,8 +1,13 @@
 """Licence scan by sentence rules, in DataFrame expressions only.
 
-Texts are cut into sentences at line ends and after . ! ? ; : followed by white
-space. A normalised sentence (lower case, everything but letters and digits to
-single spaces) that the sentence table knows becomes its identifier; the
+Texts are cut into parts at line ends and after . ! ? ; : followed by white
+space, and normalised (lower case, everything but letters and digits to single
+spaces). A part that the sentence table knows becomes its identifier, and so
+does a run of parts that only single line ends divide: a sentence wrapped over
+lines, with or without comment marks (signs, not words such as REM). Blank lines
+and ends of sentences are never joined over; "v." before a digit may be an end of
+a sentence or none. Sentences count by the place of their first word, the
+shorter first where several begin there; the
 identifiers of a document, in order of appearance, are matched against the
 rules. A rule is an ordered sequence of identifiers; it matches where they
 appear in that order, other known sentences may stand between them.
@@ -83,29 +88,40 @@ RULES = [
     ("MPL-2.0", (20,)),
 ]
 
-SENTENCE_END = r"\n+|(?<=[.!?;:])\s+"
+# Marks between parts: a single line end may stand within a sentence, an end not.
+_LINE, _END = "\n", "\x02"
+_SENTENCE_END = r"(?<=[.!?;:])\s+"
+_VERSION = r"(?<=[^\p{L}\p{N}][vV]\.)(?=\s)[^\S\n]*+\n?+[^\p{L}\p{N}\n]*+(?=\p{N})"
 # A colon ends a sentence only before white space, so "SPDX-License-Identifier: MIT"
 # is cut after its colon; the two parts are read together.
 _SPDX = r"(?i)(spdx-license-identifier):\s*"
 
 
-def normalised(sentence):
-    """Lower case; runs of anything but letters and digits become one space."""
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+def marked(text):
+    """The normalised parts of a text, each between two marks."""
+    text = F.translate(F.coalesce(text.cast("string"), F.lit("")), _END, "_")
+    text = F.regexp_replace(F.regexp_replace(text, _SPDX, "$1 "), _VERSION, "_" + _LINE)
+    text = F.lower(F.regexp_replace(text, _SENTENCE_END, _END))
+    text = F.regexp_replace(text, r"[^\p{L}\p{N}\n\x02]+", " ")
+    # two line ends without a word between them are a blank line
+    text = F.regexp_replace(text, r"[ \n\x02]*(?:\x02|\n ?\n)[ \n\x02]*", _END)
+    return F.concat(F.lit(_END), F.trim(F.regexp_replace(text, r" ?\n ?", _LINE)), F.lit(_END))
 
 
 def known_sentences(text, sentences: list[tuple[int, str]]):
     """Identifiers of the known sentences of a text, in order of appearance."""
     table = F.array(*[F.lit(s) for _, s in sentences])
     ids = F.array(*[F.lit(i) for i, _ in sentences])
-    shortest = min(len(s) for _, s in sentences)
-    parts = F.split(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _SPDX, "$1 "),
-                    SENTENCE_END)
-    # lower case can lengthen a letter, but not to twice its length
-    parts = F.filter(parts, lambda x: F.length(x) * 2 >= shortest)
-    at = F.filter(F.transform(parts, lambda x: F.array_position(table, normalised(x))),
-                  lambda x: x > 0)
-    return F.transform(at, lambda x: F.element_at(ids, x.cast("int")))
+    # the longest that begins at a mark; sentences that it begins with end at a mark within
+    words = sorted({tuple(s.split(" ")) for _, s in sentences}, key=lambda x: (-len(x), x))
+    longest = r"[\n\x02](?=({})[\n\x02])".format(
+        "|".join(r"[ \n]".join(rf"\Q{w}\E" for w in x) for x in words))
+    runs = F.transform(F.regexp_extract_all(marked(text), F.lit(longest), F.lit(1)),
+                       lambda x: F.split(x, _LINE))
+    at = F.flatten(F.transform(runs, lambda x: F.transform(
+        F.sequence(F.lit(1), F.size(x)),
+        lambda n: F.array_position(table, F.array_join(F.slice(x, F.lit(1), n), " ")))))
+    return F.transform(F.filter(at, lambda x: x > 0), lambda x: F.element_at(ids, x.cast("int")))
 
 
 def _in_order(ids, rule: tuple[int, ...]):
@@ -135,7 +151,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def oracle_sql(documents: str = "documents") -> str:
-    """The scan as DuckDB SQL, with regular expressions over identifier sequences."""
+    """The scan as DuckDB SQL, with regular expressions over identifier sequences.
+
+    It looks parts up one by one, so it holds for texts without wrapped sentences."""
     table = ", ".join(f"({i}, '{s}')" for i, s in SENTENCES)
     tests = ", ".join(
         "CASE WHEN regexp_matches(ids, '{}') THEN '{}' END".format(

@@ -83,6 +83,87 @@ def test_own_tables(spark):
     assert result(got) == {1: ("forward,twice", 2, 4)}
 
 
+NOTICES = {
+    "MIT": [
+        """MIT License
+
+Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""", "Released under\nthe MIT License.", "Licensed under the\r\nMIT License.",
+        "SPDX-License-Identifier:\n MIT"],
+    "Apache-2.0": [
+        """Licensed under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in
+compliance with the License. You may obtain a copy
+of the License at
+    http://www.apache.org/licenses/LICENSE-2.0""",
+        "Licensed under the Apache\nLicense, Version 2.0.", "SPDX-License-Identifier: Apache-2.0"],
+    "BSD-2-Clause": [BSD := """Copyright (c) 2020, Some Body
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+"""],
+    "BSD-2-Clause,BSD-3-Clause": [BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""],
+    "GPL-3.0-or-later": [GPL := """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+"""],
+    "GPL-2.0-or-later": [GPL.replace("3", "2").replace("software:", "software;")],
+    "GPL-3.0-only": ["This work is licensed under the GNU General\nPublic License version 3.",
+                     "SPDX-License-Identifier: GPL-3.0-only"],
+    "CC-BY-4.0": ["Licensed under\nCC BY 4.0", "This work is licensed under a Creative Commons\n"
+                  "Attribution 4.0 International License."],
+    "CC-BY-NC-4.0": ["Licensed under\nCC BY-NC 4.0"],
+    "CC-BY-SA-4.0": ["Licensed under\nCC BY-SA 4.0"],
+    "MPL-2.0": ["""This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at http://mozilla.org/MPL/2.0/.
+""", "This Source Code Form is subject to the terms of the Mozilla Public License, v.\n2.0."],
+}
+
+
+def test_wrapped_standard_texts_of_every_rule(spark):
+    assert {n for names in NOTICES for n in names.split(",")} == {name for name, _ in li.RULES}
+    marks = [("", "", ""), ("/*\n", " * ", "\n */"), ("", "# ", ""), ("", "// ", ""), ("<!--\n", "  ", "-->")]
+    rows, want = [], []
+    for names, texts in NOTICES.items():
+        for text in texts:
+            for before, mark, after in marks:
+                body = "\n".join((mark + line).rstrip() for line in text.split("\n"))
+                rows.append((len(rows), f"{before}{body}{after}\ncode();\n"))
+                want.append(names)
+    got = result(li.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert [(i, got[i][0]) for i in got if got[i][0] != want[i]] == []
+
+
+def test_sentences_are_not_joined_over_ends(spark):
+    texts = ["Released under\n\nthe MIT License", "# Released under\n#\n# the MIT License",
+             "Released under.\nThe MIT License", "Released under\x02the MIT License",
+             "Released under the MIT License v. 2", "Released under\nthe MIT License terms",
+             "Licensed under the Apache License, Version 2.0\nthe License",
+             " " * 50_000 + "-\n" * 50_000 + "x" + "-" * 100_000]
+    got = result(li.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [got[i] for i in range(len(texts))] == [
+        ("", 0, 0), ("", 0, 0), ("", 0, 0), ("MIT", 1, 1), ("", 0, 0), ("", 0, 0),
+        ("Apache-2.0", 1, 2), ("", 0, 0)]
+
+
 def test_plan_is_native_and_narrow(spark):
     plan = li.scan(table(spark, "/root/testdata/sf0.001", "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Exchange", "Join"))
