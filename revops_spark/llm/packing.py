@@ -76,7 +76,6 @@ class Encoder:
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
             self.whole = Tokenizer.from_file(self.vocabulary)
-            self.whole.encode_special_tokens = True
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str | None) -> bytes:

@@ -92,6 +92,17 @@ def test_encoder_equals_the_library(library, text):
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids_of(library, text)[:-1]
 
 
+def test_marker_text_gets_the_id_of_the_plain_call(spark):
+    plain = Tokenizer.from_file(PATHS[0])
+    text = "a <|endoftext|> b"
+    want = plain.encode(text, add_special_tokens=False).ids
+    assert 50256 in want
+    assert np.frombuffer(packing.Encoder(*PATHS).encode(text), "<u4").tolist() == want
+    row, = packing.pack(spark.createDataFrame([(1, text)], "doc_id long, text string"), *PATHS).collect()
+    assert (row.doc_tokens, row.ids_crc32) == (
+        len(want) + 1, zlib.crc32(np.array([*want, packing.END_ID], "<u4").tobytes()))
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 50), st.integers(1, 40), max_size=30))
 def test_patterns_hold_the_histogram(histogram):
