@@ -7,9 +7,10 @@ are hashed to 4096 codes of two base-64 digits, predicted one after the other:
 log P(high | context) + log P(low | context, high). A document's score is the
 sum over all its words.
 
-Training data are the windows around every `STRIDE`-th word of every document
-(the phase follows the text's hash), so they grow with the corpus. They are
-written to the shared folder and dealt into shards. In each round every shard
+Training data are the windows around every word of every document, so they grow
+with the corpus. Texts are written to the shared folder as their words' codes,
+long ones in spans with the words around, and dealt into shards, which take the
+windows out. In each round every shard
 trains the current network on its windows (AdaGrad in numpy) and Spark averages
 the shards' parameters by block, weighted by windows; only the average, whose
 size is fixed, reaches the driver.
@@ -37,8 +38,9 @@ CODES = DIGIT * DIGIT
 RADIUS = 3
 WIDTH = 12                  # of an embedding
 HIDDEN = 32
-STRIDE = 32
-SHARD_WINDOWS = 250_000
+STRIDE = 1                  # every word is a target
+SPAN = 16_384               # words in a row
+SHARD_WINDOWS = 2_000_000
 ROUNDS = 3
 BATCH = 1024
 RATE = 0.08
@@ -96,7 +98,7 @@ class Network:
         memory = Network(np.full_like(self.flat, 1e-4))
         order = rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
-            batch = windows[order[at:at + BATCH]]
+            batch = windows[order[at:at + BATCH]].astype(np.int32)
             for name, grad, rows in self._gradients(batch[:, :_SIDES], batch[:, _SIDES]):
                 value, seen = getattr(self, name), getattr(memory, name)
                 if rows is None:
@@ -165,30 +167,34 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def training_windows(docs: DataFrame, text_col: str, stride: int) -> DataFrame:
-    """(windows, n): per text, the sampled windows as two-byte codes and their number."""
+    """(codes, phase, n): spans of texts as two-byte codes with `RADIUS` codes around,
+    the first target's place, and the number of targets, every stride-th word."""
 
     def run(batches):
         codes = _Codes()
         for b in batches:
-            packed, count = [], []
+            spans, phases, count = [], [], []
             for text in b.column(0).to_pylist():
-                raw = text.encode("utf-8", "surrogatepass") if text else b""
-                words = raw.split()
-                phase = zlib.crc32(raw) % stride
-                spots = np.arange(phase, len(words), stride)
-                if not len(spots):
-                    continue
-                near = spots[:, None] + np.array([*_OFFSETS, 0])
-                inside = (near >= 0) & (near < len(words))
-                rows = np.full(near.shape, _PAD, np.uint16)
-                rows[inside] = [codes[words[i]] for i in near[inside].tolist()]
-                packed.append(rows.tobytes())
-                count.append(len(spots))
-            yield pa.record_batch([pa.array(packed, pa.binary()), pa.array(count, pa.int64())],
-                                  names=["windows", "n"])
+                words = codes_of(text, codes)
+                raw = text.encode("utf-8", "surrogatepass") if text and stride > 1 else b""
+                phase, sequence = zlib.crc32(raw) % stride, padded(words).astype(np.uint16)
+                for a in range(0, len(words), SPAN):
+                    size, first = min(SPAN, len(words) - a), (phase - a) % stride
+                    if first < size:
+                        spans.append(sequence[a:a + size + 2 * RADIUS].tobytes())
+                        phases.append(first)
+                        count.append(len(range(first, size, stride)))
+            yield pa.record_batch([pa.array(spans, pa.binary()), pa.array(phases, pa.int64()),
+                                   pa.array(count, pa.int64())], names=["codes", "phase", "n"])
 
     return docs.select(F.col(text_col).cast("string")).mapInArrow(
-        run, "windows binary, n long")
+        run, "codes binary, phase long, n long")
+
+
+def windows_of(span: bytes, phase: int, stride: int) -> np.ndarray:
+    """Rows of (context codes, code), one per target of a span."""
+    near = np.lib.stride_tricks.sliding_window_view(np.frombuffer(span, np.uint16), 2 * RADIUS + 1)
+    return near[phase::stride][:, [RADIUS + o for o in (*_OFFSETS, 0)]]
 
 
 def fit(docs: DataFrame, text_col: str = "text", stride: int = STRIDE,
@@ -202,22 +208,22 @@ def fit(docs: DataFrame, text_col: str = "text", stride: int = STRIDE,
     # dealt in turn, so that copies of a text don't meet in one shard; stored, so
     # that a row stays in its shard
     shards = max(1, math.ceil(total / SHARD_WINDOWS))
-    dealt = sh.stored(samples.select("windows", "n").repartition(shards).withColumn(
+    dealt = sh.stored(samples.repartition(shards).withColumn(
         "shard", F.spark_partition_id()), "shards")
     for turn in range(rounds):
-        network = _averaged_round(dealt, network, turn)
+        network = _averaged_round(dealt, network, turn, stride)
     return network
 
 
-def _averaged_round(dealt: DataFrame, network: Network, turn: int) -> Network:
+def _averaged_round(dealt: DataFrame, network: Network, turn: int, stride: int) -> Network:
     """Every shard trains the network once; the result is their weighted average."""
     flat = network.flat
     cuts = np.linspace(0, len(flat), BLOCKS + 1).astype(int)
 
     def train(key, tab):
         shard = key[0].as_py()
-        blobs = sorted(x.as_py() for x in tab["windows"])
-        rows = np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, _SIDES + 1).astype(np.int32)
+        spans = sorted(zip(tab["codes"].to_pylist(), tab["phase"].to_pylist()))
+        rows = np.concatenate([windows_of(x, phase, stride) for x, phase in spans])
         mine = Network(flat.copy())
         mine.train(rows, 1000 * turn + shard)
         return pa.table({

@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 
@@ -99,6 +100,22 @@ def test_training_windows_grow_with_the_corpus(spark, odd_docs):
     assert one > 1000 and two == 2 * one
 
 
+def test_every_word_is_a_target(spark, odd, odd_docs, monkeypatch):
+    """Short texts and long ones cut into spans: the default trains on each word, once."""
+    monkeypatch.setattr(lm, "SPAN", 50)
+    found, fitted = [], inspect.signature(lm.fit).parameters["stride"].default
+    for r in lm.training_windows(odd_docs, "text", fitted).collect():
+        rows = lm.windows_of(bytes(r.codes), r.phase, fitted)
+        assert len(rows) == r.n <= 50
+        found += map(tuple, rows.tolist())
+    want = []
+    for _, text, *_ in odd:
+        codes = lm.codes_of(text, lm._Codes()).tolist()
+        at = dict(enumerate(codes))
+        want += [(*(at.get(i + o, lm._PAD) for o in lm._OFFSETS), c) for i, c in enumerate(codes)]
+    assert sorted(found) == sorted(want)
+
+
 def test_shards_average_the_same_every_time(odd_docs, monkeypatch):
     monkeypatch.setattr(lm, "SHARD_WINDOWS", 300)
     a, b = (lm.fit(odd_docs, stride=16, rounds=1).flat for _ in range(2))
