@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontamination, licenses, lm_scoring, nearest, oracle, packing, quality,
-               simhash_dedup, substring_dedup, suffix_dedup, token_rollup)
+               simhash_dedup, spelling, substring_dedup, suffix_dedup, token_rollup)
 from ._shared import shared_dir, table
 
 #: numeric metadata the quality classifier sees besides the text
@@ -93,6 +93,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -104,6 +108,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_nearest": op9_nearest,
     "op10_licenses": op10_licenses,
+    "op11_spelling": op11_spelling,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)
