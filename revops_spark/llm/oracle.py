@@ -75,9 +75,39 @@ first AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim
           FROM best WHERE similarity >= 0.8)
 SELECT doc_id, item_id, s - 1 AS start, size AS n_words, similarity FROM first WHERE nth = 1"""
 
+# f counts every phrase of 1 to 4 words; each candidate is cut in every way and
+# held against every longer candidate that has its words
+COLLOCATIONS = """
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words FROM documents),
+gram AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+         FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+               FROM piece, (VALUES (1), (2), (3), (4)) AS size(k) WHERE len(words) >= k)),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM gram GROUP BY lang, k, phrase),
+total AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k >= 2 AND f >= 30),
+cut AS (SELECT cand.*, c, lhs.f AS l, rhs.f AS r, (2000000 * a) // (lhs.f + rhs.f) AS score
+        FROM cand, (VALUES (1), (2), (3)) AS cuts(c), f AS lhs, f AS rhs
+        WHERE c < cand.k AND lhs.lang = cand.lang AND rhs.lang = cand.lang
+          AND lhs.phrase = array_to_string(words[1:c], ' ')
+          AND rhs.phrase = array_to_string(words[c + 1:cand.k], ' ')),
+lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+inner_part AS (SELECT lang, k, a, array_to_string(words[i:i + s - 1], ' ') AS phrase
+               FROM (SELECT cand.*, s, unnest(range(1, k - s + 2)) AS i
+                     FROM cand, (VALUES (2), (3)) AS size(s) WHERE s < k)),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM inner_part GROUP BY lang, phrase),
+ranked AS (SELECT lowest.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+           FROM lowest LEFT JOIN longer USING (lang, phrase)
+           WHERE longer IS NULL OR 100 * longer < 80 * a)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total USING (lang) WHERE rank <= 2000"""
+
 ORACLE_SQL = {
     "op3_substring_dedup": SUBSTRING,
     "op5_decontamination": DECONTAMINATION,
     "op8_suffix_dedup": SUFFIX,
     "op10_licenses": licenses.oracle_sql(),
+    "op13_collocations": COLLOCATIONS,
 }

@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, licenses, lm_scoring, nearest, oracle, packing, quality,
+from . import (collocations, decontamination, fingerprints, licenses, lm_scoring, nearest, oracle, packing, quality,
                simhash_dedup, spelling, substring_dedup, suffix_dedup, token_rollup)
 from ._shared import shared_dir, table
 
@@ -97,6 +97,14 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_lm_scoring": op2_lm_scoring,
@@ -109,6 +117,8 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_licenses": op10_licenses,
     "op11_spelling": op11_spelling,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = dict(oracle.ORACLE_SQL)

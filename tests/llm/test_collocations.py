@@ -1,0 +1,99 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from revops_spark.llm import collocations as co
+
+
+def lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def plain(rows, least=30, top=2000):
+    """Every phrase counted, every cut and every longer phrase looked at."""
+    f = defaultdict(Counter)
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", lower(text or "")):
+            words = re.findall(r"[^ \t]+", piece)
+            for k in range(1, 5):
+                for i in range(len(words) - k + 1):
+                    f[lang][tuple(words[i:i + k])] += 1
+    out = []
+    for lang, counts in f.items():
+        n = sum(c for p, c in counts.items() if len(p) == 1)
+        cand = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        covered = {p[i:j] for p, b in cand.items() for i in range(len(p)) for j in range(i + 2, len(p) + 1)
+                   if j - i < len(p) and 100 * b >= 80 * counts[p[i:j]]}
+        rows = []
+        for p, a in cand.items():
+            if p not in covered:
+                score, _, l, r = min((2000000 * a // (counts[p[:k]] + counts[p[k:]]), k,
+                                      counts[p[:k]], counts[p[k:]]) for k in range(1, len(p)))
+                rows.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (s, a, phrase, l, r) in enumerate(sorted(rows)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, n, -s))
+    return sorted(out)
+
+
+def result(df):
+    assert df.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(r) for r in df.collect())
+
+
+def corpus(seed, n=200):
+    """Random sentences of a small vocabulary with fixed phrases in them, in
+    several languages, one of them almost without text."""
+    rng = random.Random(seed)
+    vocabulary = ["the", "of", "a", "New", "york", "city", "Québec", "日本", "x", "y", "z", "to"]
+    fixed = ["new york city hall", "the state of", "x y z x", "of the", "日本 québec"]
+    rows = []
+    for i in range(n):
+        parts = []
+        for _ in range(rng.randint(0, 12)):
+            parts.append(rng.choice(fixed) if rng.random() < 0.4 else rng.choice(vocabulary[:rng.randint(1, 12)]))
+            parts.append(rng.choice([" ", " ", " ", "  ", "\t", ". ", ",", "\n"]))
+        rows.append(("".join(parts), rng.choice(["en", "en", "en", None, "fr", "und"])))
+    return rows + [("one two one two", "xx"), ("", "zz"), (None, "en"), (". , ;", None)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "text string, lang string").repartition(3)
+
+
+@pytest.mark.parametrize("least,top,width,bits,held", [
+    (3, 2000, None, 24, 1 << 20), (3, 5, None, 24, 1 << 20), (2, 4, 1, 4, 50), (30, 10, 3, 10, 200)])
+def test_equals_counting_everything(spark, monkeypatch, least, top, width, bits, held):
+    """Few and many results, narrow first frontiers, crowded bit filters, small sums."""
+    monkeypatch.setattr(co, "FILTER_BITS", bits)
+    monkeypatch.setattr(co, "HELD_ROWS", held)
+    monkeypatch.setattr(co, "BATCH_BYTES", 500)
+    rows = corpus(least * top)
+    got = result(co.collocations(frame(spark, rows), least=least, top=top, width=width))
+    assert got and got == plain(rows, least, top)
+
+
+def test_ties_at_the_last_rank(spark):
+    rows = [(f"{w} b{i}" if i % 2 else f"{w} b{i} c{i} d{i}", "en") for i, w in enumerate("zyxwvutsrq")] * 4
+    got = result(co.collocations(frame(spark, rows), least=3, top=4))
+    assert got == plain(rows, 3, 4) and len({s for *_, s in got}) == 1
+
+
+def test_odd_documents(odd, odd_docs):
+    rows = [(r[1], r[2]) for r in odd]
+    assert result(co.collocations(odd_docs, least=3, top=50)) == plain(rows, 3, 50)
+
+
+def test_scores_beyond_64_bits(spark):
+    """The product and the sum of counts near 2**62 are exact."""
+    from pyspark.sql import functions as F
+    a, both = (1 << 62) - 5, (1 << 62) + 12345
+    got = spark.range(1).select(
+        F.expr(co._score(f"{a}L", co._wide(f"{a}L", f"{both}L")))).first()[0]
+    assert got == 2000000 * a // (a + both)
+
+
+def test_empty_table(no_docs):
+    assert co.collocations(no_docs).collect() == []
