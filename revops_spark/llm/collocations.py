@@ -70,8 +70,8 @@ def _key(words: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _slots(words: list[np.ndarray]) -> np.ndarray:
-    return (_key(words) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _slots(words: list[np.ndarray], bits: int) -> np.ndarray:
+    return (_key(words) >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def _hashed(part: list[tuple[str, bytes]]) -> tuple[Words, np.ndarray]:
@@ -81,11 +81,11 @@ def _hashed(part: list[tuple[str, bytes]]) -> tuple[Words, np.ndarray]:
     return words, sh.mixed(words.hash ^ of_lang[words.doc])
 
 
-def _parts(batches):
+def _parts(batches, most: int):
     for batch in batches:
         rows = ((lang, text.as_py().encode())
                 for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)) if text.is_valid)
-        yield from by_size(rows, lambda r: len(r[1]), BATCH_BYTES)
+        yield from by_size(rows, lambda r: len(r[1]), most)
 
 
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -95,6 +95,7 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(lang, w, word, n) of every word."""
+    most, held = BATCH_BYTES, HELD_ROWS // 4
 
     def run(batches):
         total: dict[int, list] = {}
@@ -106,7 +107,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                  pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
                 names=["lang", "w", "word", "n"])
 
-        for part in _parts(batches):
+        for part in _parts(batches, most):
             words, hashes = _hashed(part)
             found, first, counts = np.unique(hashes, return_index=True, return_counts=True)
             for h, i, n in zip(found.tolist(), first.tolist(), counts.tolist()):
@@ -115,7 +116,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                     total[h] = [part[words.doc[i]][0], words.text(i).decode(), n]
                 else:
                     row[2] += n
-            if len(total) >= HELD_ROWS // 4:
+            if len(total) >= held:
                 yield rows()
                 total.clear()
         yield rows()
@@ -126,11 +127,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def filter_bits(phrases: DataFrame, size: int) -> bytes:
     """A bit filter of phrases: 2**FILTER_BITS bits, packed in slices by Spark."""
-    slice_bits = min(16, FILTER_BITS)
+    bits_log, slice_bits = FILTER_BITS, min(16, FILTER_BITS)
 
     def slots(batches):
         for b in batches:
-            at = _slots([c.to_numpy().view(np.uint64) for c in b.columns]) if b.num_rows else []
+            at = _slots([c.to_numpy().view(np.uint64) for c in b.columns], bits_log) if b.num_rows else []
             yield pa.record_batch([pa.array(at, pa.int64())], names=["slot"])
 
     def packed(rows: pa.Table) -> pa.Table:
@@ -190,12 +191,13 @@ def count_phrases(texts: DataFrame, size: int, filters: list[tuple[bytes, int, b
     """(w1, ..., a): the phrases of `size` words that occur at least `least` times
     and pass every filter (bits, words, every): all, or any one, of the phrase's
     parts of so many words are in the bits."""
+    most, held = BATCH_BYTES, HELD_ROWS
 
     def run(batches):
         tests = [(np.unpackbits(np.frombuffer(bits, np.uint8)).view(bool), words, every)
                  for bits, words, every in filters]
         counter = _Counter(size)
-        for part in _parts(batches):
+        for part in _parts(batches, most):
             words, h = _hashed(part)
             if len(h) < size:
                 continue
@@ -203,14 +205,14 @@ def count_phrases(texts: DataFrame, size: int, filters: list[tuple[bytes, int, b
             for bits, within, every in tests:
                 keep = None
                 for o in range(size - within + 1):
-                    hit = bits[_slots([h[at + o + k] for k in range(within)])]
+                    hit = bits[_slots([h[at + o + k] for k in range(within)], len(bits).bit_length() - 1)]
                     keep = hit if keep is None else keep & hit if every else keep | hit
                 at = at[keep]
             if len(at):
                 counter.add([h[at + k] for k in range(size)])
-            if counter.rows >= 2 * HELD_ROWS:
+            if counter.rows >= 2 * held:
                 counter.compact()
-                if counter.rows >= HELD_ROWS:
+                if counter.rows >= held:
                     yield from counter.batches()
         yield from counter.batches()
 
