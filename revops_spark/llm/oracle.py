@@ -78,21 +78,23 @@ SELECT doc_id, item_id, s - 1 AS start, size AS n_words, similarity FROM first W
 # f counts every phrase of 1 to 4 words; each candidate is cut in every way and
 # held against every longer candidate that has its words
 COLLOCATIONS = """
-WITH piece AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
-                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                 '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS words FROM documents),
+WITH part AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+piece AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM part),
+sized AS (SELECT lang, words, unnest(range(1, least(len(words), 4) + 1)) AS k FROM piece),
 gram AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
-         FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
-               FROM piece, (VALUES (1), (2), (3), (4)) AS size(k) WHERE len(words) >= k)),
-f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM gram GROUP BY lang, k, phrase),
+         FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM sized)),
+f AS MATERIALIZED (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS f FROM gram GROUP BY lang, k, phrase),
 total AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
 cand AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS words, f AS a FROM f WHERE k >= 2 AND f >= 30),
-cut AS (SELECT cand.*, c, lhs.f AS l, rhs.f AS r, (2000000 * a) // (lhs.f + rhs.f) AS score
-        FROM cand, (VALUES (1), (2), (3)) AS cuts(c), f AS lhs, f AS rhs
-        WHERE c < cand.k AND lhs.lang = cand.lang AND rhs.lang = cand.lang
-          AND lhs.phrase = array_to_string(words[1:c], ' ')
-          AND rhs.phrase = array_to_string(words[c + 1:cand.k], ' ')),
-lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+cut AS (SELECT lang, k, phrase, a, c, array_to_string(words[1:c], ' ') AS lhs,
+               array_to_string(words[c + 1:k], ' ') AS rhs
+        FROM (SELECT cand.*, unnest(range(1, k)) AS c FROM cand)),
+scored AS (SELECT cut.*, x.f AS l, y.f AS r, (2000000 * a) // (x.f + y.f) AS score
+           FROM cut JOIN f AS x ON x.lang = cut.lang AND x.phrase = lhs
+                    JOIN f AS y ON y.lang = cut.lang AND y.phrase = rhs),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
 inner_part AS (SELECT lang, k, a, array_to_string(words[i:i + s - 1], ' ') AS phrase
                FROM (SELECT cand.*, s, unnest(range(1, k - s + 2)) AS i
                      FROM cand, (VALUES (2), (3)) AS size(s) WHERE s < k)),
