@@ -114,7 +114,7 @@ exp_base AS (
          {_assign("CAST(o_orderkey AS VARCHAR)")},
          CAST(o_orderdate AS DATE) AS assigned_date,
          CAST(o_totalprice AS DECIMAL(18,2)) AS pre_experiment_mrr,
-         CASE WHEN o_orderkey % 100 < (CASE WHEN c_acctbal < 3000 THEN 50 ELSE 30 END)
+         CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
               THEN 'churned' ELSE 'renewed' END AS outcome
   FROM exp_units
 ),
@@ -429,6 +429,13 @@ SELECT sub_id AS experiment_id, account_id, sub_id, risk_tier AS risk_tier_at_as
        CAST(mrr_cents AS DOUBLE) / 100.0 AS pre_experiment_mrr
 FROM health WHERE health_score < 65"""
 
+# as read back from CSV: a blank source is missing
+LEADS_CSV_ROUND_TRIP = _with(LEADS) + """
+SELECT lead_id, segment, CASE WHEN lead_source = '' THEN NULL
+         ELSE concat_ws(chr(10), lead_source || ', "' || status || '"', segment) END AS lead_source,
+       status, CAST(created_at AS VARCHAR) AS created_at
+FROM leads"""
+
 STG = {
     "stg_accounts": _with(ACCOUNTS) + """
 SELECT account_id, company_name, segment, industry, region, CAST(arr AS DOUBLE) AS arr,
@@ -475,5 +482,7 @@ ORACLE_SQL: dict[str, str] = {
     "revenue_events_from_subs": REVENUE_EVENTS_FROM_SUBS,
     "health_scores": HEALTH_SCORES,
     "experiment_assignment": EXPERIMENT_ASSIGNMENT,
+    "leads_csv_round_trip": LEADS_CSV_ROUND_TRIP,
+    "churn_ab_from_tables": CHURN_AB_RESULTS,
     **STG,
 }

@@ -1,7 +1,8 @@
 """Command line: the reference's three steps, plus export.
 
     python -m revops_spark load    --csv-dir DIR [--format csv|parquet] [--schema raw]
-                                   [--mode overwrite|append] [--buckets N]
+                                   [--mode overwrite|append] [--repeat] [--buckets N]
+                                   [--single-line]
     python -m revops_spark build   [--raw-schema raw] [--mart-schema mart] [--dashboard]
     python -m revops_spark ab-test [--mart-schema mart] [--alpha 0.05] [--power 0.8]
                                    [--closed-form-power]
@@ -43,8 +44,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--schema", default="raw")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
+    p.add_argument("--repeat", action="store_true",
+                   help="append files that an earlier load appended once more")
     p.add_argument("--buckets", type=int, default=None,
                    help="bucket the joined tables by their join key (co-located join)")
+    p.add_argument("--single-line", action="store_true",
+                   help="no field holds a line end, so large CSV files are split")
     p = sub.add_parser("build", help="staging views and the mart tables")
     p.add_argument("--raw-schema", default="raw")
     p.add_argument("--mart-schema", default="mart")
@@ -60,6 +65,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--csv-dir", required=True, help="folder holding <table>.csv (or .parquet)")
     p.add_argument("--format", default="csv", choices=["csv", "parquet"])
     p.add_argument("--buckets", type=int, default=None)
+    p.add_argument("--single-line", action="store_true")
     p.add_argument("--dashboard", action="store_true")
     p.add_argument("--closed-form-power", action="store_true")
     p = sub.add_parser("export", help="write a table as CSV with a header")
@@ -69,7 +75,8 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = configure(SparkSession.builder.appName("revops_spark").getOrCreate())
     if args.command == "load":
-        _loaded(load_all(spark, args.csv_dir, args.schema, args.mode, args.buckets, args.format))
+        _loaded(load_all(spark, args.csv_dir, args.schema, args.mode, args.buckets, args.format,
+                         not args.single_line, args.repeat))
     elif args.command == "build":
         run_build(spark, raw_schema=args.raw_schema, mart_schema=args.mart_schema,
                   dashboard=args.dashboard).show(truncate=False)
@@ -79,7 +86,8 @@ def main(argv: list[str] | None = None) -> None:
         significance.show(truncate=False)
         power.show(truncate=False)
     elif args.command == "all":
-        _loaded(load_all(spark, args.csv_dir, "raw", "overwrite", args.buckets, args.format))
+        _loaded(load_all(spark, args.csv_dir, "raw", "overwrite", args.buckets, args.format,
+                         not args.single_line))
         run_build(spark, raw_schema="raw", mart_schema="mart",
                   dashboard=args.dashboard).show(truncate=False)
         significance, power = run_ab_analysis(spark, "mart", exact_power=not args.closed_form_power)

@@ -25,18 +25,49 @@ RETENTION_TREATMENTS = ["csm_strategic_call", "audit_prep_discount_10pct",
 NEWTON_STEPS = 3    # from the closed form: quadratic convergence, exact to double precision
 
 
+KEY_BITS = 1 << 22  # bits of a key filter: at most 65,536 rows of 64
+
+
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BITS))
+
+
+def key_filter(rows: DataFrame, key: str) -> DataFrame:
+    """(word, mask): a bit set of the hashes of `key`, 1 MB whatever the input's size."""
+    slot = _slot(key)
+    return rows.select((slot / 64).cast("int").alias("word"),
+                       F.expr(f"shiftleft(1L, CAST(pmod(xxhash64({key}), {KEY_BITS}) % 64 AS INT))").alias("bit")
+                       ).groupBy("word").agg(F.bit_or("bit").alias("mask"))
+
+
+def may_match(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be in the filter: all that are, few others. The filter
+    is broadcast: it has at most KEY_BITS / 64 rows."""
+    columns = rows.columns
+    hit = F.expr(f"shiftright(mask, CAST(pmod(xxhash64({key}), {KEY_BITS}) % 64 AS INT)) & 1") == 1
+    return rows.withColumn("word", (_slot(key) / 64).cast("int")).join(
+        F.broadcast(keys), "word").filter(hit).select(*columns)
+
+
 def eligible_for_experiment(health: DataFrame, subs: DataFrame,
-                            assignment_lag_days: int = 5, strict: bool = True) -> DataFrame:
+                            assignment_lag_days: int = 5, strict: bool = True,
+                            reduce: bool = False) -> DataFrame:
     """BR7 (FLT4 + JN1): at-risk snapshots with their subscription's mrr.
 
     Output: account_id, sub_id, risk_tier_at_assignment, assigned_date,
     pre_experiment_mrr. The subscription lookup is an equi-join on sub_id. A
     snapshot whose subscription is missing fails the job, as it does in the
     reference; `strict=False` leaves such snapshots out instead.
+
+    `reduce` filters the subscriptions by the at-risk snapshots' keys before
+    they are shuffled. The snapshots are read twice for it, so it pays where
+    they are a stored table and few of many are at risk.
     """
     at_risk = health.filter(F.col("risk_tier").isin(ELIGIBLE_TIERS))
     mrr = subs.select("sub_id", F.col("mrr").alias("pre_experiment_mrr"),
                       F.lit(True).alias("_found"))
+    if reduce:
+        mrr = may_match(mrr, "sub_id", key_filter(at_risk, "sub_id"))
     joined = at_risk.join(mrr, "sub_id", "left" if strict else "inner")
     if strict:
         missing = F.concat(F.lit("no subscription "), F.coalesce("sub_id", F.lit("NULL")))

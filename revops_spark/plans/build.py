@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import experiments as ex
 from ..operators import marts as m
 from ..operators.staging import STAGING
-from ..sources.files import (ensure_schema, fetch_ab_test_data, layer_schema, raw_table,
-                             write_table, write_view)
+from ..sources.files import (ensure_schema, export_csv, fetch_ab_test_data, layer_schema,
+                             load_all, raw_table, write_table, write_view)
 
 LEAD_TALLIES = "lead_tallies"
 
@@ -102,6 +102,20 @@ def run_build(spark: SparkSession, raw: dict[str, DataFrame] | None = None,
     return build_marts(spark, staging, mart_schema, dashboard=dashboard)
 
 
+def load_and_build(spark: SparkSession, raw: dict[str, DataFrame], folder: str,
+                   raw_schema: str, mart_schema: str) -> None:
+    """The reference's steps from end to end: every raw table exported as CSV files
+    into `folder`, loaded from there into catalogue tables, staging views and mart
+    tables built on them."""
+    for name, df in raw.items():
+        export_csv(df, f"{folder}/{name}.csv", mode="errorifexists")
+    # the adapters' values hold no line end, so large files may be split
+    failed = load_all(spark, folder, raw_schema, multi_line=False).filter("status = 'failed'").collect()
+    if failed:
+        raise ValueError(f"tables not loaded: {[(r.table_name, r.error) for r in failed]}")
+    run_build(spark, raw_schema=raw_schema, mart_schema=mart_schema)
+
+
 def run_ab_analysis(spark: SparkSession, mart_schema: str = "mart", alpha: float = 0.05,
                     power: float = 0.80, exact_power: bool = True) -> tuple[DataFrame, DataFrame]:
     """The A/B script: significance per tier and overall, then power, both read

@@ -8,16 +8,20 @@ exactly across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import experiments as ex
 from ..operators import lifecycle as lc
 from ..operators import marts as m
 from ..operators import staging as stg
+from ..sources import files
 from ..sources import testdata as td
+from . import build
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,6 +163,33 @@ def experiment_assignment(spark, d):
     return report(ex.build_experiments(eligible, "sub_id", td.EXPERIMENT_SALT))
 
 
+# --- through files and catalogue tables ----------------------------------------
+def leads_csv_round_trip(spark, d):
+    """SRC1, SC8, SNK1, SNK4: all leads written as CSV and read back by header.
+
+    The file has its columns in another order and case; the sources hold commas,
+    quotes and line ends, and some are blank.
+    """
+    leads = td.leads(spark, d)
+    said = F.concat_ws("\n", F.concat("lead_source", F.lit(', "'), "status", F.lit('"')), "segment")
+    leads = leads.withColumn("lead_source", F.when(F.col("lead_source") == "", "").otherwise(said))
+    path = f"{files.shared_folder(spark)}/{uuid.uuid4().hex}/leads.csv"
+    files.export_csv(leads.select(*[F.col(c).alias(c.upper()) for c in reversed(leads.columns)]), path,
+                     mode="errorifexists")
+    return report(stg.stg_leads(files.read_csv_table(spark, path, "leads")))
+
+
+def churn_ab_from_tables(spark, d):
+    """SRC2, SRC4, SNK2, SNK3, SNK5-SNK7: MRT5 as read from the mart that load and
+    build wrote, from CSV files of all eight raw tables over catalogue tables and
+    staging views. The raw tables are dropped again."""
+    run = uuid.uuid4().hex[:12]
+    raw = {name: adapter(spark, d) for name, adapter in td.RAW_ADAPTERS.items()}
+    build.load_and_build(spark, raw, f"{files.shared_folder(spark)}/{run}", f"raw_{run}", f"mart_{run}")
+    spark.sql(f"DROP SCHEMA raw_{run} CASCADE")
+    return report(files.fetch_ab_test_data(spark, f"mart_{run}"))
+
+
 # --- staging models over every adapter ---------------------------------------
 def _staged(name: str) -> Query:
     def run(spark, d):
@@ -168,6 +199,9 @@ def _staged(name: str) -> Query:
     return run
 
 
+# run several jobs and write files and tables before they return
+MULTI_STEP = ["leads_csv_round_trip", "churn_ab_from_tables"]
+
 QUERIES: dict[str, Query] = {
     "leads_funnel": leads_funnel,
     "conversion_rates": conversion_rates,
@@ -187,5 +221,7 @@ QUERIES: dict[str, Query] = {
     "revenue_events_from_subs": revenue_events_from_subs,
     "health_scores": health_scores,
     "experiment_assignment": experiment_assignment,
+    "leads_csv_round_trip": leads_csv_round_trip,
+    "churn_ab_from_tables": churn_ab_from_tables,
     **{f"stg_{name}": _staged(name) for name in stg.STAGING},
 }

@@ -73,10 +73,22 @@ RAW_TABLES: dict[str, T.StructType] = {
 
 LOAD_ORDER = list(RAW_TABLES)
 
+# The tables a table's rows refer to: loaded before it (SNK3).
+PARENTS: dict[str, list[str]] = {
+    "opportunities": ["leads", "accounts", "sales_reps"],
+    "subscriptions": ["opportunities", "accounts"],
+    "revenue_events": ["subscriptions"],
+    "customer_health_scores": ["subscriptions"],
+    "retention_experiments": ["subscriptions"],
+}
+
 # Raw tables joined on a key by the library (JN1: health snapshot -> its
-# subscription). Bucketing both by that key, with the same bucket count,
-# lets the join run as a sort-merge join without a shuffle on either side.
+# subscription; an opportunity and the revenue events of its order). Bucketing
+# both by that key, with the same bucket count, lets the join run as a
+# sort-merge join without a shuffle on either side.
 JOIN_KEYS: dict[str, str] = {
+    "opportunities": "opp_id",
     "subscriptions": "sub_id",
+    "revenue_events": "sub_id",
     "customer_health_scores": "sub_id",
 }

@@ -29,6 +29,7 @@ EVENT_TO_STATUS = {"view": "New", "click": "MQL", "signup": "SQL", "purchase": "
                    "error": "Disqualified"}
 ORDER_STATUS_TO_STAGE = {"F": "Closed Won", "O": "Closed Lost", "P": "Negotiation"}
 RETURN_FLAG_TO_EVENT = {"N": "new", "A": "expansion", "R": "churn"}
+RETURNED, ACCEPTED = "R", "A"             # return flags of a line item
 BLANK_PRIORITY = "4-NOT SPECIFIED"
 DEFAULT_PLAN = "SOC2 Starter"
 AS_OF = dt.date(2001, 12, 31)             # end of the order history
@@ -59,6 +60,10 @@ SOURCE_SCHEMAS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder `sf_dir`, or of a layout that stands for one."""
+    stored = getattr(sf_dir, "stored", None)
+    if stored and (found := stored(spark, name)) is not None:
+        return found
     reader = spark.read
     if name in SOURCE_SCHEMAS:
         reader = reader.schema(SOURCE_SCHEMAS[name])
@@ -93,13 +98,33 @@ def leads(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
     )
 
 
+def _line_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per order, in one pass over its line items: the last shipment, when a returned
+    line and an accepted one take effect (a change waits for the end of its term,
+    a year after the line was shipped), and the accepted lines' yearly amount.
+
+    What a query doesn't use of it is pruned, down to the scan.
+    """
+    shipped, flag = F.col("l_shipdate"), F.col("l_returnflag")
+
+    def effective(which):
+        return F.add_months(F.max(F.when(which, shipped)).cast("date"), TERM_MONTHS)
+
+    return (table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max(shipped).cast("date").alias("last_ship"),
+        effective(flag == RETURNED).alias("cancelled_on"),
+        effective(flag == ACCEPTED).alias("expanded_on"),
+        F.sum(F.when(flag == ACCEPTED, money("l_extendedprice"))).alias("accepted_amount")))
+
+
 def opportunities(spark: SparkSession, sf_dir: str, stages: list[str] | None = None,
-                  with_segment: bool = True) -> DataFrame:
+                  with_segment: bool = True, keep: list[str] | None = None) -> DataFrame:
     """One opportunity per order; it closes at its last shipment.
 
     `stages` filters the raw order status, which reaches the scan;
-    `with_segment=False` spares the customer join (segment is then NULL). The
-    customer join is plain, so AQE splits a customer with very many orders.
+    `with_segment=False` spares the customer join (segment is then NULL); `keep`
+    names further columns of the line items' roll-up. The customer join is plain,
+    so AQE splits a customer with very many orders.
     """
     orders = table(spark, sf_dir, "orders")
     if stages is not None:
@@ -110,14 +135,11 @@ def opportunities(spark: SparkSession, sf_dir: str, stages: list[str] | None = N
         orders = orders.join(cust, "o_custkey", "left")
     else:
         orders = orders.withColumn("segment", F.lit(None).cast("string"))
-    last_ship = (table(spark, sf_dir, "lineitem")
-                 .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-                 .agg(F.max("l_shipdate").alias("last_ship")))
     created = F.col("o_orderdate").cast("date")
-    close = F.greatest(created, F.coalesce(F.col("last_ship").cast("date"), created))
+    close = F.greatest(created, F.coalesce(F.col("last_ship"), created))
     key, cust_key = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     priority = F.col("o_orderpriority")
-    return (orders.join(last_ship, "o_orderkey", "left")
+    return (orders.join(_line_rollup(spark, sf_dir), "o_orderkey", "left")
             .select(
                 key.alias("opp_id"), key.alias("lead_id"), cust_key.alias("account_id"),
                 cust_key.alias("rep_id"), "segment",
@@ -126,7 +148,7 @@ def opportunities(spark: SparkSession, sf_dir: str, stages: list[str] | None = N
                 F.lit(DEFAULT_PLAN).alias("plan"),
                 lookup("o_orderstatus", ORDER_STATUS_TO_STAGE).alias("stage"),
                 money("o_totalprice").alias("amount"),
-                created.alias("created_date"), close.alias("close_date")))
+                created.alias("created_date"), close.alias("close_date"), *(keep or [])))
 
 
 def revenue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,25 +175,26 @@ def at_risk_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_experiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders of at-risk customers are the experiment units.
 
-    Tier by balance; arm by the deterministic md5 split (BR8); churn by a rule
-    on the order key: 50 % of high_risk units, 30 % of watch units.
+    Tier by balance; arm by the deterministic md5 split (BR8); a unit with a
+    returned line item has churned, as a subscription has.
     """
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     cust = at_risk_customers(spark, sf_dir).select(
         F.col("c_custkey").alias("o_custkey"), "c_acctbal")
+    returned = (table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == RETURNED)
+                .select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+                .withColumn("returned", F.lit(True)))
     tier = F.when(F.col("c_acctbal") < 3000, F.lit("high_risk")).otherwise(F.lit("watch"))
     key = F.col("o_orderkey").cast("string")
-    units = orders.join(cust, "o_custkey", "inner").select(
+    units = orders.join(cust, "o_custkey", "inner").join(returned, "o_orderkey", "left").select(
         "o_orderkey", key.alias("experiment_id"),
         F.col("o_custkey").cast("string").alias("account_id"), key.alias("sub_id"),
         tier.alias("risk_tier_at_assignment"),
         F.col("o_orderdate").cast("date").alias("assigned_date"),
-        money("o_totalprice").alias("pre_experiment_mrr"))
-    cut = F.when(F.col("risk_tier_at_assignment") == "high_risk", F.lit(50)).otherwise(F.lit(30))
-    outcome = F.when(F.col("o_orderkey") % 100 < cut, F.lit("churned")).otherwise(F.lit("renewed"))
-    assigned = assign_variant(units, "o_orderkey", EXPERIMENT_SALT).withColumn("outcome", outcome)
-    return assigned.select(
+        money("o_totalprice").alias("pre_experiment_mrr"),
+        F.when(F.col("returned"), F.lit("churned")).otherwise(F.lit("renewed")).alias("outcome"))
+    return assign_variant(units, "o_orderkey", EXPERIMENT_SALT).select(
         "experiment_id", "account_id", "sub_id", "risk_tier_at_assignment", "variant",
         "treatment_type", "assigned_date", "pre_experiment_mrr", "outcome",
         renewal_mrr("outcome", "pre_experiment_mrr").alias("renewal_mrr"))
@@ -204,27 +227,10 @@ def _activity(spark: SparkSession, sf_dir: str, since: dt.date = ACTIVITY_SINCE)
         F.date_diff(F.lit(ACTIVITY_UNTIL), "last_seen").alias("days_idle"))
 
 
-def _flagged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: when a returned line and an accepted one take effect, and the
-    accepted lines' yearly amount. A change waits for the end of its term, a
-    year after the line was shipped."""
-    li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag").isin("R", "A")).select(
-        F.col("l_orderkey").cast("string").alias("opp_id"), "l_returnflag", "l_shipdate",
-        "l_extendedprice")
-    returned, accepted = F.col("l_returnflag") == "R", F.col("l_returnflag") == "A"
-
-    def effective(which):
-        return F.add_months(F.max(F.when(which, F.col("l_shipdate"))).cast("date"), TERM_MONTHS)
-
-    return li.groupBy("opp_id").agg(
-        effective(returned).alias("cancelled_on"), effective(accepted).alias("expanded_on"),
-        F.sum(F.when(accepted, money("l_extendedprice"))).alias("accepted_amount"))
-
-
 def _won(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The won opportunities with what their flagged lines say."""
-    return opportunities(spark, sf_dir, [WON_STAGE], with_segment=False).join(
-        _flagged_lines(spark, sf_dir), "opp_id", "left")
+    """The won opportunities with what their line items say."""
+    return opportunities(spark, sf_dir, [WON_STAGE], with_segment=False,
+                         keep=["cancelled_on", "expanded_on", "accepted_amount"])
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ def test_entry_module_loads_by_path_from_elsewhere(spark, monkeypatch, tmp_dir):
     spec.loader.exec_module(mod)
     queries, sql = mod.queries(), mod.oracle_sql()
     own = set(QUERIES)
-    assert len(own) == 26 and own <= set(queries) and own <= set(sql) <= set(queries)
+    assert len(own) == 28 and own <= set(queries) and own <= set(sql) <= set(queries)
     assert all(callable(q) for q in queries.values()) and all(isinstance(s, str) for s in sql.values())
     df = mod.entry(spark)
     first = df.schema.simpleString()
@@ -33,7 +33,7 @@ def test_entry_works_without_the_training_data_folders(tmp_dir):
     code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, capture_output=True, text=True,
                          env={**os.environ, "PYTHONPATH": tmp_dir}, timeout=120)
-    assert out.stdout.split() == ["26", "26"], out.stderr[-1000:]
+    assert out.stdout.split() == ["28", "28"], out.stderr[-1000:]
 
 
 def test_nothing_else_imports_the_training_data_folder():
