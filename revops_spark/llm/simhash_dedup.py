@@ -11,14 +11,16 @@ gets the full Hamming check.
 Copies collapse first: the search runs on distinct fingerprints. Keys are
 counted before anything is grouped; a key with many fingerprints is split by
 the next chain, whose budget is one bit: its members share the chain's bits
-with one masked, and for d = 2 at most 2**13 fingerprints can share all of
-that. Tasks emit a spanning star of the links under a key, never all pairs;
+with one masked, and for d = 2 at most 2**14 fingerprints can share all of
+that (a segment of 13 bits and the masked bit are left free). Tasks emit a spanning star of the links under a key, never all pairs;
 components come from rounds of large-star and small-star on those edges.
 
 Results for odd input: a null or empty text has fingerprint zero and is
 linked like any other; repeated rows are all returned; a null id belongs to
 its component but never names it (the component of null ids alone is null);
-an empty table gives an empty result.
+an empty table gives an empty result. `one_of_each` keeps one row of each
+component: the one with the smallest id, null ids last, and of several texts
+under that id the one with the smallest hash; rows equal in id and text are one.
 """
 
 from __future__ import annotations
@@ -63,17 +65,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+    """(doc_id, name, fp): a hash of the text and the fingerprint as a signed long."""
 
     def run(batches):
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column("text")], np.uint64)
-            yield pa.record_batch([b.column("doc_id"), pa.array(fps.view(np.int64))],
-                                  names=["doc_id", "fp"])
+            yield pa.record_batch([b.column("doc_id"), b.column("name"), pa.array(fps.view(np.int64))],
+                                  names=["doc_id", "name", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("name"),
+                       text.alias("text")).mapInArrow(run, "doc_id long, name long, fp long")
 
 
 class Ring:
@@ -211,11 +213,14 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(
-            "u", F.least("u", "m").alias("m"))
+        # written, so that both sides of the join are plain exchanges and the
+        # edges of a node with very many are split over tasks
+        least = sh.stored(both.groupBy("u").agg(F.min("v").alias("m")).select(
+            "u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(
             F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = sh.stored(large, "large")
+        least = sh.stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select("u", "v", "m")
         edges = sh.stored(small.filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                           .unionByName(small.select("u", F.col("m").alias("v"))).distinct(), "edges")
@@ -227,26 +232,39 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def _rooted(prints: DataFrame, max_distance: int, segments: int | None) -> DataFrame:
+    """(fp, least, root) of every distinct fingerprint: its least id and its
+    component's root fingerprint; stored."""
+    groups = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    comps = components(links(groups.select("fp"), max_distance, segments))
+    return sh.stored(groups.join(comps, groups.fp == comps.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")), "rooted")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_distance: int = 2,
                     segments: int | None = None) -> DataFrame:
     """One row per document: doc_id, fingerprint (hex), component_id."""
     prints = sh.stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    groups = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    comps = components(links(groups.select("fp"), max_distance, segments))
-    rooted = groups.join(comps, groups.fp == comps.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named, "root").select("fp", "component_id")
+    rooted = _rooted(prints, max_distance, segments)
+    named = sh.stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "named")
+    by_print = sh.stored(rooted.join(named, "root").select("fp", "component_id"), "by-print")
     return prints.join(by_print, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = 3, max_distance: int = 2) -> DataFrame:
-    """The documents whose id names their component, once each; null ids stay."""
-    found = near_duplicates(docs, id_col, text_col, shingle, max_distance)
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
-    return kept.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(
-        kept.filter(F.col(id_col).isNull()))
+    """One document of each component: smallest id (nulls last), then text hash."""
+    prints = sh.stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    rooted = _rooted(prints, max_distance, None)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "name")).alias("first")
+    # per fingerprint before the join, so a hot fingerprint is one row there
+    kept = prints.groupBy("fp").agg(first).join(rooted.select("fp", "root"), "fp").groupBy("root").agg(
+        F.min("first").alias("first")).select(F.col("first.doc_id").alias("kept_id"),
+                                              F.col("first.name").alias("kept_name"))
+    kept = sh.stored(kept, "kept").alias("kept")
+    doc_id, text = F.col(f"docs.`{id_col}`"), F.col(f"docs.`{text_col}`").cast("string")
+    return docs.alias("docs").join(
+        kept, doc_id.cast("long").eqNullSafe(F.col("kept.kept_id"))
+        & (F.xxhash64(text) == F.col("kept.kept_name")), "left_semi").dropDuplicates([id_col, text_col])

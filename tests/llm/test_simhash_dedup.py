@@ -1,10 +1,13 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from revops_spark.llm import simhash_dedup as sd
 from revops_spark.llm._shared import table
 
+from .conftest import prose
+
 
 def plain_fingerprint(text, k=3):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
@@ -102,6 +105,47 @@ def test_one_of_each_keeps_the_smallest_id(odd, odd_docs):
     assert kept.columns == odd_docs.columns
 
 
+def test_ids_that_repeat_and_null_ids_lose_no_text(spark):
+    """One id with two texts keeps both; copies under null ids fall to a kept row."""
+    a, b, c = prose("a", 60), prose("b", 60), prose("c", 60)
+    rows = [(1, a, "x"), (1, b, "x"), (2, a, "y"), (2, a, "y"), (None, b, "z"), (None, c, "z"),
+            (None, c, "z"), (None, c + " ", "z"), (3, None, "n"), (3, "", "n"), (None, None, "n")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, kept_id string").repartition(4)
+    got = sd.one_of_each(df)
+    assert got.columns == df.columns
+    kept = [(r.doc_id, r.text) for r in got.collect()]
+    assert sorted(kept[:], key=repr) == sorted(
+        [(1, a), (1, b), max([k for k in kept if (k[1] or "").startswith(c)]),
+         *[k for k in kept if not k[1]]], key=repr)
+    assert len(kept) == 4
+
+
+def test_hot_component_is_split(spark):
+    """Nine tenths of the fingerprints under one root: the join that names
+    components and the star joins may be split by key."""
+    plans = []
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        rooted = sd.sh.stored(spark.range(60_000).selectExpr(
+            "id AS fp", "CASE WHEN id % 10 < 9 THEN 0L ELSE id END AS root", "id AS least").repartition(8), "r")
+        named = sd.sh.stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "n")
+        joined = rooted.join(named, "root")
+        assert joined.count() == 60_000
+        plan = joined.select("fp", "component_id")
+        plan.write.format("noop").mode("overwrite").save()
+        plan.collect()
+        plans.append(plan._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in plans[0]
+
+
 def test_empty_table(no_docs):
     assert sd.near_duplicates(no_docs).collect() == []
     assert sd.one_of_each(no_docs).collect() == []
