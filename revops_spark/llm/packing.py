@@ -166,16 +166,17 @@ def pack(docs: DataFrame, vocabulary: str, ranks: str | None = None, pattern: st
          end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     spark = docs.sparkSession
-    cut = sh.stored(pieces(docs, (vocabulary, ranks, pattern), id_col, text_col, capacity, end_id),
-                    "pieces")
+    # every stored piece has its own number, so equal rows are spread and ordered, too
+    cut = sh.stored(pieces(docs, (vocabulary, ranks, pattern), id_col, text_col, capacity, end_id)
+                    .withColumn("nth", F.monotonically_increasing_id()), "pieces")
     histogram = {int(r.length): int(r["count"]) for r in cut.groupBy("length").count().collect()}
     slots = _Slots(shortest_pack_first(histogram, capacity))
     # at most `capacity` rows, so the broadcast is bounded
     spread = spark.createDataFrame([(n, -(-c // BUCKET_ROWS)) for n, c in histogram.items()],
                                    "length long, buckets long")
     dealt = cut.join(F.broadcast(spread), "length").withColumn(
-        "bucket", F.expr("pmod(xxhash64(doc_id, start), buckets)")).drop("buckets")
-    group = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")
+        "bucket", F.expr("pmod(xxhash64(doc_id, start, ids_crc32, nth), buckets)")).drop("buckets")
+    group = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32", "nth")
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = dealt.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")).select(

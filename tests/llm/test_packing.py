@@ -14,9 +14,7 @@ PATHS = queries.tokenizer_paths()
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATHS[0])
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATHS[0])
 
 
 def ids_of(library, text):
@@ -114,3 +112,15 @@ def test_patterns_hold_the_histogram(histogram):
             held[n] += packs
     assert held == histogram
     assert len(patterns) <= 2 * max(1, len(histogram))
+
+
+def test_equal_rows_are_spread_over_buckets(spark, monkeypatch, library):
+    """Null ids and one row very many times: no bucket holds them all."""
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 100)
+    rows = [(None, f"word {i % 3}") for i in range(1000)] + [(7, "word 9")] * 2000
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    check(packing.pack(df, *PATHS).collect(), rows, library)
+    cut = packing.sh.stored(packing.pieces(df, PATHS).withColumn("nth", packing.F.monotonically_increasing_id()), "p")
+    sizes = cut.withColumn("bucket", packing.F.expr("pmod(xxhash64(doc_id, start, ids_crc32, nth), 30)")).groupBy(
+        "bucket").count().agg({"count": "max"}).first()[0]
+    assert sizes < 2 * 3000 / 30

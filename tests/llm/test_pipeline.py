@@ -101,7 +101,6 @@ def test_stages_match_brute_force(spark, corpus_dir, tmp_path):
     rows = [r for r in rows if not brute_items(r[1], items)]
     assert sorted((r.doc_id, r.text) for r in steps[3].collect()) == rows
     library = Tokenizer.from_file(queries.tokenizer_paths()[0])
-    library.encode_special_tokens = True
     check(steps[4].collect(), rows, library)
     kept = {i for i, _ in rows}
     assert 9000 not in kept and 9004 not in kept
