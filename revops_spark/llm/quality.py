@@ -12,8 +12,9 @@ over whole texts.
 
 Results for odd input: a null text scores like an empty one; rows whose label
 is null or not 0 or 1 are not learned from, of several labels of an id the
-larger counts; a null metadata value has its own input; repeated rows are scored alike; without labelled rows every score is
-0.5; an empty table gives an empty result.
+larger counts, of several texts the one with the smallest hash; a null metadata
+value has its own input; repeated rows are scored alike; without labelled rows
+every score is 0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -174,20 +175,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"),
         *[F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(meta_cols)]).join(
         F.broadcast(chosen), "_id").select(
-        "_id", "_label", "_text", *[f"_m{i}" for i in range(n_meta)])
+        "_id", "_label", F.xxhash64("_text").alias("_hash"), "_text", *[f"_m{i}" for i in range(n_meta)])
 
     def run(batches):
         make = Features(n_meta)
         for b in batches:
             cols = [c.to_pylist() for c in b.columns]
-            feats = [make.row(r[2], list(r[3:])) for r in zip(*cols)]
-            yield pa.record_batch([b.column(0), b.column(1),
+            feats = [make.row(r[3], list(r[4:])) for r in zip(*cols)]
+            yield pa.record_batch([*b.columns[:3],
                                    pa.array([i.tobytes() for i, _ in feats], pa.binary()),
                                    pa.array([x.tobytes() for _, x in feats], pa.binary())],
-                                  names=["id", "label", "index", "value"])
+                                  names=["id", "label", "hash", "index", "value"])
 
-    sample = rows.mapInArrow(run, "id long, label int, index binary, value binary").toArrow()
-    order = np.argsort(sample["id"].to_numpy(), kind="stable")[:max_rows]   # ids may repeat
+    # one row per chosen id, so at most max_rows rows reach the driver
+    sample = rows.mapInArrow(run, "id long, label int, hash long, index binary, value binary").groupBy(
+        "id").agg(F.min(F.struct("hash", "label", "index", "value")).alias("r")).select(
+        "id", "r.label", "r.index", "r.value").toArrow()
+    order = np.argsort(sample["id"].to_numpy(), kind="stable")
     feats = [(np.frombuffer(sample["index"][int(i)].as_py(), np.int32),
               np.frombuffer(sample["value"][int(i)].as_py(), np.float32)) for i in order]
     model = FactorisationMachine(_WORD_BUCKETS + _STATS + 2 * n_meta)
