@@ -107,10 +107,11 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fitted_share(sample: np.ndarray, curves: Curves, k: int, target: float,
                  queries: int = SAMPLE_QUERIES) -> float:
-    """Smallest of SHARES whose recall on the sample reaches the target."""
+    """Smallest of SHARES whose recall on the sample reaches the target; 1, which
+    looks at every vector, if none does."""
     n = len(sample)
     if n <= k + 1:
-        return SHARES[-1]
+        return 1.0
     ask = np.linspace(0, n - 1, min(queries, n)).astype(np.int64)
     square = (sample ** 2).sum(1)
     d = square[ask][:, None] + square - 2 * sample[ask] @ sample.T
@@ -124,7 +125,7 @@ def fitted_share(sample: np.ndarray, curves: Curves, k: int, target: float,
     for share in SHARES:
         if (gap <= share * n).mean() >= target:
             return share
-    return SHARES[-1]
+    return 1.0
 
 
 def _usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:

@@ -404,7 +404,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     n_chunks = sh.chunk_count(n_bytes + 16 * n_rows, CHUNK_BYTES)
     # anchors keep enough bits that chance hits stay rare; a window's anchor is
     # chosen by bits that the position in a chunk doesn't need
-    bits = min(40, max(36, math.ceil(math.log2(n_bytes + 2)) + 9))
+    bits = min(64, max(36, math.ceil(math.log2(n_bytes + 2)) + 9))
     range_bits = max(0, math.ceil(math.log2(max(1, n_bytes / 35 / RANGE_ANCHORS))))
     n_shards = sh.chunk_count(n_bytes, SHARD_TEXT)
     most = max(1, ARRAY_BYTES // (2 * length - gram))      # distinct segments of an anchor that isn't hot
