@@ -291,10 +291,12 @@ def fetch_ab_test_data(spark: SparkSession, schema: str = "mart") -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: `spark.checkpoint.dir`, or,
-    where that is unset, the warehouse. A local path is refused on a cluster."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    if not spark.sparkContext.master.startswith("local") and not spark.conf.get("spark.checkpoint.dir", None) \
-            and base.split(":", 1)[0] in ("file", base):
+    where that is unset, the warehouse. On a cluster a warehouse on the machine's
+    own disk is refused."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    base = named or spark.conf.get("spark.sql.warehouse.dir")
+    own_disk = base.startswith("file:") or "://" not in base
+    if not named and own_disk and not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/revops-scratch"
 
