@@ -19,9 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: `spark.checkpoint.dir`, or, where that
-    is unset (tests), a folder in the session's warehouse."""
+    is unset (tests), a folder in the session's warehouse. On a cluster a
+    warehouse on the machine's own disk is refused."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     base = named or spark.conf.get("spark.sql.warehouse.dir")
+    own_disk = base.startswith("file:") or "://" not in base
+    if not named and own_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/llm-scratch"
 
 
