@@ -50,8 +50,8 @@ LONGEST = 4               # words of a phrase
 LEAST, TOP = 30, 2_000
 COVERED = 80              # percent of a phrase's count that make it redundant
 FILTER_BITS = 24
-BATCH_BYTES = 4 << 20     # text tokenized at a time
-HELD_ROWS = 1 << 20       # phrases a task adds up before it sends them
+BATCH_BYTES = 2 << 20     # text tokenized at a time
+HELD_ROWS = 1 << 19       # phrases a task adds up before it sends them
 SALTS = 32                # parts of a language's candidates that are ranked by themselves
 UNKNOWN = "und"
 
