@@ -7,21 +7,57 @@ from revops_spark.llm import licenses as li
 from revops_spark.llm._shared import table
 
 
+SPDX = {**{i.lower(): i for i in li.SPDX_IDS}, **{i.lower() + "+": i for i in li.SPDX_IDS}}
+for gnu in li.GNU_IDS:
+    SPDX |= {gnu.lower(): gnu + "-only", gnu.lower() + "+": gnu + "-or-later",
+             gnu.lower() + "-only": gnu + "-only", gnu.lower() + "-or-later": gnu + "-or-later"}
+
+
+def expressions(text):
+    """Licences of the SPDX expressions, read word by word."""
+    out = []
+    for behind in re.split(r"(?i)spdx-license-identifier:", text)[1:]:
+        start = re.match(r"[\W_]*", behind).group()
+        if start.count("\n") > 1:
+            continue
+        line = re.match(r"[A-Za-z0-9.+() \t-]*", behind[len(start):]).group()
+        words, exception = re.sub(r"[()\t]", " ", line).split(), False
+        while words:
+            name = SPDX.get(words[0].rstrip(".-").lower())
+            if name and not exception:
+                out.append(name)
+            if len(words) < 2 or words[1].upper() not in ("AND", "OR", "WITH"):
+                break
+            exception, words = words[1].upper() == "WITH", words[2:]
+    return out
+
+
 def brute(text):
     known = {s: i for i, s in li.SENTENCES}
-    text = re.sub(r"(?i)(spdx-license-identifier):\s*", r"\1 ", text or "")
-    parts = re.split(r"\n+|(?<=[.!?;:])\s+", text)
+    parts = re.split(r"\n+|(?<=[.!?;:])\s+", text or "")
     ids = [known[n] for p in parts
            if (n := re.sub(r"[\W_]+", " ", p.lower()).strip()) in known]
 
-    def matches(rule):
-        rest = iter(ids)
-        return all(x in rest for x in rule)
-
-    names = sorted({name for name, rule in li.RULES if matches(rule)})
-    return ",".join(names), len(names), len(ids)
-
-
+    def times(rule):
+        rest, n = iter(ids), 0
+        while all(x in rest for x in rule):
+            n += 1
+        return n
+
+    own = {}
+    for rule in sorted({r for _, r in li.RULES}, key=len, reverse=True):
+        holds = [r for r in own if len(r) > len(rule) and rule in zip(*(r[i:] for i in range(len(rule))))]
+        own[rule] = max(0, times(rule) - sum(own[r] for r in holds))
+    spdx = expressions(text or "")
+    names = sorted({name for name, rule in li.RULES if own[rule]} | set(spdx))
+    return ",".join(names), len(names), len(ids) + len(spdx)
+
+
+BSD2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met:\nRedistributions of source code must retain the above copyright "
+        "notice, this list of conditions and the following disclaimer.\n")
+BSD3 = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.\n")
 CASES = [
     None, "", "  \n ", "nothing here", "Released under the MIT License.",
     "foo bar.  RELEASED UNDER THE -- MIT LICENSE!!\nbaz", "released under the mit license terms",
@@ -38,6 +74,15 @@ CASES = [
     "following disclaimer.\nRedistribution and use in source and binary forms, with or without modification, "
     "are permitted provided that the following conditions are met:",
     "Released under the MIT License.\n" * 3000 + "x" * 100_000,
+    # BSD-3 alone, and with a BSD-2 text before it
+    BSD2 + BSD3, BSD2 + BSD2 + BSD3, BSD2 + BSD3 + BSD2 + BSD3,
+    "SPDX-License-Identifier: GPL-2.0-or-later", "SPDX-License-Identifier: BSD-3-Clause */",
+    "spdx-license-identifier: (MIT OR Apache-2.0) AND (lgpl-2.1+ WITH MIT)",
+    "SPDX-License-Identifier: GPL-2.0 WITH Classpath-exception-2.0 or ISC.", "SPDX-License-Identifier: MIT AND",
+    "SPDX-License-Identifier: MIT--> BSD-3-Clause", "SPDX-License-Identifier: NoSuchLicense OR GPL-3.0+",
+    "x SPDX-License-Identifier: MIT y SPDX-License-Identifier: Zlib z MIT", "SPDX-License-Identifier:",
+    "SPDX-License-Identifier:\n\nMIT", "SPDX-License-Identifier:" + "-" * 100_000 + "\n" + "-" * 100_000 + "(MIT",
+    "SPDX-License-Identifier: MIT" + " OR MIT" * 5_000 + " " * 50_000 + "." * 50_000 + "x",
 ]
 
 
@@ -51,6 +96,10 @@ def test_cases_match_brute_force(spark):
     assert got == {i: brute(t) for i, t in enumerate(CASES)}
     assert got[10][0] == "GPL-3.0-or-later" and got[11][0] == "BSD-2-Clause" and got[12][0] == ""
     assert got[13] == ("MIT", 1, 3000)
+    assert [got[i][0] for i in range(14, 29)] == [
+        "BSD-3-Clause", "BSD-2-Clause,BSD-3-Clause", "BSD-3-Clause", "GPL-2.0-or-later", "BSD-3-Clause",
+        "Apache-2.0,LGPL-2.1-or-later,MIT", "GPL-2.0-only,ISC", "MIT", "MIT", "GPL-3.0-or-later", "MIT,Zlib", "",
+        "", "MIT", "MIT"]
 
 
 def test_odd_documents(odd, odd_docs, no_docs):
@@ -114,7 +163,7 @@ modification, are permitted provided that the following conditions are met:
 1. Redistributions of source code must retain the above copyright notice, this
    list of conditions and the following disclaimer.
 """],
-    "BSD-2-Clause,BSD-3-Clause": [BSD + """
+    "BSD-3-Clause": [BSD + """
 3. Neither the name of the copyright holder nor the names of its
    contributors may be used to endorse or promote products derived from
    this software without specific prior written permission.
@@ -124,7 +173,53 @@ it under the terms of the GNU General Public License as published by
 the Free Software Foundation, either version 3 of the License, or
 (at your option) any later version.
 """],
-    "GPL-2.0-or-later": [GPL.replace("3", "2").replace("software:", "software;")],
+    "GPL-2.0-or-later": [GPL.replace("3", "2").replace("software:", "software;"),
+                         """This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+"""],
+    "GPL-2.0-only": ["""This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License version 2 as
+published by the Free Software Foundation.
+""", "Licensed under the GNU General Public\nLicense v2.0."],
+    "LGPL-2.1-or-later": ["""This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+""", "SPDX-License-Identifier: LGPL-2.1+"],
+    "LGPL-3.0-or-later": [GPL.replace("GNU General", "GNU Lesser General")],
+    "LGPL-3.0-only": ["This software is released under the GNU Lesser\nGeneral Public License version 3."],
+    "AGPL-3.0-or-later": [GPL.replace("GNU General", "GNU Affero General")],
+    "AGPL-3.0-only": ["This project is licensed under the GNU Affero General\nPublic License v3.0."],
+    "ISC": ["""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""", """Permission to use, copy, modify, and distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""],
+    "CC0-1.0": ["CC0 1.0 Universal\n\nCREATIVE COMMONS CORPORATION IS NOT A LAW FIRM", "SPDX-License-Identifier: CC0-1.0"],
+    "Unlicense": ["""This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+"""],
+    "EPL-2.0": ["""This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+
+SPDX-License-Identifier: EPL-2.0
+"""],
+    "Zlib": ["""Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""],
+    "BSL-1.0": ["""Distributed under the Boost Software License, Version 1.0.
+   (See accompanying file LICENSE_1_0.txt)
+"""],
     "GPL-3.0-only": ["This work is licensed under the GNU General\nPublic License version 3.",
                      "SPDX-License-Identifier: GPL-3.0-only"],
     "CC-BY-4.0": ["Licensed under\nCC BY 4.0", "This work is licensed under a Creative Commons\n"
