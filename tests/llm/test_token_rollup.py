@@ -107,6 +107,60 @@ def test_a_batch_that_broke_off_is_written_over(spark, tmp_dir, monkeypatch):
     assert totals(rollup) == {("a", "en", "v1"): (2, 8)}
 
 
+def test_many_batches_lie_in_few_parts(spark, tmp_dir):
+    rollup, plain = tr.Rollup(spark, f"{tmp_dir}/r", fan=2), Plain()
+    for i in range(9):
+        rows = [(i % 3, "a", "en", "v1", None if i == 5 else i, 0), (10 + i, "b", "de", "v1", 1, 0),
+                (None, "a", "en", "v1", 7, 0)]
+        assert rollup.commit(f"b{i}", spark.createDataFrame(rows, CHANGE))
+        plain.commit(f"b{i}", rows)
+        parts = [(e.first, e.last) for e in rollup._parts(rollup._entries())]
+        # as the binary digits of i + 1
+        assert len(parts) == bin(i + 1).count("1") and parts[-1][1] == i
+    assert totals(rollup) == plain.totals()
+    assert parts == [(0, 7), (8, 8)]
+    assert not rollup.commit("b0", spark.createDataFrame([(1, "a", "en", "v1", 99, 0)], CHANGE))
+    # the merged ledger holds each document once, sorted; deleted ones are gone
+    merged = rollup._ledger(rollup._parts(rollup._entries())[:1]).collect()
+    assert len(merged) == len({r.doc_id for r in merged}) == 10 and 2 not in {r.doc_id for r in merged}
+    assert rollup.merge() == 0 and rollup.vacuum() > 0 and rollup.vacuum() == 0
+    assert totals(rollup) == plain.totals()
+    late = [(2, "a", "en", "v1", 4, 0), (10, "b", "de", "v1", None, 0)]
+    rollup.commit("late", spark.createDataFrame(late, CHANGE))
+    plain.commit("late", late)
+    assert totals(rollup) == plain.totals()
+
+
+def test_two_writers_from_one_view(spark, tmp_dir):
+    one, two = tr.Rollup(spark, f"{tmp_dir}/r"), tr.Rollup(spark, f"{tmp_dir}/r")
+    one.commit("b1", spark.createDataFrame([(1, "a", "en", "v1", 10, 0)], CHANGE))
+    same_view = two._entries()
+    two._entries = lambda: same_view
+    change = spark.createDataFrame([(2, "a", "en", "v1", 5, 0)], CHANGE)
+    assert one.commit("b2", change)
+    with pytest.raises(tr.PlaceTaken):
+        two.commit("b3", change)
+    assert totals(one) == {("a", "en", "v1"): (2, 15)} and one.committed() == ["b1", "b2"]
+    del two._entries
+    assert two.commit("b3", change) and totals(one) == {("a", "en", "v1"): (2, 15)}
+
+
+def test_a_merge_that_broke_off_is_made_up_for(spark, tmp_dir, monkeypatch):
+    rollup = tr.Rollup(spark, f"{tmp_dir}/r", fan=2)
+    rollup.commit("b0", spark.createDataFrame([(1, "a", "en", "v1", 1, 0)], CHANGE))
+
+    def lost(parts):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(rollup, "_merge", lost)
+    with pytest.raises(RuntimeError):
+        rollup.commit("b1", spark.createDataFrame([(1, "a", "en", "v1", 2, 0)], CHANGE))
+    monkeypatch.undo()
+    assert rollup.committed() == ["b0", "b1"] and totals(rollup) == {("a", "en", "v1"): (1, 2)}
+    assert not rollup.commit("b1", spark.createDataFrame([(1, "a", "en", "v1", 2, 0)], CHANGE))
+    assert rollup.merge() == 1 and totals(rollup) == {("a", "en", "v1"): (1, 2)}
+
+
 def test_query_matches_a_recount(spark):
     d = "/root/testdata/sf0.001"
     rows = table(spark, d, "documents").collect()
