@@ -45,6 +45,7 @@ ROUNDS = 3
 BATCH = 1024
 RATE = 0.08
 BLOCKS = 32                 # parameter blocks averaged apart
+AVERAGED = 1024             # shards whose parameters one task averages, 7.5 kB each
 _OFFSETS = [o for o in range(-RADIUS, RADIUS + 1) if o]
 _SIDES = len(_OFFSETS)
 _PAD = CODES
@@ -211,12 +212,13 @@ def fit(docs: DataFrame, text_col: str = "text", stride: int = STRIDE,
     dealt = sh.stored(samples.repartition(shards).withColumn(
         "shard", F.spark_partition_id()), "shards")
     for turn in range(rounds):
-        network = _averaged_round(dealt, network, turn, stride)
+        network = _averaged_round(dealt, network, turn, stride, shards)
     return network
 
 
-def _averaged_round(dealt: DataFrame, network: Network, turn: int, stride: int) -> Network:
-    """Every shard trains the network once; the result is their weighted average."""
+def _averaged_round(dealt: DataFrame, network: Network, turn: int, stride: int, shards: int) -> Network:
+    """Every shard trains the network once; the result is their weighted average,
+    taken over AVERAGED shards at a time, then over those averages."""
     flat = network.flat
     cuts = np.linspace(0, len(flat), BLOCKS + 1).astype(int)
 
@@ -238,11 +240,19 @@ def _averaged_round(dealt: DataFrame, network: Network, turn: int, stride: int)
         total = sum(np.frombuffer(tab["part"][int(i)].as_py(), np.float32).astype(np.float64)
                     * (n[i] / n.sum()) for i in order)
         return pa.table({"block": pa.array([key[0].as_py()], pa.int32()),
+                         "shard": pa.array([key[1].as_py()], pa.int32()),
+                         "n": pa.array([n.sum()], pa.int64()),
                          "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    parts = dealt.groupBy("shard").applyInArrow(
-        train, "block int, shard int, n long, part binary").groupBy("block").applyInArrow(
-        average, "block int, part binary").toArrow()
+    columns = "block int, shard int, n long, part binary"
+    parts = dealt.groupBy("shard").applyInArrow(train, columns)
+    while True:
+        parts = parts.withColumn("above", F.floor(F.col("shard") / AVERAGED).cast("int")).groupBy(
+            "block", "above").applyInArrow(average, columns)
+        shards = math.ceil(shards / AVERAGED)
+        if shards == 1:
+            break
+    parts = parts.toArrow()                            # one row per block
     by = dict(zip(parts["block"].to_pylist(), parts["part"].to_pylist()))
     return Network(np.concatenate([np.frombuffer(by[i], np.float32) for i in range(BLOCKS)]))
 

@@ -122,6 +122,14 @@ def test_shards_average_the_same_every_time(odd_docs, monkeypatch):
     assert np.array_equal(a, b)
 
 
+def test_averages_of_averages(odd_docs, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_WINDOWS", 300)
+    at_once = lm.fit(odd_docs, stride=16, rounds=1).flat
+    monkeypatch.setattr(lm, "AVERAGED", 2)
+    in_steps = lm.fit(odd_docs, stride=16, rounds=1).flat
+    assert np.allclose(at_once, in_steps, atol=1e-6) and not np.array_equal(at_once, lm.Network().flat)
+
+
 def test_empty_table(no_docs, spark):
     net = lm.fit(no_docs)
     assert np.array_equal(net.flat, lm.Network().flat)
