@@ -183,19 +183,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             cols = [c.to_pylist() for c in b.columns]
             feats = [make.row(r[3], list(r[4:])) for r in zip(*cols)]
             yield pa.record_batch([*b.columns[:3],
-                                   pa.array([i.tobytes() for i, _ in feats], pa.binary()),
+                                   pa.array([i.astype(np.uint16).tobytes() for i, _ in feats], pa.binary()),
                                    pa.array([x.tobytes() for _, x in feats], pa.binary())],
                                   names=["id", "label", "hash", "index", "value"])
 
-    # one row per chosen id, so at most max_rows rows reach the driver
+    # one row per chosen id, so at most max_rows rows reach the driver, a partition at a
+    # time; it keeps them in three buffers, without objects for each row's bytes
     sample = rows.mapInArrow(run, "id long, label int, hash long, index binary, value binary").groupBy(
         "id").agg(F.min(F.struct("hash", "label", "index", "value")).alias("r")).select(
-        "id", "r.label", "r.index", "r.value").toArrow()
-    order = np.argsort(sample["id"].to_numpy(), kind="stable")
-    feats = [(np.frombuffer(sample["index"][int(i)].as_py(), np.int32),
-              np.frombuffer(sample["value"][int(i)].as_py(), np.float32)) for i in order]
+        "id", "r.label", "r.index", "r.value")
+    about, index, value = [], bytearray(), bytearray()
+    for one, label, at, x in sample.toLocalIterator():
+        about.append((one, label, len(x) // 4))
+        index += at
+        value += x
+    about = np.array(about, np.int64).reshape(-1, 3)
+    ends = np.cumsum(about[:, 2])
+    index, value = np.frombuffer(index, np.uint16), np.frombuffer(value, np.float32)
+    order = np.argsort(about[:, 0], kind="stable")
+    feats = [(index[b - n:b], value[b - n:b]) for b, n in zip(ends[order], about[order, 2])]
     model = FactorisationMachine(_WORD_BUCKETS + _STATS + 2 * n_meta)
-    model.fit(feats, sample["label"].to_numpy()[order].astype(np.float32))
+    model.fit(feats, about[order, 1].astype(np.float32))
     return model
 
 

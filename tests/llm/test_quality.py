@@ -1,5 +1,6 @@
 import itertools
 import math
+import zlib
 
 import numpy as np
 import pytest
@@ -92,3 +93,18 @@ def test_the_training_bound_holds(spark, monkeypatch):
                         lambda self, rows, labels, **k: (seen.append(len(rows)), real(self, rows, labels, **k)))
     q.train(table(spark, d, "documents"), table(spark, d, "labels"), max_rows=50)
     assert seen == [50]
+
+
+def test_the_sample_reaches_the_driver_in_parts(spark, monkeypatch):
+    """No whole sample is collected, and a model of rows fetched in parts is that of the rows."""
+    frame = type(spark.range(0))
+    for name in ("toArrow", "collect", "toPandas"):
+        monkeypatch.setattr(frame, name, lambda self: pytest.fail("collected whole"))
+    texts = {i: " ".join(f"w{(i * k) % 31}" for k in range(1 + i % 9)) for i in range(60)}
+    docs = spark.createDataFrame([*texts.items(), (3, texts[3])], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, quality int")
+    model = q.train(docs, labels)
+    known = [i for i in texts if zlib.crc32(str(i).encode()) % 5]
+    make, want = q.Features(0), q.FactorisationMachine(model.dim)
+    want.fit([make.row(texts[i], []) for i in known], np.array([i % 2 for i in known], np.float32))
+    assert np.array_equal(model.w, want.w) and np.array_equal(model.v, want.v) and model.w0 == want.w0
