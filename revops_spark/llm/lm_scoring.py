@@ -97,74 +97,88 @@ class Network:
         """One pass of AdaGrad over rows of (context codes, code)."""
         rng = np.random.default_rng(seed)
         memory = Network(np.full_like(self.flat, 1e-4))
-        order = rng.permutation(len(windows))
+        windows, order = np.ascontiguousarray(windows), rng.permutation(len(windows))
         for at in range(0, len(order), BATCH):
-            batch = windows[order[at:at + BATCH]].astype(np.int32)
-            for name, grad, rows in self._gradients(batch[:, :_SIDES], batch[:, _SIDES]):
+            batch = windows.take(order[at:at + BATCH], axis=0)
+            for name, grad, _ in self._gradients(batch[:, :_SIDES], batch[:, _SIDES]):
                 value, seen = getattr(self, name), getattr(memory, name)
-                if rows is None:
-                    seen += grad * grad
-                    value -= RATE * grad / np.sqrt(seen)
-                else:
-                    seen[rows] += grad * grad
-                    value[rows] -= RATE * grad / np.sqrt(seen[rows])
+                step = grad * np.float32(RATE)
+                seen += np.multiply(grad, grad, out=grad)
+                step /= np.sqrt(seen, out=grad)
+                value -= step
+
+    def _biases(self) -> np.ndarray:
+        """By high digit: what is added to the logits of both digits."""
+        return np.concatenate((np.broadcast_to(self.high_bias, (DIGIT, DIGIT)), self.low_by_high), axis=1)
 
     def _gradients(self, context, code):
-        n, high, low = len(code), code // DIGIT, code % DIGIT
-        x = self.embed[context].reshape(n, -1)
-        h = np.tanh(x @ self.inner + self.inner_bias)
-        one = np.arange(n)
-        d_high = _softmax(h @ self.high + self.high_bias)
-        d_high[one, high] -= 1
-        d_low = _softmax(h @ self.low + self.low_by_high[high])
-        d_low[one, low] -= 1
-        d_high /= n
-        d_low /= n
-        is_high = np.zeros((n, DIGIT), np.float32)
-        is_high[one, high] = 1
-        dz = (d_high @ self.high.T + d_low @ self.low.T) * (1 - h * h)
-        dx = (dz @ self.inner.T).reshape(-1, WIDTH)
-        flat = context.reshape(-1)
-        by = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[by], prepend=-1))
-        yield "high", h.T @ d_high, None
-        yield "high_bias", d_high.sum(0), None
-        yield "low", h.T @ d_low, None
-        yield "low_by_high", is_high.T @ d_low, None
+        n, one = len(code), np.arange(len(code))
+        high, low = code // DIGIT, code % DIGIT
+        flat = context.reshape(-1).astype(np.intp)
+        x = self.embed.take(flat, axis=0).reshape(n, -1)
+        h = x @ self.inner
+        h += self.inner_bias
+        np.tanh(h, out=h)
+        both = np.concatenate((self.high, self.low), axis=1)
+        d = h @ both
+        d += self._biases().take(high, axis=0)
+        sums = _exponentials(d) @ _HALVES
+        d.reshape(n, 2, DIGIT)[...] *= (np.float32(1 / n) / sums)[:, :, None]
+        d[one, high] -= np.float32(1 / n)
+        d[one, DIGIT + low] -= np.float32(1 / n)
+        dz = d @ both.T
+        dz *= 1 - h * h
+        d_both = h.T @ d
+        is_high = np.zeros((DIGIT, n), np.float32)
+        is_high[high, one] = 1
+        yield "high", d_both[:, :DIGIT], None
+        yield "high_bias", np.ones(n, np.float32) @ d[:, :DIGIT], None
+        yield "low", d_both[:, DIGIT:], None
+        yield "low_by_high", is_high @ d[:, DIGIT:], None
+        by_column = self.inner.reshape(_SIDES, WIDTH, HIDDEN).swapaxes(0, 1).reshape(-1, HIDDEN)
+        dx = (by_column @ dz.T).reshape(WIDTH, -1).astype(np.float64)
         yield "inner", x.T @ dz, None
         yield "inner_bias", dz.sum(0), None
-        yield "embed", np.add.reduceat(dx[by], first, axis=0), flat[by][first]
+        flat = flat.reshape(n, _SIDES).T.reshape(-1)
+        yield "embed", np.stack([np.bincount(flat, part, CODES + 1) for part in dx], 1).astype(np.float32), None
 
     # -- scoring
     def log_probabilities(self, sequence: np.ndarray) -> np.ndarray:
         """Of every code in a padded sequence; pads between texts get a value too."""
-        sides = [self.embed @ self.inner[i * WIDTH:(i + 1) * WIDTH] for i in range(_SIDES)]
         out = np.empty(len(sequence) - 2 * RADIUS)
         both = np.concatenate((self.high, self.low), axis=1)
-        for at in range(0, len(out), 8192):
-            n = min(8192, len(out) - at)
+        biases = self._biases()
+        sides = np.concatenate(np.split(self.inner, _SIDES), axis=1)
+        for at in range(0, len(out), 2048):
+            n = min(2048, len(out) - at)
+            near = sequence[at:at + n + 2 * RADIUS]
+            parts = self.embed.take(near, axis=0) @ sides       # of every side's sum
             z = np.broadcast_to(self.inner_bias, (n, HIDDEN)).copy()
-            for side, o in zip(sides, _OFFSETS):
-                a = at + RADIUS + o
-                z += side[sequence[a:a + n]]
-            logits = np.tanh(z, out=z) @ both
-            code = np.minimum(sequence[at + RADIUS:at + RADIUS + n], CODES - 1)
+            for i, o in enumerate(_OFFSETS):
+                z += parts[RADIUS + o:RADIUS + o + n, i * HIDDEN:(i + 1) * HIDDEN]
+            code = np.minimum(near[RADIUS:RADIUS + n], CODES - 1)
             high, low = code // DIGIT, code % DIGIT
-            first, second = logits[:, :DIGIT], logits[:, DIGIT:]
-            first += self.high_bias
-            second += self.low_by_high[high]
+            logits = np.tanh(z, out=z) @ both
+            logits += biases.take(high, axis=0)
             one = np.arange(n)
-            picked = first[one, high] + second[one, low]
+            picked = logits[one, high].astype(np.float64) + logits[one, DIGIT + low]
             np.clip(logits, -60, 60, out=logits)
-            np.exp(logits, out=logits)
-            out[at:at + n] = picked - np.log(first.sum(1)) - np.log(second.sum(1))
+            sums = np.exp(logits, out=logits) @ _HALVES
+            out[at:at + n] = picked - np.log(sums).sum(1)
         return out
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    return logits / logits.sum(1, keepdims=True)
+#: sums the columns of each digit
+_HALVES = np.repeat(np.eye(2, dtype=np.float32), DIGIT, axis=0)
+
+
+def _exponentials(logits: np.ndarray) -> np.ndarray:
+    """exp, in place, up to a factor for each row and digit: where float32 would not
+    hold them, the largest logit is taken out first."""
+    if not -60 < logits.min() <= logits.max() < 60:
+        digits = logits.reshape(len(logits), 2, DIGIT)
+        digits -= digits.max(2, keepdims=True)
+    return np.exp(logits, out=logits)
 
 
 def training_windows(docs: DataFrame, text_col: str, stride: int) -> DataFrame:

@@ -1,6 +1,7 @@
 import inspect
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -134,3 +135,62 @@ def test_empty_table(no_docs, spark):
     net = lm.fit(no_docs)
     assert np.array_equal(net.flat, lm.Network().flat)
     assert lm.score(no_docs, net).collect() == []
+
+
+def plain_round(net, windows, seed):
+    """One pass of AdaGrad, each step written as its formula says."""
+    memory = lm.Network(np.full_like(net.flat, 1e-4))
+    order = np.random.default_rng(seed).permutation(len(windows))
+    for at in range(0, len(order), lm.BATCH):
+        batch = windows[order[at:at + lm.BATCH]].astype(np.int32)
+        context, code, n = batch[:, :-1], batch[:, -1], len(batch)
+        x = net.embed[context].reshape(n, -1)
+        h = np.tanh(x @ net.inner + net.inner_bias)
+        high, low = np.eye(lm.DIGIT, dtype=np.float32)[code // lm.DIGIT], np.eye(lm.DIGIT, dtype=np.float32)[code % lm.DIGIT]
+        d = []
+        for logits, digit in ((h @ net.high + net.high_bias, high), (h @ net.low + high @ net.low_by_high, low)):
+            e = np.exp(logits - logits.max(1, keepdims=True))
+            d.append((e / e.sum(1, keepdims=True) - digit) / n)
+        dz = (d[0] @ net.high.T + d[1] @ net.low.T) * (1 - h * h)
+        embed = np.zeros_like(net.embed)
+        by = np.argsort(context.reshape(-1), kind="stable")
+        first = np.flatnonzero(np.diff(context.reshape(-1)[by], prepend=-1))
+        embed[context.reshape(-1)[by][first]] = np.add.reduceat(
+            (dz @ net.inner.T).reshape(-1, lm.WIDTH)[by], first, axis=0)
+        for name, grad in {"high": h.T @ d[0], "high_bias": d[0].sum(0), "low": h.T @ d[1],
+                           "low_by_high": high.T @ d[1], "inner": x.T @ dz, "inner_bias": dz.sum(0),
+                           "embed": embed}.items():
+            seen = getattr(memory, name)
+            seen += grad * grad
+            value = getattr(net, name)
+            value -= lm.RATE * grad / np.sqrt(seen)
+
+
+def test_a_round_equals_the_formulas_in_less_time():
+    rng = np.random.default_rng(8)
+    codes = np.minimum(rng.pareto(1.0, 60_000) * 20, lm.CODES - 1).astype(np.int32)
+    windows = lm.windows_of(lm.padded(codes).astype(np.uint16).tobytes(), 0, 1)
+    best = {}
+    for _ in range(3):
+        nets = lm.Network(), lm.Network()
+        for net, run in zip(nets, (plain_round, lambda net, *rest: net.train(*rest))):
+            began = time.thread_time()
+            run(net, windows, 3)
+            best[run is plain_round] = min(best.get(run is plain_round, 1e9), time.thread_time() - began)
+    assert np.allclose(nets[0].flat, nets[1].flat, atol=1e-4)
+    assert best[False] < 0.8 * best[True]
+
+
+def test_large_logits_have_gradients():
+    """Where float32 does not hold the exponentials themselves."""
+    net = lm.Network(seed=6)
+    net.high *= 600
+    rng = np.random.default_rng(5)
+    context, code = rng.integers(0, 30, (8, lm._SIDES)), rng.integers(0, lm.CODES, 8)
+    x = net.embed[context].reshape(8, -1).astype(np.float64)
+    logits = np.tanh(x @ net.inner + net.inner_bias) @ net.high + net.high_bias
+    assert np.abs(logits).max() > 100
+    e = np.exp(logits - logits.max(1, keepdims=True))
+    want = (e / e.sum(1, keepdims=True) - np.eye(lm.DIGIT)[code // lm.DIGIT]).sum(0) / 8
+    got = {name: grad for name, grad, _ in net._gradients(context, code)}
+    assert np.allclose(got["high_bias"], want, atol=1e-3) and all(np.isfinite(g).all() for g in got.values())
