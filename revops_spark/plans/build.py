@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import experiments as ex
 from ..operators import marts as m
 from ..operators.staging import STAGING
-from ..sources.files import (ensure_schema, export_csv, fetch_ab_test_data, layer_schema,
+from ..sources.files import (at_the_same_time, ensure_schema, export_csv, fetch_ab_test_data, layer_schema,
                              load_all, raw_table, write_table, write_view)
 
 LEAD_TALLIES = "lead_tallies"
@@ -83,14 +83,13 @@ def build_marts(spark: SparkSession, staging: dict[str, DataFrame],
     if any(n in weighted for n in wanted):
         write_table(m.lead_tallies(staging["stg_leads"]), schema, LEAD_TALLIES, "overwrite")
         tallies = spark.table(f"`{schema}`.`{LEAD_TALLIES}`")
-    report = []
-    for name in wanted:
+
+    def one(name: str) -> tuple[str, int]:
         source, transform = models[name]
-        if name in weighted:
-            df = weighted[name](tallies, weight="n")
-        else:
-            df = transform(staging[source])
-        report.append((name, write_table(df, schema, name, mode)))
+        df = weighted[name](tallies, weight="n") if name in weighted else transform(staging[source])
+        return name, write_table(df, schema, name, mode)
+
+    report = at_the_same_time(spark, one, wanted)
     return spark.createDataFrame(report, "mart string, rows long")
 
 
@@ -106,9 +105,10 @@ def load_and_build(spark: SparkSession, raw: dict[str, DataFrame], folder: str,
                    raw_schema: str, mart_schema: str) -> None:
     """The reference's steps from end to end: every raw table exported as CSV files
     into `folder`, loaded from there into catalogue tables, staging views and mart
-    tables built on them."""
-    for name, df in raw.items():
-        export_csv(df, f"{folder}/{name}.csv", mode="errorifexists")
+    tables built on them. Exports run at the same time, as loads and marts do, so
+    that cores one job leaves idle work on the next."""
+    at_the_same_time(spark, lambda name: export_csv(raw[name], f"{folder}/{name}.csv", mode="errorifexists"),
+                     list(raw))
     # the adapters' values hold no line end, so large files may be split
     failed = load_all(spark, folder, raw_schema, multi_line=False).filter("status = 'failed'").collect()
     if failed:

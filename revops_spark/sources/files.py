@@ -10,7 +10,9 @@ import logging
 import os
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 import pyarrow.fs
 from py4j.protocol import Py4JJavaError
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 from .schemas import JOIN_KEYS, LOAD_ORDER, PARENTS, RAW_TABLES
 
 log = logging.getLogger(__name__)
+T_ = TypeVar("T_")
 
 AB_MART = "fct_churn_ab_test_results"
 AB_COLUMNS = ["variant", "risk_tier_at_assignment", "total_accounts", "churned_count",
@@ -231,6 +234,19 @@ def load_waves() -> list[list[str]]:
     return [[t for t in LOAD_ORDER if depth[t] == d] for d in range(max(depth.values()) + 1)]
 
 
+def at_the_same_time(spark: SparkSession, run: Callable[[str], T_], names: list[str],
+                     concurrent: int = 4) -> list[T_]:
+    """run(name) of every name, up to `concurrent` jobs at the same time; the first
+    failure is raised, when the jobs that had begun are over."""
+    with ThreadPoolExecutor(max(1, concurrent)) as pool:
+        jobs = [pool.submit(inheritable_thread_target(spark)(run), name) for name in names]
+        try:
+            return [job.result() for job in jobs]
+        except BaseException:
+            pool.shutdown(cancel_futures=True)
+            raise
+
+
 def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
              mode: str = "overwrite", buckets: int | None = None,
              fmt: str = "csv", multi_line: bool = True, repeat: bool = False,
@@ -268,10 +284,9 @@ def load_all(spark: SparkSession, in_dir: str, schema: str = "raw",
 
     ensure_schema(spark, schema)
     report: dict[str, tuple] = {}
-    with ThreadPoolExecutor(max(1, concurrent)) as pool:
-        for wave in load_waves():
-            for row in pool.map(inheritable_thread_target(spark)(one), wave):
-                report[row[0]] = row
+    for wave in load_waves():
+        for row in at_the_same_time(spark, one, wave, concurrent):
+            report[row[0]] = row
     return spark.createDataFrame(
         [report[t] for t in LOAD_ORDER],
         "table_name string, rows_loaded long, status string, error string")

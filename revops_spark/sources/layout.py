@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from .files import write_table
-from .testdata import table
+from .testdata import line_rollup, table
 
 ORDER_KEYS = {"orders": "o_orderkey", "lineitem": "l_orderkey"}
 
@@ -38,3 +38,23 @@ def write_order_layout(spark: SparkSession, folder: str, schema: str, buckets: i
     for name, key in ORDER_KEYS.items():
         write_table(table(spark, folder, name).repartition(buckets, key), schema, name, bucket_by=(key, buckets))
     return OrderLayout(folder, schema)
+
+
+@dataclass(frozen=True)
+class RolledUp:
+    """Stands for a folder of test tables whose line items' roll-up is stored at
+    `path`, so that several adapters read it instead of computing it again."""
+
+    folder: str
+    path: str
+
+    def __str__(self) -> str:
+        return self.folder
+
+    def rolled_up(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path)
+
+
+def store_rollup(spark: SparkSession, folder: str, path: str) -> RolledUp:
+    line_rollup(spark, folder).write.parquet(path)
+    return RolledUp(str(folder), path)

@@ -98,13 +98,16 @@ def leads(spark: SparkSession, sf_dir: str, statuses: list[str] | None = None,
     )
 
 
-def _line_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order, in one pass over its line items: the last shipment, when a returned
     line and an accepted one take effect (a change waits for the end of its term,
     a year after the line was shipped), and the accepted lines' yearly amount.
 
-    What a query doesn't use of it is pruned, down to the scan.
+    What a query doesn't use of it is pruned, down to the scan. A layout that stands
+    for the folder may hold it.
     """
+    if rolled_up := getattr(sf_dir, "rolled_up", None):
+        return rolled_up(spark)
     shipped, flag = F.col("l_shipdate"), F.col("l_returnflag")
 
     def effective(which):
@@ -139,7 +142,7 @@ def opportunities(spark: SparkSession, sf_dir: str, stages: list[str] | None = N
     close = F.greatest(created, F.coalesce(F.col("last_ship"), created))
     key, cust_key = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
     priority = F.col("o_orderpriority")
-    return (orders.join(_line_rollup(spark, sf_dir), "o_orderkey", "left")
+    return (orders.join(line_rollup(spark, sf_dir), "o_orderkey", "left")
             .select(
                 key.alias("opp_id"), key.alias("lead_id"), cust_key.alias("account_id"),
                 cust_key.alias("rep_id"), "segment",

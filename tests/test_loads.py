@@ -279,3 +279,30 @@ def test_reduced_eligibility_equals_the_plain_one(spark, no_broadcast):
         ex.eligible_for_experiment(health, fewer, reduce=True).collect()
     loose = ex.eligible_for_experiment(health, fewer, strict=False, reduce=True)
     assert loose.count() == len(plain) - 1
+
+
+# --- from tables to the mart: shared work, steps at the same time -----------------------------
+def test_line_items_are_rolled_up_once(spark, monkeypatch):
+    """Three adapters need the roll-up; two others read the line items for their own ends."""
+    real, read = td.table, []
+    monkeypatch.setattr(td, "table", lambda s, d, name: (read.append(name), real(s, d, name))[1])
+    got = sorted(map(tuple, queries.churn_ab_from_tables(spark, SF_SMALL).collect()), key=repr)
+    assert read.count("lineitem") == 3
+    monkeypatch.undo()
+    assert got == sorted(map(tuple, queries.churn_ab_results(spark, SF_SMALL).select(
+        *files.AB_COLUMNS).collect()), key=repr)
+
+
+def test_adapters_over_a_stored_rollup(spark, tmp_dir):
+    rolled = layout.store_rollup(spark, SF_SMALL, os.path.join(tmp_dir, "lines"))
+    for name in ("opportunities", "subscriptions", "customer_health_scores"):
+        a, b = (td.RAW_ADAPTERS[name](spark, d) for d in (SF_SMALL, rolled))
+        assert a.schema == b.schema and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
+
+
+def test_jobs_at_the_same_time(spark):
+    """They overlap, results keep the names' order, and a failure is raised."""
+    met = threading.Barrier(3, timeout=30)
+    assert files.at_the_same_time(spark, lambda name: (met.wait(), name)[1], ["a", "b", "c"], 3) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="b"):
+        files.at_the_same_time(spark, lambda name: {"a": 1}[name] if name == "a" else int(name), ["a", "b"], 2)
