@@ -183,10 +183,10 @@ def churn_ab_from_tables(spark, d):
     """SRC2, SRC4, SNK2, SNK3, SNK5-SNK7: MRT5 as read from the mart that load and
     build wrote, from CSV files of all eight raw tables over catalogue tables and
     staging views. The raw tables are dropped again. Three adapters share one
-    roll-up of the line items."""
+    roll-up of the line items, of which they use two dates."""
     run = uuid.uuid4().hex[:12]
     folder = f"{files.shared_folder(spark)}/{run}"
-    rolled = layout.store_rollup(spark, d, f"{folder}-lines")
+    rolled = layout.store_rollup(spark, d, f"{folder}-lines", ["last_ship", "cancelled_on"])
     raw = {name: adapter(spark, rolled) for name, adapter in td.RAW_ADAPTERS.items()}
     build.load_and_build(spark, raw, folder, f"raw_{run}", f"mart_{run}")
     spark.sql(f"DROP SCHEMA raw_{run} CASCADE")

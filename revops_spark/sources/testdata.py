@@ -230,10 +230,10 @@ def _activity(spark: SparkSession, sf_dir: str, since: dt.date = ACTIVITY_SINCE)
         F.date_diff(F.lit(ACTIVITY_UNTIL), "last_seen").alias("days_idle"))
 
 
-def _won(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The won opportunities with what their line items say."""
-    return opportunities(spark, sf_dir, [WON_STAGE], with_segment=False,
-                         keep=["cancelled_on", "expanded_on", "accepted_amount"])
+def _won(spark: SparkSession, sf_dir: str, *said: str) -> DataFrame:
+    """The won opportunities with what their line items say of a cancellation, and
+    further columns of the roll-up."""
+    return opportunities(spark, sf_dir, [WON_STAGE], with_segment=False, keep=["cancelled_on", *said])
 
 
 def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,8 +245,8 @@ def subscriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lifecycle_revenue_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BR3 over the subscriptions, in one pass: the accepted lines are the
     expansion, a twelfth of their amount a year after the last was shipped."""
-    subs = derive_subscriptions(_won(spark, sf_dir), AS_OF, "cancelled_on",
-                                keep=["expanded_on", "accepted_amount"])
+    said = ["expanded_on", "accepted_amount"]
+    subs = derive_subscriptions(_won(spark, sf_dir, *said), AS_OF, "cancelled_on", keep=said)
     monthly = F.round(F.col("accepted_amount") / F.lit(12), 2)
     return derive_revenue_events(subs, AS_OF, "expanded_on", monthly)
 

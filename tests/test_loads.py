@@ -300,6 +300,17 @@ def test_adapters_over_a_stored_rollup(spark, tmp_dir):
         assert a.schema == b.schema and a.exceptAll(b).count() == b.exceptAll(a).count() == 0
 
 
+def test_the_build_rolls_up_what_it_uses(spark, monkeypatch):
+    """The accepted lines' amount, which no raw table holds, is not computed."""
+    stored, real = [], layout.store_rollup
+    monkeypatch.setattr(layout, "store_rollup", lambda *a, **k: stored.append(real(*a, **k)) or stored[-1])
+    queries.churn_ab_from_tables(spark, SF_SMALL)
+    got = stored[0].rolled_up(spark)
+    assert got.columns == ["o_orderkey", "last_ship", "cancelled_on"]
+    whole = td.line_rollup(spark, SF_SMALL).select(got.columns)
+    assert got.count() and got.exceptAll(whole).count() == whole.exceptAll(got).count() == 0
+
+
 def test_jobs_at_the_same_time(spark):
     """They overlap, results keep the names' order, and a failure is raised."""
     met = threading.Barrier(3, timeout=30)
