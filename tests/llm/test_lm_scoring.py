@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from revops_spark.llm import lm_scoring as lm
+from revops_spark.llm import lm_scoring as lm, queries
 
 
 def brute_score(net, text):
@@ -194,3 +194,32 @@ def test_large_logits_have_gradients():
     want = (e / e.sum(1, keepdims=True) - np.eye(lm.DIGIT)[code // lm.DIGIT]).sum(0) / 8
     got = {name: grad for name, grad, _ in net._gradients(context, code)}
     assert np.allclose(got["high_bias"], want, atol=1e-3) and all(np.isfinite(g).all() for g in got.values())
+
+
+def test_the_query_splits_texts_once(spark, odd, odd_docs, tmp_path):
+    """Training and scoring read the stored codes; the rows are those of the texts themselves."""
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.op2_lm_scoring(spark, str(tmp_path))
+    assert out.inputFiles() and all(f.split("/")[-2] == "codes" for f in out.inputFiles())
+    got = sorted(map(tuple, out.collect()), key=repr)
+    want = sorted(map(tuple, lm.score(odd_docs, lm.fit(odd_docs)).collect()), key=repr)
+    assert [g[:2] for g in got] == [w[:2] for w in want] and len(got) == len(odd)
+    assert [g[2] for g in got] == pytest.approx([w[2] for w in want], rel=1e-5)
+
+
+def test_scores_do_not_depend_on_what_is_scored_together(odd_docs, monkeypatch):
+    net, batches = lm.Network(seed=4), lm.coded(odd_docs).toArrow().to_batches()
+    found = []
+    for size in (10_000_000, 500, 1):
+        monkeypatch.setattr(lm, "SCORED", size)
+        found.append(np.concatenate([b.column(2).to_numpy() for b in lm.scored(batches, net)]))
+    assert np.allclose(found[0], found[1], rtol=1e-5) and np.allclose(found[0], found[2], rtol=1e-5)
+
+
+def test_rows_are_added_two_columns_at_once():
+    rng = np.random.default_rng(3)
+    rows, values = rng.integers(0, 30, 500), rng.standard_normal((500, lm.WIDTH)).astype(np.float32)
+    want, got = np.zeros((lm.CODES + 1, lm.WIDTH)), np.full((lm.CODES + 1, lm.WIDTH), 7, np.float32)
+    np.add.at(want, rows, values)
+    lm._add_rows(got, lm._EMBED_PAIRS.take(rows, axis=0), values)
+    assert np.allclose(got, want, atol=1e-4)
